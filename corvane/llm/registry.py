@@ -3,17 +3,33 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, quality_rules
+from ..session import ship
+from . import language, mixing, pieces, quality_classifier, quality_rules, toxicity
+
+
+def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    @wraps(query)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship(spark)
+        return query(spark, sf_dir)
+
+    return run
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {
+    found = {
+        "op2_toxicity": toxicity.op2_toxicity,
         "op5_quality_rules": quality_rules.op5_quality_rules,
+        "op6_quality_classifier": quality_classifier.op6_quality_classifier,
+        "op7_language": language.op7_language,
+        "op8_sentencepiece": pieces.op8_sentencepiece,
         "op10_mixing": mixing.op10_mixing,
     }
+    return {name: _shipped(query) for name, query in found.items()}
 
 
 def oracle_sql() -> dict[str, str]:
