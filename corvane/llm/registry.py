@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import ship
-from . import language, mixing, pieces, quality_classifier, quality_rules, toxicity
+from . import language, mixing, ngram_join, pieces, quality_classifier, quality_rules, toxicity
 
 
 def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -27,6 +27,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op6_quality_classifier": quality_classifier.op6_quality_classifier,
         "op7_language": language.op7_language,
         "op8_sentencepiece": pieces.op8_sentencepiece,
+        "op9_ngram_join": ngram_join.op9_ngram_join,
         "op10_mixing": mixing.op10_mixing,
     }
     return {name: _shipped(query) for name, query in found.items()}
