@@ -27,7 +27,8 @@ from pyspark.sql import functions as F
 from .common import table
 
 MARK = "▁"
-CACHE_PARTS = 150_000
+#: Parts of text in each of a worker's two cache generations, about 300 bytes each.
+CACHE_PARTS = 400_000
 ROWS_A_SLICE = 500
 
 
@@ -53,6 +54,13 @@ class PieceCodec:
         for p in self.reached:
             self.automaton.add_word(p, len(p))
         self.automaton.make_automaton()
+        #: For each path of the automaton's trie the longest token on it.
+        self.on_path: dict[str, str] = {}
+        for p in sorted(self.reached, key=len):
+            for k in range(1, len(p)):
+                self.on_path.setdefault(p[:k], next((p[:j] for j in range(k, 1, -1) if p[:j] in self.reached), p[0]))
+            self.on_path[p] = p
+        self.width = max(map(len, self.reached))
         self.shorter: dict[str, str] = {}
         self.fits: dict[tuple[str, str], bool] = {}
         characters = {c for p in self.id_of for c in p}
@@ -64,6 +72,7 @@ class PieceCodec:
         before = f"{MARK}*[^\\W_]+(?=[{re.escape(''.join(sorted(apart)))}])|" if apart else ""
         self.parts = re.compile(f"{before}{MARK}*[^{MARK}{stop}]+|{MARK}+" + (f"|[{stop}]" if breaks else ""))
         self.cache: dict[str, tuple[bytes, str]] = {}
+        self.old: dict[str, tuple[bytes, str]] = {}
 
     def merged(self, text: str) -> list[str]:
         """Adjacent symbols merged by score, the leftmost first among equals. For short texts."""
@@ -96,14 +105,14 @@ class PieceCodec:
 
     def search(self, text: str) -> list[str]:
         """The tokens of a text, as strings; a character outside the vocabulary stands for itself."""
-        n, fits, long = len(text), self.fits.get, self.automaton.iter_long
+        n, fits, deepest, path, width = len(text), self.fits.get, self.automaton.longest_prefix, self.on_path.get, self.width
         failed, any_failed = bytearray(n // 8 + 1), False
         tokens: list[str] = []
         at, last, token = 0, "", ""
         while at < n:
             if not token:  # the longest token that begins here, or one character
-                end, length = next(long(text, at), (at, 1))
-                token = text[at : end + 1] if end - length + 1 == at else text[at]
+                rest = text[at : at + width]
+                token = path(rest[: deepest(rest)], text[at])
             while token:
                 end = at + len(token)
                 if not any_failed or not failed[end >> 3] >> (end & 7) & 1:
@@ -175,20 +184,22 @@ class PieceCodec:
         return self.parts.findall(marked) if self.cuts else [marked]
 
     def part(self, part: str) -> tuple[bytes, str]:
-        found = self.cache.get(part)
+        """ids as bytes and their text. The cache has two generations; parts that are asked for again move to the young one."""
+        found = self.cache.get(part) or self.old.get(part)
         if found is None:
             ids = self.ids(part)
             found = (array("i", ids).tobytes(), self.fragment(ids))
-            if len(part) <= 64:
-                if len(self.cache) >= CACHE_PARTS:
-                    self.cache.clear()
-                self.cache[part] = found
+        if len(part) <= 64:
+            if len(self.cache) >= CACHE_PARTS:
+                self.old = self.cache
+                self.cache = {}
+            self.cache[part] = found
         return found
 
     def encode(self, text: str) -> tuple[np.ndarray, str]:
         """ids and the text that they decode to."""
-        get, part = self.cache.get, self.part
-        found = [get(p) or part(p) for p in self.split(text)]
+        part = self.part
+        found = [self.cache.get(p) or part(p) for p in self.split(text)]
         return np.frombuffer(b"".join([f[0] for f in found]), np.int32), "".join([f[1] for f in found]).removeprefix(" ")
 
 
