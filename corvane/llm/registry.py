@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import ship
-from . import cover_tree, language, mixing, ngram_join, pieces, quality_classifier, quality_rules, toxicity
+from . import cover_tree, language, mixing, ngram_join, pieces, quality_classifier, quality_rules, repeats, toxicity
 
 
 def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -23,6 +23,7 @@ def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spark
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = {
         "op2_toxicity": toxicity.op2_toxicity,
+        "op3_suffix_dedup": repeats.op3_suffix_dedup,
         "op4_cover_tree": cover_tree.op4_cover_tree,
         "op5_quality_rules": quality_rules.op5_quality_rules,
         "op6_quality_classifier": quality_classifier.op6_quality_classifier,
