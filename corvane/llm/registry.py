@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import ship
-from . import cover_tree, language, mixing, ngram_join, pieces, quality_classifier, quality_rules, repeats, toxicity
+from . import cover_tree, language, line_dedup, mixing, ngram_join, pieces, quality_classifier, quality_rules, repeats, toxicity
 
 
 def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -22,6 +22,7 @@ def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spark
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = {
+        "op1_line_dedup": line_dedup.op1_line_dedup,
         "op2_toxicity": toxicity.op2_toxicity,
         "op3_suffix_dedup": repeats.op3_suffix_dedup,
         "op4_cover_tree": cover_tree.op4_cover_tree,
@@ -36,4 +37,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_cover_tree": cover_tree.OP4_SQL, "op5_quality_rules": quality_rules.OP5_SQL, "op10_mixing": mixing.OP10_SQL}
+    return {"op1_line_dedup": line_dedup.OP1_SQL, "op4_cover_tree": cover_tree.OP4_SQL, "op5_quality_rules": quality_rules.OP5_SQL, "op10_mixing": mixing.OP10_SQL}
