@@ -49,18 +49,20 @@ def source_targets(sizes: DataFrame, weights: Sequence[int] = WEIGHTS, share: fl
     return level.select("source", "source_size", F.when(F.col("full"), F.col("cap")).otherwise(F.col("weight") * F.col("l_num") / F.col("l_den")).alias("target"))
 
 
-def mix_sources(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: Sequence[int] = WEIGHTS, share: float = SHARE, most: int = MOST_REPEATS, seed: int = 0, rows_a_range: int = ROWS_A_RANGE) -> DataFrame:
+def mix_sources(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: Sequence[int] = WEIGHTS, share: float = SHARE, most: int = MOST_REPEATS, seed: int = 0, rows_a_range: int = ROWS_A_RANGE, carry: dict[str, Column] | None = None) -> DataFrame:
     """One row per input row: doc_id, size, source_size, target, taken.
 
     taken: words that the mix takes from the row, with repeats: whole passes over the source, and in the last pass the
     words up to the cut (the row that holds the cut gives its first words only). A null text has size 0 and gives nothing.
     A null source is a source of its own, last in order. Rows with equal ids have equal keys; among them the smaller
     goes first, and rows that are equal in all columns can change places without changing the result. A null id has a
-    key like any other. An empty table gives an empty result. Other columns of the input are ignored.
+    key like any other. An empty table gives an empty result. Other columns of the input are ignored; carry names
+    expressions over the input to keep beside each row, and src, the source as a key that is never null.
     """
+    carry = carry or {}
     spark = docs.sparkSession
     scratch = Scratch(spark, "mix")
-    sized = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).cast("string").alias("source"), n_words(F.col(text_col)).alias("size"))
+    sized = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).cast("string").alias("source"), n_words(F.col(text_col)).alias("size"), *[c.alias(n) for n, c in carry.items()])
     sized = scratch.write(sized.withColumn("key", _key(F.col("doc_id"), seed)).withColumn("src", F.coalesce(F.concat(F.lit("s"), "source"), F.lit("n"))), "sized")
     bits = max(0, math.ceil(math.log2(max(1, sized.count() / rows_a_range))))
     ranged = sized.withColumn("range", F.shiftright(F.conv(F.substring("key", 1, 8), 16, 10).cast("long"), 32 - bits))
@@ -78,7 +80,29 @@ def mix_sources(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     rounds = F.when(F.col("source_size") > 0, F.floor(budget / F.col("source_size"))).otherwise(0).cast("long")
     rest = budget - rounds * F.col("source_size") - (F.col("start") + F.col("through") - F.col("size"))
     taken = rounds * F.col("size") + F.greatest(F.lit(0), F.least(F.col("size"), rest))
-    return placed.select("doc_id", "size", "source_size", "target", taken.cast("long").alias("taken"))
+    return placed.select("doc_id", "size", "source_size", "target", taken.cast("long").alias("taken"), *((*carry, "src") if carry else ()))
+
+
+#: Between the end of a word and the white space after it.
+WORD_END = r"(?<=[^\x20\x09-\x0D])(?=[\x20\x09-\x0D])"
+
+
+def mix_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **how) -> DataFrame:
+    """The mix itself, with all columns of docs: each row as often as the mix takes it whole, and once more cut after the
+    last word that it still takes. Rows that the mix doesn't reach, and those without words, don't appear.
+
+    Rows with equal id, source and text share what the mix takes of them evenly, whole words only.
+    """
+    content = F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
+    taken = mix_sources(docs, id_col=id_col, text_col=text_col, source_col=source_col, carry={"content": content}, **how)
+    taken = taken.where("taken > 0").groupBy("doc_id", "src", "content").agg(F.max("size").alias("_size"), F.floor(F.sum("taken") / F.count("*")).cast("long").alias("_taken"))
+    taken = taken.withColumnsRenamed({"doc_id": "_id", "src": "_src", "content": "_content"})
+    source = F.col(source_col).cast("string")
+    same = F.col(id_col).eqNullSafe(F.col("_id")) & (content == F.col("_content")) & (F.coalesce(F.concat(F.lit("s"), source), F.lit("n")) == F.col("_src"))
+    rows = docs.join(taken, same).withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.ceil(F.col("_taken") / F.col("_size")))))
+    rest = (F.col("_taken") - (F.col("_copy") - 1) * F.col("_size")).cast("int")
+    text = F.when(F.col("_copy") * F.col("_size") <= F.col("_taken"), F.col(text_col)).otherwise(F.array_join(F.slice(F.split(F.col(text_col), WORD_END), F.lit(1), rest), ""))
+    return rows.select(*[text.alias(c) if c == text_col else F.col(c) for c in docs.columns])
 
 
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

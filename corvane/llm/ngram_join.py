@@ -237,5 +237,17 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     return found.union(rest)
 
 
+def keep_one_of_each(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", words: int = 5, num: int = 80, den: int = 100) -> DataFrame:
+    """The rows of docs, with all their columns: of each group of linked documents the one with the smallest id stays.
+
+    Of several rows with that id the one with the smallest text stays. Rows with a null id, which are in no group, stay.
+    """
+    found = near_duplicates(docs, id_col=id_col, text_col=text_col, words=words, num=num, den=den)
+    heads = found.where("doc_id = component_id").select(F.col("doc_id").alias("_head")).distinct()
+    first = Window.partitionBy("_head").orderBy(F.col(text_col).asc_nulls_first())
+    kept = docs.join(heads, F.col(id_col).cast("long") == F.col("_head")).withColumn("_n", F.row_number().over(first)).where("_n = 1")
+    return kept.select(*docs.columns).union(docs.where(F.col(id_col).isNull()))
+
+
 def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))

@@ -247,9 +247,9 @@ def decode_pieces(rows: DataFrame, model_path: str, *, id_col: str = "doc_id", i
     return rows.mapInArrow(batches, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, decoded string")
 
 
-def digests(encoded: DataFrame) -> DataFrame:
-    """n_tokens and the digests of ids and decoded text."""
-    return encoded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+def digests(encoded: DataFrame, *more: str) -> DataFrame:
+    """n_tokens and the digests of ids and decoded text, and more columns of the input."""
+    return encoded.select("doc_id", *more, F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
 def default_model() -> str:

@@ -7,6 +7,8 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
+
 from ..session import ship
 from . import cover_tree, language, line_dedup, mixing, ngram_join, pieces, quality_classifier, quality_rules, repeats, toxicity
 
@@ -32,6 +34,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_sentencepiece": pieces.op8_sentencepiece,
         "op9_ngram_join": ngram_join.op9_ngram_join,
         "op10_mixing": mixing.op10_mixing,
+        "pipeline": corpus_pipeline.run,
     }
     return {name: _shipped(query) for name, query in found.items()}
 

@@ -116,3 +116,20 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = learn_toxicity(docs, table(spark, sf_dir, "labels"), fold("doc_id", 3) != 1)
     scored = score_toxicity(docs, model)
     return scored.select("doc_id", (fold("doc_id", 3) == 1).alias("held_out"), "score", "predicted")
+
+
+def drop_toxic(docs: DataFrame, model: FactorizationMachine, *, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of docs, with all their columns, whose text scores below the threshold. Columns may have any names."""
+    sent = docs.sparkSession.sparkContext.broadcast(model)
+    names = docs.columns
+    t = names.index(text_col)
+    plain = docs.select(*[F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(names)])
+
+    def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in it:
+            for k in range(0, batch.num_rows, 1000):
+                part = batch.slice(k, 1000)
+                yield part.filter(pa.array(sent.value.score(part.column(t)) < threshold))
+
+    kept = plain.mapInArrow(batches, plain.schema)
+    return kept.select(*[F.col(f"c{k}").alias(c) for k, c in enumerate(names)])
