@@ -2,14 +2,14 @@
 
 Sizes fall into bands inside which the threshold allows any two; a structure covers a band and the next one, and every
 set is signed in the structure of its own band and in the one below, so any two sets that can link share a structure.
-In a structure, linked sets differ in at most k elements. The hashed domain is cut into partitions, k + 1 and a few
-more; at most k of them can differ, so two linked sets agree on a partition, and each partition's content is a
-signature. (Two-level reading: groups of two partitions with at most one difference, and all subsets of one of
-the two.) A partition that is empty agrees with every empty one; it is signed only in sets with so many empty
-ones that no other need agree.
+In a structure, linked sets differ in at most k elements. The hashed domain is cut into groups, more than k / 2 of them,
+so that a group holds at most one difference, and each group into two parts; one of the two then agrees, so the contents
+of each part (the subsets of one out of two) are signatures. A signature over a single shingle brings unrelated texts
+together; a few spare groups make those needless, and only a set with more weak groups than that has them signed too.
 
 Exact copies are one class throughout: signatures carry the hash of the set, copies fall together before the shuffle.
-Sets that share signatures are chained, not paired: a bucket of m sets gives m - 1 edges. Their components are families,
+Sets that share a signature are not paired: a bucket falls apart where sketches prove that its members can't link, and
+each part of m sets is chained by m - 1 edges. The components of these edges are families,
 and the exact test runs inside a family, in blocks of bounded size, as products of incidence matrices. A family of
 more than one block is tested block by block; then connecting members of all blocks are tested with each other; then every
 member outside the largest component is tested against all. Only pairs that are known to be in one component go untested,
@@ -30,8 +30,14 @@ from .graph import components, union_find
 from .wordhash import buffers, distinct, mix, runs, shingle_hashes, word_hashes
 
 WORDS, NUM, DEN = 4, 85, 100
-SPARE = 2
-BLOCK_ROWS = 1500
+#: Of each so many groups one is added to those that the differences ask for, and one more, so that weak ones need not be signed.
+SPARE_PART = 8
+#: A signature over fewer shingles than this is weak: one common phrase would bring unrelated texts together.
+STRONG = 2
+BLOCK_ROWS = 2500
+SPLITS = 48
+BINS = 128
+BUCKET_ROWS = 100_000
 CONNECTORS = 48
 _LOW = np.uint64((1 << 26) - 1)
 
@@ -70,25 +76,73 @@ def signatures(rows: np.ndarray, values: np.ndarray, size: np.ndarray, num: int,
     for down in (0, 1):
         structure = band - down
         k = np.where((structure >= 0) & (size > 0), diffs[np.maximum(structure, 0)], 0)
-        parts = np.where(k > 0, k + 1 + SPARE, 0)  # k = 0: only equal sets can link, and those are one class
-        base = np.concatenate([[0], np.cumsum(parts)])
-        used = parts[rows] > 0
+        bad = k // 2  # groups that can hold two differences or more
+        groups = np.where(k > 0, bad + 1 + (bad + 1) // SPARE_PART + 1, 0)  # k = 0: only equal sets can link, and those are one class
+        base = np.concatenate([[0], np.cumsum(groups)])
+        used = groups[rows] > 0
         r, v = rows[used], values[used]
         salt = mix(structure.astype(np.uint64) + np.uint64(77))
         place = mix(v ^ salt[r])
-        part = ((place >> np.uint64(32)) * parts[r].astype(np.uint64) >> np.uint64(32)).astype(np.int64)
-        key = base[r] + part
-        full = np.bincount(key, minlength=base[-1]) > 0
-        sums = _sums(place, key, int(base[-1]))
-        owner = np.repeat(np.arange(len(size)), parts)
-        empties = np.bincount(owner, weights=~full, minlength=len(size)) if len(owner) else np.zeros(len(size))
-        keep = full | (empties >= parts - k)[owner]
-        number = np.arange(base[-1]) - base[owner]
+        part = ((place >> np.uint64(32)) * (2 * groups[r]).astype(np.uint64) >> np.uint64(32)).astype(np.int64)
+        key = 2 * base[r] + part
+        n = int(base[-1])
+        weak = np.bincount(key, minlength=2 * n).reshape(n, 2) < STRONG
+        owner = np.repeat(np.arange(len(size)), groups)
+        weak_groups = np.bincount(owner, weights=weak.any(1), minlength=len(size)) if n else np.zeros(len(size))
+        keep = (~weak | (weak_groups >= groups - bad)[owner][:, None]).ravel()
+        sums = _sums(place, key, 2 * n)
+        number = np.arange(2 * n) - 2 * np.repeat(base[owner], 2)
+        owner = np.repeat(owner, 2)
         out_rows.append(owner[keep])
         out.append(mix(sums + mix(salt[owner] + number.astype(np.uint64)))[keep])
     return np.concatenate(out_rows), np.concatenate(out)
 
 
+def sketches(rows: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
+    """Elements of each set in BINS bins, cut off at 255. The sum of absolute differences of two sketches never exceeds
+    the number of differences between the sets."""
+    counts = np.bincount(rows * BINS + (mix(values ^ np.uint64(0x5DEECE66D)) >> np.uint64(57)).astype(np.int64), minlength=n * BINS)
+    return np.minimum(counts, 255).astype(np.uint8).reshape(n, BINS)
+
+
+def split_buckets(bucket: np.ndarray, sketch: np.ndarray, size: np.ndarray, num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
+    """Rows sorted by bucket. Pairs of rows (i, j) that chain all members of a bucket which may link.
+
+    Distances of sketches are a metric, and linked sets are at most k apart; so are then their distances from any third
+    set, here the bucket's first. Sorted by that distance, members on either side of a gap above k can't link, and the
+    bucket falls apart there. Parts of a bucket that fell apart are tried again from their own first members, SPLITS times;
+    what is left together after that is chained, which is always safe.
+    """
+    group = np.cumsum(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
+    rows = np.arange(len(bucket))
+    for _ in range(SPLITS):
+        rows = rows[np.argsort(group[rows], kind="stable")]
+        own = group[rows]
+        new = np.concatenate([[True], own[1:] != own[:-1]])
+        number = np.cumsum(new) - 1
+        head = rows[new][number]
+        away = np.zeros(len(rows), np.int64)
+        for k in range(0, len(rows), 20_000):
+            part = slice(k, k + 20_000)
+            away[part] = np.abs(sketch[rows[part]].astype(np.int16) - sketch[head[part]].astype(np.int16)).sum(1)
+        order = np.lexsort((away, number))
+        rows, away = rows[order], away[order]
+        most = np.maximum.reduceat(size[rows], np.flatnonzero(new))
+        allowed = ((den - num) * 2 * most // (den + num))[number]
+        cut = new.copy()
+        cut[1:] |= away[1:] - away[:-1] > allowed[1:]
+        part = np.cumsum(cut) - 1
+        group[rows] = group.max() + 1 + part
+        fell = np.bincount(number, weights=cut) > 1
+        large = np.bincount(part) > 1
+        rows = rows[fell[number] & large[part]]
+        if not len(rows):
+            break
+    order = np.argsort(group, kind="stable")
+    same = group[order[1:]] == group[order[:-1]]
+    return order[:-1][same], order[1:][same]
+
+
 def _sets(texts: pa.Array, words: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     raw, at = buffers(texts)
     for a, b, part, offsets in runs(raw, at):
@@ -170,7 +224,8 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
             ids = batch.column(0)
             for a, b, rows, values in _sets(batch.column(1), words):
                 size, one, two = set_hashes(rows, values, b - a)
-                yield pa.RecordBatch.from_arrays([ids.slice(a, b - a), pa.array(size), pa.array(one), pa.array(two)], names=["doc_id", "n", "c1", "c2"])
+                sketch = pa.array([x.tobytes() for x in sketches(rows, values, b - a)], pa.binary())
+                yield pa.RecordBatch.from_arrays([ids.slice(a, b - a), pa.array(size), pa.array(one), pa.array(two), sketch], names=["doc_id", "n", "c1", "c2", "sketch"])
 
     def sign(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in it:
@@ -180,11 +235,41 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
                 signed = np.unique(np.stack([signature.view(np.int64), one[owner]]), axis=1)
                 yield pa.RecordBatch.from_arrays([pa.array(signed[0]), pa.array(signed[1])], names=["sig", "c1"])
 
-    described = scratch.write(texts.mapInArrow(describe, "doc_id long, n long, c1 long, c2 long"), "described")
+    described = scratch.write(texts.mapInArrow(describe, "doc_id long, n long, c1 long, c2 long, sketch binary"), "described")
     classes = described.where("doc_id is not null and n > 0").groupBy("c1", "c2").agg(F.min("doc_id").alias("node"), F.first("n").alias("n"))
     signed = texts.where("doc_id is not null").select("text").mapInArrow(sign, "sig long, c1 long")
-    chained = signed.withColumn("a", F.lag("c1").over(Window.partitionBy("sig").orderBy("c1"))).where("a <> c1")
-    families = scratch.write(components(chained.select("a", F.col("c1").alias("b")).distinct(), scratch, "families"), "families")
+    # Buckets of more than one class; then their parts that may link, as chains.
+    along = Window.partitionBy("sig").orderBy("c1")
+    shared = signed.withColumn("before", F.lag("c1").over(along)).withColumn("after", F.lead("c1").over(along)).where("before <> c1 or after <> c1").select("sig", "c1")
+    drawn = described.where("n > 0").groupBy("c1").agg(F.first("sketch").alias("sketch"), F.max("n").alias("n"))
+
+    def chain(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def edges(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+            t = pa.Table.from_batches(held)
+            drawing = np.frombuffer(b"".join(x.as_py() for x in t["sketch"]), np.uint8).reshape(-1, BINS)
+            c1 = t["c1"].to_numpy()
+            i, j = split_buckets(t["sig"].to_numpy(), drawing, t["n"].to_numpy(), num, den)
+            pairs = np.unique(np.stack([np.maximum(c1[i], c1[j]), np.minimum(c1[i], c1[j])]), axis=1)
+            pairs = pairs[:, pairs[0] != pairs[1]]
+            return pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], names=["a", "b"])
+
+        held, rows = [], 0
+        for batch in it:
+            sig = batch.column(0).to_numpy()
+            if rows >= BUCKET_ROWS:  # a bucket is never cut: wait for the next one's first row
+                change = np.flatnonzero(sig != held[-1].column(0)[-1].as_py())
+                if len(change):
+                    held.append(batch.slice(0, change[0]))
+                    yield edges(held)
+                    held, rows, batch = [], 0, batch.slice(change[0])
+            held.append(batch)
+            rows += batch.num_rows
+        if rows:
+            yield edges(held)
+
+    buckets = shared.join(drawn, "c1").select("sig", "c1", "n", "sketch").repartition("sig").sortWithinPartitions("sig", "c1")
+    chained = buckets.mapInArrow(chain, "a long, b long").distinct()
+    families = scratch.write(components(chained, scratch, "families"), "families")
     members = classes.join(families.select(F.col("node").alias("c1"), F.col("label").alias("family")), "c1")
     members = scratch.write(members.select("node", "family", "n"), "members")
 
