@@ -23,7 +23,7 @@ from .common import Scratch, table
 from .graph import components, union_find
 
 COSINE = 0.98
-SHARD_ROWS = 2048
+SHARD_ROWS = 8192
 #: Distances are computed in double precision; bounds are widened by this much, and the cosine decides.
 SLACK = 1e-6
 
@@ -65,46 +65,57 @@ class CoverTree:
         return len(self.levels)
 
 
+def _close(p: np.ndarray, q: np.ndarray, reach: np.ndarray) -> np.ndarray:
+    """Whether unit vectors p (rows) and q (columns) are within reach, by a matrix product."""
+    return 2 - 2 * (p @ q.T) <= (reach + SLACK) ** 2
+
+
 def dual_pairs(a: CoverTree, b: CoverTree, reach: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Index arrays of points of a and b, covering every pair within reach: leaf members of the node pairs that are left."""
+    """Index arrays of points of a and b, covering every pair within reach: leaf members of the node pairs that are left.
+    With b the same tree as a, each unordered pair of leaves comes once."""
     if not a.depth or not b.depth:
         return
-    i, j = np.zeros(1, np.int64), np.zeros(1, np.int64)
+    same = a is b
+    pairs = [(0, 0)]
     la = lb = 0
-    while True:
-        na, ca, ra = a.levels[la]
-        nb, cb, rb = b.levels[lb]
-        keep = np.zeros(len(i), bool)
-        for k in range(0, len(i), 65536):  # blocks bound the memory of the differences
-            s = slice(k, k + 65536)
-            d = np.sqrt(np.maximum(((a.points[na[i[s]]] - b.points[nb[j[s]]]) ** 2).sum(1), 0))
-            keep[s] = d - ra[i[s]] - rb[j[s]] <= reach + SLACK
-        i, j = i[keep], j[keep]
-        end_a, end_b = la == a.depth - 1, lb == b.depth - 1
-        if end_a and end_b:
-            for x, y in zip(i, j, strict=True):
-                yield ca[x], cb[y]
-            return
-        if end_b or (not end_a and ra.max() >= rb.max()):
-            n = np.array([len(ca[x]) for x in i], np.int64)
-            i, j, la = np.concatenate([ca[x] for x in i]) if len(i) else i, np.repeat(j, n), la + 1
-        else:
-            n = np.array([len(cb[y]) for y in j], np.int64)
-            i, j, lb = np.repeat(i, n), np.concatenate([cb[y] for y in j]) if len(j) else j, lb + 1
+    while la < a.depth - 1 or lb < b.depth - 1:
+        down_a = la < a.depth - 1 and (same or lb == b.depth - 1 or a.levels[la][2].max() >= b.levels[lb][2].max())
+        down_b = lb < b.depth - 1 and (same or not down_a)
+        ca, cb = a.levels[la][1], b.levels[lb][1]
+        la, lb = la + down_a, lb + down_b
+        na, _, ra = a.levels[la]
+        nb, _, rb = b.levels[lb]
+        left = []
+        for x, y in pairs:
+            i, j = ca[x] if down_a else np.array([x]), cb[y] if down_b else np.array([y])
+            for k in range(0, len(i), 512):  # row blocks bound the memory of the product
+                part = i[k : k + 512]
+                u, v = np.nonzero(_close(a.points[na[part]], b.points[nb[j]], ra[part][:, None] + rb[j][None, :] + reach))
+                u, v = part[u], j[v]
+                if same:
+                    u, v = u[u <= v], v[u <= v]
+                left += zip(u.tolist(), v.tolist(), strict=True)
+        pairs = left
+    for x, y in pairs:
+        yield a.levels[-1][1][x], b.levels[-1][1][y]
 
 
 def linked_pairs(x: np.ndarray, y: np.ndarray, cosine: float) -> tuple[np.ndarray, np.ndarray]:
-    """All (i, j) with cosine(x[i], y[j]) >= cosine, for rows that are finite and not zero."""
+    """All (i, j) with cosine(x[i], y[j]) >= cosine, for rows that are finite and not zero; with y the same array as x,
+    each pair in both orders, and rows with themselves."""
     nx, ny = np.sqrt((x * x).sum(1)), np.sqrt((y * y).sum(1))
     reach = float(np.sqrt(max(0.0, 2 - 2 * cosine)))
     one = CoverTree(x / nx[:, None], reach / 4)
     two = one if y is x else CoverTree(y / ny[:, None], reach / 4)
     out_i, out_j = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     for p, q in dual_pairs(one, two, reach):
-        c = (x[p] @ y[q].T) / (nx[p][:, None] * ny[q][None, :])
-        i, j = np.nonzero(c >= cosine)
-        out_i.append(p[i])
-        out_j.append(q[j])
+        i, j = np.nonzero((x[p] @ y[q].T) / (nx[p][:, None] * ny[q][None, :]) >= cosine)
+        i, j = p[i], q[j]
+        out_i.append(i)
+        out_j.append(j)
+        if y is x and p is not q:
+            out_i.append(j)
+            out_j.append(i)
     return np.concatenate(out_i), np.concatenate(out_j)
 
 
