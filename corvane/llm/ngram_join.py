@@ -34,7 +34,8 @@ WORDS, NUM, DEN = 4, 85, 100
 SPARE_PART = 8
 #: A signature over fewer shingles than this is weak: one common phrase would bring unrelated texts together.
 STRONG = 2
-BLOCK_ROWS = 2500
+#: A block of a family, which one task tests: at most so many sets, with about so many shingles in all.
+BLOCK_ROWS, BLOCK_SHINGLES = 1500, 1_200_000
 SPLITS = 48
 BINS = 128
 BUCKET_ROWS = 100_000
@@ -175,9 +176,13 @@ def link_labels(sets: list[np.ndarray], num: int, den: int, asks: np.ndarray | N
         used = x.any(1)
         qi, ti = np.flatnonzero(used[q]), np.flatnonzero(used)
         both[np.ix_(qi, ti)] += x[q[qi]] @ x[ti].T
-    inter = both.astype(np.int64)
-    linked = den * inter >= num * (size[q][:, None] + size[None, :] - inter)
-    i, j = np.nonzero(linked)
+    i, j = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for k in range(0, len(q), 256):  # row blocks bound the memory of whole numbers
+        inter = both[k : k + 256].astype(np.int64)
+        a, b = np.nonzero(den * inter >= num * (size[q[k : k + 256]][:, None] + size[None, :] - inter))
+        i.append(a + k)
+        j.append(b)
+    i, j = np.concatenate(i), np.concatenate(j)
     nodes, label = union_find(np.concatenate([q[i], np.arange(n)]), np.concatenate([j, np.arange(n)]))
     return label
 
@@ -294,8 +299,9 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     sets = some.mapInArrow(sets_of, "node long, shingles binary, c1 long, c2 long").select("node", "shingles")
 
     # Families in blocks by size; a block's number follows from the running count inside its family.
-    place = F.row_number().over(Window.partitionBy("family").orderBy("n", "node")) - 1
-    blocks = scratch.write(members.withColumn("block", (place / block_rows).cast("long")).select("node", "family", "block"), "blocks")
+    inside = Window.partitionBy("family").orderBy("n", "node").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    block = F.floor((F.count("*").over(inside) - 1) / block_rows) + F.floor(F.sum("n").over(inside) / BLOCK_SHINGLES)
+    blocks = scratch.write(members.withColumn("block", block.cast("long")).select("node", "family", "block"), "blocks")
     task = F.xxhash64("family", "block")
     first = scratch.write(_verify(sets.join(blocks, "node").select(task.alias("task"), "node", F.lit(True).alias("asks"), "shingles"), num, den).where("a <> b"), "links-1")
     links = first
