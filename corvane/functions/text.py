@@ -75,7 +75,7 @@ def citation_label(*parts: Column) -> Column:
 
 
 def list_with_and(items: Sequence[str]) -> str:
-    return items[0] if len(items) == 1 else f"{', '.join(items[:-1])} and {items[-1]}" if items else ""
+    return f"{', '.join(items[:-1])}, and {items[-1]}"
 
 
 def ascii_pattern(pattern: str) -> str:
