@@ -36,21 +36,37 @@ SLOTS = 1 << 24
 
 
 class ColumnFiles:
-    """The state between rounds: order and common prefixes are rewritten each round, the transform's columns appended."""
+    """The state between rounds: order and common prefixes are rewritten each round, the transform's columns appended.
+    Files stay open and are overwritten in place, front to back; truncating and closing them would wait for the disk."""
 
     def __init__(self, folder: str) -> None:
-        self.order, self.lcp, self.columns = (os.path.join(folder, n) for n in ("order", "lcp", "columns"))
-        for name in (self.order, self.lcp, self.columns):
-            open(name, "wb").close()
+        self.order, self.lcp, self.columns = (open(os.path.join(folder, n), "w+b", buffering=0) for n in ("order", "lcp", "columns"))
+        self.rows = 0
+
+    def __enter__(self) -> ColumnFiles:
+        return self
+
+    def __exit__(self, *_: object) -> None:
+        for f in (self.order, self.lcp, self.columns):
+            f.close()
 
     def read(self) -> tuple[np.ndarray, np.ndarray]:
-        return np.fromfile(self.order, np.int32), np.fromfile(self.lcp, np.uint16)
+        out = np.empty(self.rows, np.int32), np.empty(self.rows, np.uint16)
+        for f, values in zip((self.order, self.lcp), out, strict=True):
+            f.seek(0)
+            view, at = memoryview(values).cast("B"), 0
+            while at < len(view):
+                at += f.readinto(view[at:])
+        return out
 
     def write(self, order: np.ndarray, lcp: np.ndarray, symbols: np.ndarray) -> None:
-        order.astype(np.int32).tofile(self.order)
-        lcp.astype(np.uint16).tofile(self.lcp)
-        with open(self.columns, "ab") as f:
-            symbols.tofile(f)
+        self.rows = len(order)
+        self.order.seek(0)
+        self.lcp.seek(0)
+        for f, values in ((self.order, order.astype(np.int32)), (self.lcp, lcp), (self.columns, symbols)):
+            view = memoryview(np.ascontiguousarray(values)).cast("B")
+            while len(view):
+                view = view[f.write(view) :]
 
 
 def _least(values: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -78,8 +94,7 @@ def repeated_windows(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray,
     left, right = -before, lengths - before - 1
     joining = np.argsort(-right, kind="stable")
     joins = -right[joining]
-    with tempfile.TemporaryDirectory() as folder:
-        files = ColumnFiles(folder)
+    with tempfile.TemporaryDirectory() as folder, ColumnFiles(folder) as files:
         for column in range(int(right.max()), int(left.min()) - 1, -1):
             order, lcp = files.read()
             stays = left[order] <= column
