@@ -64,16 +64,16 @@ def drop_repeated_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: st
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "lines")
-    texts = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(_LAST)).alias("id"), F.col(text_col).alias("text"))
+    key = (F.coalesce(F.col(id_col).cast("long"), F.lit(_LAST)), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))))
+    texts = docs.select(key[0].alias("id"), F.col(text_col).alias("text"), key[1].alias("th"))
 
     def windows(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in it:
-            ids = batch.column(0).to_numpy()
+            ids, th = batch.column(0).to_numpy(), batch.column(2).to_numpy()
             raw, at = buffers(batch.column(1))
             for a, _, part, offsets in runs(raw, at):
-                th = span_hashes(part, offsets[:-1], offsets[1:], lower=False).view(np.int64)
                 text, place, mark, mark_at, h = winnow(*_lines(part, offsets), run)
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (mark.view(np.int64), mark_at, h.view(np.int64), ids[a + text], th[text], place)], names=["mark", "mark_at", "h", "id", "th", "place"])
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (mark.view(np.int64), mark_at, h.view(np.int64), ids[a + text], th[a + text], place)], names=["mark", "mark_at", "h", "id", "th", "place"])
 
     placed = scratch.write(texts.mapInArrow(windows, "mark long, mark_at long, h long, id long, th long, place long"), "windows")
     where = F.struct("id", "th", "mark_at")
@@ -88,15 +88,7 @@ def drop_repeated_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: st
     source = docs.select(*names)
     inner = source.schema
     t = names.index(text_col)
-    plain = source.select(*[F.col(c).alias(f"c{k}") for k, c in enumerate(names)], F.coalesce(F.col(id_col).cast("long"), F.lit(_LAST)).alias("key_id"))
-
-    def keyed(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in it:
-            raw, at = buffers(batch.column(t))
-            th = np.zeros(batch.num_rows, np.uint64)
-            for a, b, part, offsets in runs(raw, at):
-                th[a:b] = span_hashes(part, offsets[:-1], offsets[1:], lower=False)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(th.view(np.int64))], names=[*batch.schema.names, "key_th"])
+    plain = docs.select(*[F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(names)], key[0].alias("key_id"), key[1].alias("key_th"))
 
     def clean(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in it:
@@ -117,7 +109,7 @@ def drop_repeated_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: st
             yield pa.RecordBatch.from_arrays([*columns, pa.array(n_lines, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(n_runs, pa.int64())], names=[*(f"c{k}" for k in range(len(names))), "n_lines", "n_removed", "n_runs"])
 
     kinds = ", ".join(f"c{k} {f.dataType.simpleString()}" for k, f in enumerate(inner))
-    joined = plain.mapInArrow(keyed, f"{kinds}, key_id long, key_th long").join(removed.select(F.col("id").alias("key_id"), F.col("th").alias("key_th"), "places"), ["key_id", "key_th"], "left")
+    joined = plain.join(removed.select(F.col("id").alias("key_id"), F.col("th").alias("key_th"), "places"), ["key_id", "key_th"], "left")
     joined = joined.select(*[f"c{k}" for k in range(len(names))], "places")
     out = joined.mapInArrow(clean, f"{kinds}, n_lines long, n_removed long, n_runs long")
     return out.select(*[F.col(f"c{k}").alias(c) for k, c in enumerate(names)], "n_lines", "n_removed", "n_runs")
