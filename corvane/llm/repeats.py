@@ -144,15 +144,12 @@ def _pieces(raw: np.ndarray, at: np.ndarray, width: int) -> Iterator[tuple[int,
 
 
 def _runs_of(texts: pa.Array, width: int, gram: int) -> Iterator[tuple[np.ndarray, ...]]:
-    """Of each piece: row, hash of the row's text, start in the row, windows, minimizer, content hash, bytes before the minimizer, bytes."""
+    """Of each piece: row, start in the row, windows, minimizer, content hash, bytes before the minimizer; the piece's bytes, and where each run begins in them."""
     raw, at = buffers(texts)
-    whole = np.zeros(len(at) - 1, np.uint64)
-    for a, b, part, offsets in runs(raw, at):
-        whole[a:b] = span_hashes(part, offsets[:-1], offsets[1:], lower=False)
     for a, _, part, offsets, skipped in _pieces(raw, at, width):
         row, start, n, key, before = super_runs(part, offsets, width, gram)
         content = mix(span_hashes(part, start, start + n + width - 1, lower=False) + n.astype(np.uint64) * np.uint64(1009) + before.astype(np.uint64))
-        yield row + a, whole[row + a], start - offsets[row] + skipped, n, key, content, before, part, start
+        yield row + a, start - offsets[row] + skipped, n, key, content, before, part, start
 
 
 def _slot(*parts: np.ndarray) -> np.ndarray:
@@ -184,11 +181,11 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "repeats")
-    texts = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63))).alias("id"), F.col(text_col).alias("text"))
+    texts = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63))).alias("id"), F.col(text_col).alias("text"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("th"))
 
     def minimizers(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in it:
-            keys = [x[4] for x in _runs_of(batch.column(0), width, gram)]
+            keys = [x[3] for x in _runs_of(batch.column(0), width, gram)]
             if keys:
                 keys, n = np.unique(np.concatenate(keys), return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(n)], names=["h", "n"])
@@ -203,10 +200,10 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
 
     def occurrences(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in it:
-            ids = batch.column(0).to_numpy()
-            for row, text, start, n, key, content, before, _, _ in _runs_of(batch.column(1), width, gram):
+            ids, th = batch.column(0).to_numpy(), batch.column(2).to_numpy()
+            for row, start, n, key, content, _, _, _ in _runs_of(batch.column(1), width, gram):
                 keep = _in(twice.value, _slot(key))
-                yield pa.RecordBatch.from_arrays([pa.array(x[keep].view(np.int64)) for x in (key, content, ids[row], text, start.astype(np.int64), n.astype(np.int64))], names=["h", "c", "id", "th", "start", "n"])
+                yield pa.RecordBatch.from_arrays([pa.array(x[keep].view(np.int64)) for x in (key, content, ids[row], th[row], start.astype(np.int64), n.astype(np.int64))], names=["h", "c", "id", "th", "start", "n"])
 
     placed = scratch.write(texts.mapInArrow(occurrences, "h long, c long, id long, th long, start long, n long"), "occurrences")
     classes = placed.groupBy("h", "c").agg(F.count("*").alias("copies"), F.min(F.struct("id", "th", "start")).alias("rep"), F.first("n").alias("n"))
@@ -222,11 +219,11 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
 
     def strings(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in it:
-            ids = batch.column(0).to_numpy()
-            for row, text, start, n, _, _, before, part, at in _runs_of(batch.column(1), width, gram):
-                keep = np.flatnonzero(_in(reps.value, _slot(text, start.astype(np.int64))))
+            ids, th = batch.column(0).to_numpy(), batch.column(2).to_numpy()
+            for row, start, n, _, _, before, part, at in _runs_of(batch.column(1), width, gram):
+                keep = np.flatnonzero(_in(reps.value, _slot(th[row], start.astype(np.int64))))
                 data = [part[a:b].tobytes() for a, b in zip(at[keep], at[keep] + n[keep] + width - 1, strict=True)]
-                yield pa.RecordBatch.from_arrays([pa.array(ids[row[keep]]), pa.array(text[keep].view(np.int64)), pa.array(start[keep].astype(np.int64)), pa.array(before[keep].astype(np.int32)), pa.array(data, pa.binary())], names=["id", "th", "start", "before", "data"])
+                yield pa.RecordBatch.from_arrays([pa.array(ids[row[keep]]), pa.array(th[row[keep]]), pa.array(start[keep].astype(np.int64)), pa.array(before[keep].astype(np.int32)), pa.array(data, pa.binary())], names=["id", "th", "start", "before", "data"])
 
     found = texts.mapInArrow(strings, "id long, th long, start long, before int, data binary")
     collections = wanted.join(found, ["id", "th", "start"]).select("h", "c", "before", "data")
@@ -270,14 +267,6 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     removed = placed.join(verdicts, ["h", "c"]).select("id", "th", F.explode(F.transform("spans", lambda s: F.struct((s["a"] + F.col("start")).alias("a"), (s["b"] + F.col("start")).alias("b")))).alias("span"))
     by_text = scratch.write(removed.groupBy("id", "th").agg(F.collect_set("span").alias("removed")), "removed")
 
-    def keyed(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in it:
-            raw, at = buffers(batch.column(1))
-            whole = np.zeros(batch.num_rows, np.uint64)
-            for a, b, part, offsets in runs(raw, at):
-                whole[a:b] = span_hashes(part, offsets[:-1], offsets[1:], lower=False)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(whole.view(np.int64))], names=["id", "text", "th"])
-
     def cut(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
         for batch in it:
@@ -298,7 +287,7 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
                     all_spans.append([{"start": a, "end": b} for a, b in joined])
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(kept, pa.binary()), pa.array(sizes, pa.int64()), pa.array(all_spans, kind)], names=["doc_id", "kept", "n_bytes", "spans"])
 
-    joined = texts.mapInArrow(keyed, "id long, text string, th long").join(by_text, ["id", "th"], "left").select("id", "text", "removed")
+    joined = texts.join(by_text, ["id", "th"], "left").select("id", "text", "removed")
     out = joined.mapInArrow(cut, "doc_id long, kept binary, n_bytes long, spans array<struct<start: long, end: long>>")
     return out.withColumn("doc_id", F.when(F.col("doc_id") != F.lit(-(1 << 63)), F.col("doc_id")))
 
