@@ -36,8 +36,7 @@ SPARE_PART = 8
 STRONG = 2
 #: A block of a family, which one task tests: at most so many sets, with about so many shingles in all.
 BLOCK_ROWS, BLOCK_SHINGLES = 1500, 1_200_000
-SPLITS = 48
-BINS = 128
+ALL_PAIRS, MATRIX_ROWS, SPLITS = 16, 4096, 100
 BUCKET_ROWS = 100_000
 CONNECTORS = 48
 _LOW = np.uint64((1 << 26) - 1)
@@ -99,49 +98,81 @@ def signatures(rows: np.ndarray, values: np.ndarray, size: np.ndarray, num: int,
     return np.concatenate(out_rows), np.concatenate(out)
 
 
-def sketches(rows: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
-    """Elements of each set in BINS bins, cut off at 255. The sum of absolute differences of two sketches never exceeds
-    the number of differences between the sets."""
-    counts = np.bincount(rows * BINS + (mix(values ^ np.uint64(0x5DEECE66D)) >> np.uint64(57)).astype(np.int64), minlength=n * BINS)
-    return np.minimum(counts, 255).astype(np.uint8).reshape(n, BINS)
+def sketch(values: np.ndarray) -> bytes:
+    """Elements of a set in bins, cut off at 255; large sets have more bins. The sum of absolute differences of two
+    sketches, summed up to equal numbers of bins, never exceeds the number of differences between the sets."""
+    bits = 7 if len(values) <= 1200 else 9 if len(values) <= 4800 else 11
+    counts = np.bincount((mix(values ^ np.uint64(0x5DEECE66D)) >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)
+    return np.minimum(counts, 255).astype(np.uint8).tobytes()
 
 
-def split_buckets(bucket: np.ndarray, sketch: np.ndarray, size: np.ndarray, num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
-    """Rows sorted by bucket. Pairs of rows (i, j) that chain all members of a bucket which may link.
+def _folded(sketches: list[bytes], rows: np.ndarray) -> np.ndarray:
+    """The sketches of these rows with as many bins as the smallest has."""
+    found = [np.frombuffer(sketches[r], np.uint8) for r in rows]
+    bins = min(map(len, found))
+    return np.stack([f if len(f) == bins else f.reshape(bins, -1).sum(1) for f in found]).astype(np.int16)
 
-    Distances of sketches are a metric, and linked sets are at most k apart; so are then their distances from any third
-    set, here the bucket's first. Sorted by that distance, members on either side of a gap above k can't link, and the
-    bucket falls apart there. Parts of a bucket that fell apart are tried again from their own first members, SPLITS times;
-    what is left together after that is chained, which is always safe.
+
+def split_buckets(bucket: np.ndarray, sketches: list[bytes], size: np.ndarray, num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
+    """Rows sorted by bucket. Pairs of rows (i, j) that connect all members of a bucket which may link.
+
+    Two members whose sketches differ by more than a link allows for their sizes can't link. In buckets of up to MATRIX_ROWS
+    members all pairs of sketches are compared, in small ones many buckets at once; in larger ones a comparison with a
+    first member splits the rest, as distances of sketches are a metric: sorted by their distance from it, members on either
+    side of a gap above the allowed difference can't link. What is together after SPLITS of these is chained, which is
+    always safe.
     """
-    group = np.cumsum(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
-    rows = np.arange(len(bucket))
-    for _ in range(SPLITS):
-        rows = rows[np.argsort(group[rows], kind="stable")]
-        own = group[rows]
-        new = np.concatenate([[True], own[1:] != own[:-1]])
-        number = np.cumsum(new) - 1
-        head = rows[new][number]
-        away = np.zeros(len(rows), np.int64)
-        for k in range(0, len(rows), 20_000):
-            part = slice(k, k + 20_000)
-            away[part] = np.abs(sketch[rows[part]].astype(np.int16) - sketch[head[part]].astype(np.int16)).sum(1)
-        order = np.lexsort((away, number))
-        rows, away = rows[order], away[order]
-        most = np.maximum.reduceat(size[rows], np.flatnonzero(new))
-        allowed = ((den - num) * 2 * most // (den + num))[number]
-        cut = new.copy()
-        cut[1:] |= away[1:] - away[:-1] > allowed[1:]
-        part = np.cumsum(cut) - 1
-        group[rows] = group.max() + 1 + part
-        fell = np.bincount(number, weights=cut) > 1
-        large = np.bincount(part) > 1
-        rows = rows[fell[number] & large[part]]
-        if not len(rows):
-            break
-    order = np.argsort(group, kind="stable")
-    same = group[order[1:]] == group[order[:-1]]
-    return order[:-1][same], order[1:][same]
+    out_i, out_j = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    allowed = lambda i, j: (den - num) * (size[i] + size[j]) // (den + num)
+    wide = np.array([len(x) for x in sketches]) > 128
+    plain = np.frombuffer(b"".join(x if not w else b"\0" * 128 for x, w in zip(sketches, wide, strict=True)), np.uint8).reshape(-1, 128)
+    starts = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
+    counts = np.diff(np.concatenate([starts, [len(bucket)]]))
+    has_wide = np.add.reduceat(wide, starts) > 0
+    for m in np.unique(counts[(counts <= ALL_PAIRS) & (counts > 1)]):
+        of = starts[(counts == m) & ~has_wide]
+        x, y = np.triu_indices(m, 1)
+        step = max(1, 200_000 // len(x))
+        for k in range(0, len(of), step):
+            i, j = (of[k : k + step, None] + x).ravel(), (of[k : k + step, None] + y).ravel()
+            away = np.abs(plain[i].astype(np.int16) - plain[j]).sum(1)
+            near = away <= allowed(i, j)
+            out_i.append(i[near])
+            out_j.append(j[near])
+    for at, m in zip(starts, counts, strict=True):
+        if m == 1 or (m <= ALL_PAIRS and not has_wide[np.searchsorted(starts, at)]):
+            continue
+        waiting = [np.arange(at, at + m)]
+        for _ in range(SPLITS):
+            if not waiting:
+                break
+            rows = waiting.pop()
+            drawn = _folded(sketches, rows)
+            if len(rows) <= MATRIX_ROWS:
+                step, label = max(1, 4_000_000 // drawn.size), np.arange(len(rows))
+                for k in range(0, len(rows), step):
+                    away = np.abs(drawn[k : k + step, None, :] - drawn[None, k:, :]).sum(2, dtype=np.int32)
+                    i, j = np.nonzero(away <= allowed(rows[k : k + step, None], rows[None, k:]))
+                    # what is known and what is new, as one label for each member: pairs don't pile up
+                    _, label = union_find(np.concatenate([np.arange(len(rows)), i + k]), np.concatenate([label, j + k]))
+                joined = np.flatnonzero(label != np.arange(len(rows)))
+                out_i.append(rows[joined])
+                out_j.append(rows[label[joined]])
+                continue
+            away = np.abs(drawn - drawn[0]).sum(1, dtype=np.int64)
+            order = np.argsort(away, kind="stable")
+            rows, away = rows[order], away[order]
+            most = (den - num) * 2 * int(size[rows].max()) // (den + num)
+            parts = np.split(rows, np.flatnonzero(np.diff(away) > most) + 1)
+            if len(parts) == 1:
+                out_i.append(rows[:-1])
+                out_j.append(rows[1:])
+            else:
+                waiting += [p for p in parts if len(p) > 1]
+        for rows in waiting:
+            out_i.append(rows[:-1])
+            out_j.append(rows[1:])
+    return np.concatenate(out_i), np.concatenate(out_j)
 
 
 def _sets(texts: pa.Array, words: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
@@ -229,8 +260,9 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
             ids = batch.column(0)
             for a, b, rows, values in _sets(batch.column(1), words):
                 size, one, two = set_hashes(rows, values, b - a)
-                sketch = pa.array([x.tobytes() for x in sketches(rows, values, b - a)], pa.binary())
-                yield pa.RecordBatch.from_arrays([ids.slice(a, b - a), pa.array(size), pa.array(one), pa.array(two), sketch], names=["doc_id", "n", "c1", "c2", "sketch"])
+                ends = np.searchsorted(rows, np.arange(b - a + 1))
+                drawn = pa.array([sketch(values[x:y]) for x, y in zip(ends[:-1], ends[1:], strict=True)], pa.binary())
+                yield pa.RecordBatch.from_arrays([ids.slice(a, b - a), pa.array(size), pa.array(one), pa.array(two), drawn], names=["doc_id", "n", "c1", "c2", "sketch"])
 
     def sign(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in it:
@@ -251,12 +283,11 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     def chain(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def edges(held: list[pa.RecordBatch]) -> pa.RecordBatch:
             t = pa.Table.from_batches(held)
-            drawing = np.frombuffer(b"".join(x.as_py() for x in t["sketch"]), np.uint8).reshape(-1, BINS)
+            drawing = t["sketch"].to_pylist()
             c1 = t["c1"].to_numpy()
             i, j = split_buckets(t["sig"].to_numpy(), drawing, t["n"].to_numpy(), num, den)
-            pairs = np.unique(np.stack([np.maximum(c1[i], c1[j]), np.minimum(c1[i], c1[j])]), axis=1)
-            pairs = pairs[:, pairs[0] != pairs[1]]
-            return pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], names=["a", "b"])
+            node, label = union_find(c1[i], c1[j])  # at most one edge for each class
+            return pa.RecordBatch.from_arrays([pa.array(node[node != label]), pa.array(label[node != label])], names=["a", "b"])
 
         held, rows = [], 0
         for batch in it:
