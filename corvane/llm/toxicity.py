@@ -47,7 +47,7 @@ class FactorizationMachine:
         return 1 / (1 + np.exp(-np.clip(self.logits(terms, np.searchsorted(rows, np.arange(len(texts) + 1))), -30, 30)))
 
 
-def fit_fm(terms: list[np.ndarray], labels: np.ndarray, *, bits: int = BITS, factors: int = FACTORS, least_rows: int = 8, least_z: float = 4.0, epochs: int = 40, batch: int = 128, rate: float = 0.1, l2_w: float = 2e-5, l2_v: float = 5e-4, toxic_weight: float = 4.0, seed: int = 7) -> FactorizationMachine:
+def fit_fm(terms: list[np.ndarray], labels: np.ndarray, *, bits: int = BITS, factors: int = FACTORS, least_rows: int = 8, least_z: float = 4.0, epochs: int = 40, batch: int = 128, rate: float = 0.1, l2_w: float = 2e-5, l2_v: float = 5e-4, toxic_weight: float = 2.0, seed: int = 7) -> FactorizationMachine:
     """Log loss by AdaGrad over mini-batches in a seeded order; toxic rows, the fewer, weigh toxic_weight times. No rows: every score is 0.5; one class: the base rate."""
     rng = np.random.default_rng(seed)
     number, n = telling(terms, labels, bits, least_rows, least_z)
