@@ -27,8 +27,8 @@ from pyspark.sql import functions as F
 from .common import table
 
 MARK = "▁"
-#: Parts of text in each of a worker's two cache generations, about 300 bytes each.
-CACHE_PARTS = 400_000
+#: Parts of text in each of a worker's two cache generations, about 220 bytes each.
+CACHE_PARTS = 250_000
 ROWS_A_SLICE = 500
 
 
@@ -40,13 +40,13 @@ class PieceCodec:
         ids = range(model.get_piece_size())
         self.pieces = [model.id_to_piece(i) for i in ids]
         self.bytes_id = {int(self.pieces[i][1:-1], 16): i for i in ids if model.is_byte(i)}
-        self.byte_of = {i: b for b, i in self.bytes_id.items()}
-        self.text_of: dict[int, str] = {}
-        self.silent = {i for i in ids if model.is_control(i)}
         self.unknown = model.unk_id()
         plain = [i for i in ids if not (model.is_byte(i) or model.is_control(i) or model.is_unknown(i) or model.is_unused(i))]
+        plain_set = set(plain)
+        texts = [bytes([int(p[1:-1], 16)]) if model.is_byte(i) else p.replace(MARK, " ").encode() if i in plain_set else " ⁇ ".encode() if i == self.unknown else b"" for i, p in enumerate(self.pieces)]
+        self.blob, self.lengths = np.frombuffer(b"".join(texts), np.uint8), np.array([len(t) for t in texts], np.int64)
+        self.starts = np.cumsum(self.lengths) - self.lengths
         self.id_of = {self.pieces[i]: i for i in plain}
-        self.text_of |= {i: self.pieces[i].replace(MARK, " ") for i in plain}
         self.score = {self.pieces[i]: model.get_score(i) for i in plain}
         #: Only tokens that merging can reach from their own characters are ever produced.
         self.reached = {p for p in self.id_of if len(p) == 1 or self.merged(p) == [p]}
@@ -71,8 +71,8 @@ class PieceCodec:
         apart = set(".,;:!?") - {b for p in self.id_of for a, b in zip(p, p[1:], strict=False) if a.isalnum()}
         before = f"{MARK}*[^\\W_]+(?=[{re.escape(''.join(sorted(apart)))}])|" if apart else ""
         self.parts = re.compile(f"{before}{MARK}*[^{MARK}{stop}]+|{MARK}+" + (f"|[{stop}]" if breaks else ""))
-        self.cache: dict[str, tuple[bytes, str]] = {}
-        self.old: dict[str, tuple[bytes, str]] = {}
+        self.cache: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
 
     def merged(self, text: str) -> list[str]:
         """Adjacent symbols merged by score, the leftmost first among equals. For short texts."""
@@ -156,26 +156,16 @@ class PieceCodec:
                 out.append(self.unknown)
         return out
 
-    def fragment(self, ids: list[int]) -> str:
-        """The text of ids inside a sentence: bytes together as UTF-8, space marks as spaces."""
+    def decode(self, ids: np.ndarray) -> str:
+        """The text of a sentence's ids: their bytes in a row, without the first space."""
+        n = self.lengths[ids]
+        ends = np.cumsum(n)
+        at = np.arange(ends[-1] if len(ends) else 0) + np.repeat(self.starts[ids] - ends + n, n)
+        data = self.blob[at].tobytes()
         try:
-            return "".join([self.text_of[i] for i in ids])
-        except KeyError:
-            pass  # bytes, or ids without a text
-        out, held = [], bytearray()
-        for i in [*ids, -1]:
-            if i in self.byte_of:
-                held.append(self.byte_of[i])
-                continue
-            if held:
-                out.append(held.decode(errors="replace"))
-                held.clear()
-            if i >= 0 and i not in self.silent:
-                out.append(" ⁇ " if i == self.unknown else self.pieces[i].replace(MARK, " "))
-        return "".join(out)
-
-    def decode(self, ids: list[int]) -> str:
-        return self.fragment(ids).removeprefix(" ")
+            return data.decode().removeprefix(" ")
+        except UnicodeDecodeError:
+            return _lenient(data).removeprefix(" ")
 
     def split(self, text: str) -> list[str]:
         if not text:
@@ -183,12 +173,9 @@ class PieceCodec:
         marked = MARK + text.replace(" ", MARK)
         return self.parts.findall(marked) if self.cuts else [marked]
 
-    def part(self, part: str) -> tuple[bytes, str]:
-        """ids as bytes and their text. The cache has two generations; parts that are asked for again move to the young one."""
-        found = self.cache.get(part) or self.old.get(part)
-        if found is None:
-            ids = self.ids(part)
-            found = (array("i", ids).tobytes(), self.fragment(ids))
+    def part(self, part: str) -> bytes:
+        """ids as bytes. The cache has two generations; parts that are asked for again move to the young one."""
+        found = self.cache.get(part) or self.old.get(part) or array("i", self.ids(part)).tobytes()
         if len(part) <= 64:
             if len(self.cache) >= CACHE_PARTS:
                 self.old = self.cache
@@ -196,11 +183,26 @@ class PieceCodec:
             self.cache[part] = found
         return found
 
-    def encode(self, text: str) -> tuple[np.ndarray, str]:
-        """ids and the text that they decode to."""
+    def encode(self, text: str) -> np.ndarray:
         part = self.part
-        found = [self.cache.get(p) or part(p) for p in self.split(text)]
-        return np.frombuffer(b"".join([f[0] for f in found]), np.int32), "".join([f[1] for f in found]).removeprefix(" ")
+        return np.frombuffer(b"".join([self.cache.get(p) or part(p) for p in self.split(text)]), np.int32)
+
+
+def _lenient(data: bytes) -> str:
+    """UTF-8 in which each byte that begins no character stands for the replacement character."""
+    out, at = [], 0
+    while at < len(data):
+        for n in (1, 2, 3, 4):
+            try:
+                out.append(data[at : at + n].decode())
+                at += n
+                break
+            except UnicodeDecodeError:
+                continue
+        else:
+            out.append("\ufffd")
+            at += 1
+    return "".join(out)
 
 
 @lru_cache(2)
@@ -222,9 +224,8 @@ def encode_pieces(docs: DataFrame, model_path: str, *, id_col: str = "doc_id", t
                 part = batch.slice(k, ROWS_A_SLICE)
                 ids, texts = [], []
                 for text in part.column(1):
-                    i, t = c.encode(text.as_py() or "")
-                    ids.append(i)
-                    texts.append(t)
+                    ids.append(c.encode(text.as_py() or ""))
+                    texts.append(c.decode(ids[-1]) if decoded else "")
                 ends = np.cumsum([0, *map(len, ids)]).astype(np.int32)
                 columns = [part.column(0), pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(ids) if ids else np.zeros(0, np.int32)))]
                 yield pa.RecordBatch.from_arrays([*columns, pa.array(texts, pa.string())] if decoded else columns, names=["doc_id", "ids", "decoded"][: 2 + decoded])
@@ -240,7 +241,7 @@ def decode_pieces(rows: DataFrame, model_path: str, *, id_col: str = "doc_id", i
     def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(model_path)
         for batch in it:
-            texts = [c.decode(x or []) for x in batch.column(1).to_pylist()]
+            texts = [c.decode(np.array(x or [], np.int64)) for x in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], names=["doc_id", "decoded"])
 
     rows = rows.select(F.col(id_col).alias("doc_id"), F.col(ids_col).alias("ids"))
