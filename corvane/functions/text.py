@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column
@@ -78,12 +79,23 @@ def list_with_and(items: Sequence[str]) -> str:
     return f"{', '.join(items[:-1])}, and {items[-1]}"
 
 
-def ascii_pattern(pattern: str) -> str:
-    """A case-insensitive pattern with \\b as the ASCII boundary."""
-    return "(?i)" + pattern.replace(r"\b", ASCII_B)
+_BOUNDARY = re.compile(r"\\b(?=[A-Za-z(])|\\b")
+
+
+def ascii_pattern(pattern: str, flags: str = "(?i)") -> str:
+    """A pattern with \\b as the ASCII boundary. Before a letter or group it only has to look back, else only ahead, as
+    the pattern's own letters stand on the other side."""
+    return flags + _BOUNDARY.sub(lambda m: "(?<![A-Za-z0-9_])" if pattern[m.end() : m.end() + 1].isalpha() or pattern[m.end() : m.end() + 1] == "(" else "(?![A-Za-z0-9_])", pattern)
+
+
+def ascii_lower(x: Column) -> Column:
+    return F.translate(x, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
 def detect(x: Column, vocabulary: Sequence[tuple[str, str]], limit: int = 6) -> Column:
-    """The first `limit` labels, in order of the vocabulary, whose pattern occurs."""
-    found = F.array_compact(F.array(*[F.when(x.rlike(ascii_pattern(p)), F.lit(label)) for label, p in vocabulary]))
-    return F.slice(found, 1, limit)
+    """The first `limit` labels, in order of the vocabulary, whose pattern occurs, in any case of ASCII letters.
+
+    The text is put in lower case once, so that patterns run without case folding. Patterns are in lower case.
+    """
+    found = F.transform(F.array(ascii_lower(x)), lambda t: F.array_compact(F.array(*[F.when(t.rlike(ascii_pattern(p, "")), F.lit(label)) for label, p in vocabulary])))
+    return F.slice(F.element_at(found, 1), 1, limit)
