@@ -109,7 +109,8 @@ def drop_repeated_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: st
             yield pa.RecordBatch.from_arrays([*columns, pa.array(n_lines, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(n_runs, pa.int64())], names=[*(f"c{k}" for k in range(len(names))), "n_lines", "n_removed", "n_runs"])
 
     kinds = ", ".join(f"c{k} {f.dataType.simpleString()}" for k, f in enumerate(inner))
-    joined = plain.join(removed.select(F.col("id").alias("key_id"), F.col("th").alias("key_th"), "places"), ["key_id", "key_th"], "left")
+    # The removals grow with the input, so the join is a sort-merge at every size and never a broadcast of what happens to be small.
+    joined = plain.join(removed.select(F.col("id").alias("key_id"), F.col("th").alias("key_th"), "places").hint("merge"), ["key_id", "key_th"], "left")
     joined = joined.select(*[f"c{k}" for k in range(len(names))], "places")
     out = joined.mapInArrow(clean, f"{kinds}, n_lines long, n_removed long, n_runs long")
     return out.select(*[F.col(f"c{k}").alias(c) for k, c in enumerate(names)], "n_lines", "n_removed", "n_runs")
