@@ -28,7 +28,7 @@ from .common import table
 
 MARK = "▁"
 #: Parts of text in each of a worker's two cache generations, about 220 bytes each.
-CACHE_PARTS = 250_000
+CACHE_PARTS = 200_000
 ROWS_A_SLICE = 500
 
 
