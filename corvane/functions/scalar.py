@@ -80,6 +80,20 @@ def is_json(x: Column) -> Column:
     return F.try_parse_json(x).isNotNull()
 
 
+# Response headers that may be kept.
+SAFE_HEADERS = ("accept-ranges", "content-length", "content-range", "content-type", "etag", "last-modified")
+
+
+def safe_headers(headers: Column) -> Column:
+    """A map of response headers with lower-case names, and only those that may be kept."""
+    return F.map_filter(F.transform_keys(headers, lambda k, _: F.lower(k)), lambda k, _: k.isin(*SAFE_HEADERS))
+
+
+def without_run_ids(metadata: Column) -> Column:
+    """A metadata map without keys that end in CaptureId."""
+    return F.map_filter(metadata, lambda k, _: ~k.endswith("CaptureId"))
+
+
 def floor_percentile(x: Column, p: float) -> Column:
     """Aggregate: the element at floor((n - 1) * p) of the sorted values; 0 for none."""
     values = F.sort_array(F.collect_list(x))

@@ -479,8 +479,24 @@ def json_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
 def header_allow_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     """FLT-12, FLT-13, MSC-06, STF-15."""
     headers = F.create_map(F.lit("ETag"), F.col("o_orderstatus"), F.lit("X-Cost"), F.lit("v"), F.lit("Content-Type"), F.col("o_orderpriority"))
-    kept = F.map_filter(F.transform_keys(headers, lambda k, _: F.lower(k)), lambda k, _: k.isin("content-type", "etag", "last-modified"))
-    return _t(spark, sf_dir, "orders").select("o_orderkey", _LIST(F.array_sort(F.map_keys(kept))).alias("kept"))
+    return _t(spark, sf_dir, "orders").select("o_orderkey", _LIST(F.array_sort(F.map_keys(scalar.safe_headers(headers)))).alias("kept"))
+
+
+@query("""SELECT (SELECT count(*) FROM documents) AS items, (SELECT count(DISTINCT doc_id) FROM documents) AS native_ids, (SELECT min(CAST(doc_id AS VARCHAR)) FROM documents) AS first_id,
+(SELECT max(CAST(doc_id AS VARCHAR)) FROM documents) AS last_id, (SELECT count(*) FROM documents WHERE doc_id % 9 = 0) AS without_record, (SELECT count(*) FROM documents) AS representations,
+(SELECT count(DISTINCT sha256(text)) FROM documents) AS artifacts, (SELECT string_agg(DISTINCT lang, '|' ORDER BY lang) FROM documents) AS languages, (SELECT count(*) FROM documents WHERE doc_id % 2 = 0) AS passages,
+(SELECT count(*) FROM documents WHERE doc_id % 2 = 0 AND nullif(text, '') IS NULL) AS without_text,
+(SELECT count(*) FROM (SELECT 'r' || doc_id AS s FROM documents UNION SELECT 'a' || sha256(text) FROM documents) WHERE s NOT IN (SELECT 'r' || doc_id FROM labels WHERE quality = 1)) AS ungoverned,
+(SELECT count(*) FROM labels WHERE quality = 1 AND toxic = 0 AND doc_id IN (SELECT doc_id FROM documents)) AS training_allowed, (SELECT count(*) FROM documents WHERE doc_id % 2 <> 0) AS without_passage""")
+def collection_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """AGG-02, AGG-15, GATE-11, JN-12, JN-21, FLT-10."""
+    docs, labels = _t(spark, sf_dir, "documents"), _t(spark, sf_dir, "labels")
+    d = F.col("doc_id").cast("string")
+    items = docs.select(d.alias("id"), d.alias("native_id"), F.when(F.col("doc_id") % 9 == 0, "").otherwise(d).alias("archive_record_id"))
+    reps = docs.select(F.concat(F.lit("r"), d).alias("id"), d.alias("item_id"), F.lit("text").alias("kind"), F.col("lang").alias("language"), F.concat(F.lit("a"), F.sha2("text", 256)).alias("artifact_id"))
+    cut = docs.where("doc_id % 2 = 0").select(d.alias("id"), d.alias("item_id"), F.col("text").alias("quoted_text"))
+    assessed = labels.select(F.concat(F.lit("r"), d).alias("subject"), F.when(F.col("quality") == 1, "accepted").otherwise("rejected").alias("review_state"), (F.col("toxic") == 0).alias("ml_training_allowed"))
+    return audit.collection_audit(items, reps, cut, assessed)
 
 
 @query(None)
