@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import re
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -92,10 +94,42 @@ def ascii_lower(x: Column) -> Column:
     return F.translate(x, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
+def required_literals(pattern: str) -> list[str]:
+    """Strings of which any text that matches the pattern holds at least one; empty if none are known."""
+
+    def of(items) -> list[str]:
+        found: list[list[str]] = []
+        run = ""
+        for op, arg in [*items, (None, None)]:
+            if op is not None and str(op) == "LITERAL":
+                run += chr(arg)
+                continue
+            if len(run) > 1:
+                found.append([run])
+            run = ""
+            if str(op) == "SUBPATTERN":
+                found.append(of(arg[3]))
+            elif str(op) == "BRANCH":
+                parts = [of(b) for b in arg[1]]
+                found.append([x for p in parts for x in p] if all(parts) else [])
+            elif str(op) == "MAX_REPEAT" and arg[0] > 0:
+                found.append(of(arg[2]))
+        return max((f for f in found if f), key=lambda f: (min(map(len, f)), -len(f)), default=[])
+
+    return sorted(set(of(re._parser.parse(pattern))))  # type: ignore[attr-defined]
+
+
+def _occurs(t: Column, pattern: str) -> Column:
+    """The pattern's literals are looked for first: a plain search decides most texts without the pattern."""
+    found = t.rlike(ascii_pattern(pattern, ""))
+    literals = required_literals(pattern)
+    return reduce(or_, (F.contains(t, F.lit(x)) for x in literals)) & found if literals else found
+
+
 def detect(x: Column, vocabulary: Sequence[tuple[str, str]], limit: int = 6) -> Column:
     """The first `limit` labels, in order of the vocabulary, whose pattern occurs, in any case of ASCII letters.
 
     The text is put in lower case once, so that patterns run without case folding. Patterns are in lower case.
     """
-    found = F.transform(F.array(ascii_lower(x)), lambda t: F.array_compact(F.array(*[F.when(t.rlike(ascii_pattern(p, "")), F.lit(label)) for label, p in vocabulary])))
+    found = F.transform(F.array(ascii_lower(x)), lambda t: F.array_compact(F.array(*[F.when(_occurs(t, p), F.lit(label)) for label, p in vocabulary])))
     return F.slice(F.element_at(found, 1), 1, limit)

@@ -9,12 +9,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import WS, WS_CHARS, trim_ws
+from ..functions.text import WS
 
 MOST_WORDS, LEAST_WORDS = 220, 55
 #: A sentence with its closing marks and the white space after it; a closing mark that no sentence takes stands alone.
 SENTENCE = rf"[^.!?]+(?:[.!?]+[\"']?|\z){WS}*|[.!?]"
-PARAGRAPH = rf"(?:^|\n{WS}*\n)[^\n](?s:.*?)(?=\n{WS}*\n|\z)|(?s:.)"
+#: A paragraph with the blank lines in front; or what can't begin one, a first line break and all up to blank lines.
+PARAGRAPH = rf"(?:^|\n{WS}*\n)[^\n](?s:.*?)(?=\n{WS}*\n|\z)|(?s:.+?)(?=\n{WS}*\n[^\n]|\z)"
+NO_PARAGRAPH = rf"^\n(?!{WS}*\n)"
 _SPAN = "array<struct<start:int,end:int>>"
 
 
@@ -26,65 +28,65 @@ def _between(text: Column, start: Column, end: Column) -> Column:
     return F.substr(text, start + 1, end - start)
 
 
-def _tiles(text: Column, pattern: str) -> Column:
-    return F.regexp_extract_all(text, F.lit(pattern), 0)
+def _tiles(text: Column, pattern: str, mark: str) -> Column:
+    """Of each successive match its length, the white space in front, the length without white space, the words, and whether
+    it is of the marked kind: measured once, so that the folds below only add numbers."""
 
+    def measure(tile: Column) -> Column:
+        lead = F.length(F.regexp_extract(tile, f"^{WS}+", 0))
+        rest = F.length(F.regexp_replace(tile, f"{WS}+\\z", "")) - lead
+        gaps = F.regexp_count(tile, F.lit(f"{WS}+")) - (lead > 0).cast("int") - (F.length(tile) > lead + rest).cast("int")
+        return F.struct(F.length(tile).alias("n"), lead.alias("lead"), F.greatest(F.lit(0), rest).alias("rest"), (gaps + 1).alias("words"), tile.rlike(mark).alias("mark"))
 
-def _trimmed(tile: Column, at: Column) -> Column:
-    lead = F.length(tile) - F.length(F.regexp_replace(tile, f"^{WS}+", ""))
-    return F.struct((at + lead).alias("start"), (at + lead + F.length(trim_ws(tile))).alias("end"))
+    return F.transform(F.regexp_extract_all(text, F.lit(pattern), 0), measure)
 
 
 def _paragraphs(text: Column) -> Column:
-    start = F.struct(F.lit(0).alias("at"), F.expr(f"cast(array() as {_SPAN})").alias("out"))
+    start = F.struct(F.lit(0).alias("at"), F.expr("cast(array() as array<struct<start:int,end:int,words:int>>)").alias("out"))
 
     def step(acc: Column, tile: Column) -> Column:
-        span = _trimmed(tile, acc["at"])
-        keep = (F.length(tile) > 1) | tile.rlike(f"[^{WS_CHARS}]")
-        full = keep & (span["end"] > span["start"])
-        return F.struct((acc["at"] + F.length(tile)).alias("at"), F.when(full, F.concat(acc["out"], F.array(span))).otherwise(acc["out"]).alias("out"))
+        span = F.struct((acc["at"] + tile["lead"]).alias("start"), (acc["at"] + tile["lead"] + tile["rest"]).alias("end"), tile["words"].alias("words"))
+        return F.struct((acc["at"] + tile["n"]).alias("at"), F.when((tile["rest"] > 0) & ~tile["mark"], F.concat(acc["out"], F.array(span))).otherwise(acc["out"]).alias("out"))
 
-    return F.aggregate(_tiles(text, PARAGRAPH), start, step, lambda acc: acc["out"])
+    return F.aggregate(_tiles(text, PARAGRAPH, NO_PARAGRAPH), start, step, lambda acc: acc["out"])
 
 
 def _packed(text: Column, paragraph: Column, most: int) -> Column:
     """Windows of one paragraph: sentences are added until the next one would exceed the limit."""
-    body = _between(text, paragraph["start"], paragraph["end"])
     none = F.lit(None).cast("int")
-    start = F.struct(F.lit(0).alias("at"), none.alias("b"), none.alias("e"), F.lit(0).alias("n"), F.expr(f"cast(array() as {_SPAN})").alias("out"))
+    start = F.struct(paragraph["start"].alias("at"), none.alias("b"), none.alias("e"), F.lit(0).alias("n"), F.expr(f"cast(array() as {_SPAN})").alias("out"))
 
     def step(acc: Column, tile: Column) -> Column:
-        span = _trimmed(tile, acc["at"])
-        words = F.when(tile.rlike(r"^[.!?]"), 0).when(span["end"] > span["start"], _n_words(trim_ws(tile))).otherwise(0)
+        words = F.when(tile["mark"] | (tile["rest"] == 0), 0).otherwise(tile["words"])
         flush = acc["b"].isNotNull() & (words > 0) & (acc["n"] + words > most)
-        window = F.array(F.struct((paragraph["start"] + acc["b"]).alias("start"), (paragraph["start"] + acc["e"]).alias("end")))
+        window = F.array(F.struct(acc["b"].alias("start"), acc["e"].alias("end")))
         return F.struct(
-            (acc["at"] + F.length(tile)).alias("at"),
-            F.when(words == 0, acc["b"]).when(flush | acc["b"].isNull(), span["start"]).otherwise(acc["b"]).alias("b"),
-            F.when(words == 0, acc["e"]).otherwise(span["end"]).alias("e"),
+            (acc["at"] + tile["n"]).alias("at"),
+            F.when(words == 0, acc["b"]).when(flush | acc["b"].isNull(), acc["at"] + tile["lead"]).otherwise(acc["b"]).alias("b"),
+            F.when(words == 0, acc["e"]).otherwise(acc["at"] + tile["lead"] + tile["rest"]).alias("e"),
             F.when(flush, words).otherwise(acc["n"] + words).alias("n"),
             F.when(flush, F.concat(acc["out"], window)).otherwise(acc["out"]).alias("out"),
         )
 
     def finish(acc: Column) -> Column:
-        last = F.array(F.struct((paragraph["start"] + acc["b"]).alias("start"), (paragraph["start"] + acc["e"]).alias("end")))
-        return F.when(acc["b"].isNotNull(), F.concat(acc["out"], last)).otherwise(acc["out"])
+        return F.when(acc["b"].isNotNull(), F.concat(acc["out"], F.array(F.struct(acc["b"].alias("start"), acc["e"].alias("end"))))).otherwise(acc["out"])
 
-    return F.when(_n_words(body) <= most, F.array(F.struct(paragraph["start"].alias("start"), paragraph["end"].alias("end")))).otherwise(F.aggregate(_tiles(body, SENTENCE), start, step, finish))
+    body = _between(text, paragraph["start"], paragraph["end"])
+    return F.when(paragraph["words"] <= most, F.array(F.struct(paragraph["start"].alias("start"), paragraph["end"].alias("end")))).otherwise(F.aggregate(_tiles(body, SENTENCE, r"^[.!?]"), start, step, finish))
 
 
 def _merged(text: Column, slices: Column, most: int, least: int) -> Column:
     """A slice below `least` words takes in the next one if both together stay within the limit."""
     none = F.lit(None).cast("int")
-    start = F.struct(none.alias("b"), none.alias("e"), F.expr(f"cast(array() as {_SPAN})").alias("out"))
+    start = F.struct(none.alias("b"), none.alias("e"), F.lit(0).alias("w"), F.expr(f"cast(array() as {_SPAN})").alias("out"))
+    counted = F.transform(slices, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), _n_words(_between(text, s["start"], s["end"])).alias("words")))
 
     def step(acc: Column, s: Column) -> Column:
-        held = _n_words(_between(text, acc["b"], acc["e"]))
-        join = F.coalesce((held < least) & (held + _n_words(_between(text, s["start"], s["end"])) <= most), F.lit(False))
+        join = acc["b"].isNotNull() & (acc["w"] < least) & (acc["w"] + s["words"] <= most)
         done = F.when(acc["b"].isNull() | join, acc["out"]).otherwise(F.concat(acc["out"], F.array(F.struct(acc["b"].alias("start"), acc["e"].alias("end")))))
-        return F.struct(F.when(join, acc["b"]).otherwise(s["start"]).alias("b"), s["end"].alias("e"), done.alias("out"))
+        return F.struct(F.when(join, acc["b"]).otherwise(s["start"]).alias("b"), s["end"].alias("e"), F.when(join, _n_words(_between(text, acc["b"], s["end"]))).otherwise(s["words"]).alias("w"), done.alias("out"))
 
-    return F.aggregate(slices, start, step, lambda acc: F.when(acc["b"].isNull(), acc["out"]).otherwise(F.concat(acc["out"], F.array(F.struct(acc["b"].alias("start"), acc["e"].alias("end"))))))
+    return F.aggregate(counted, start, step, lambda acc: F.when(acc["b"].isNull(), acc["out"]).otherwise(F.concat(acc["out"], F.array(F.struct(acc["b"].alias("start"), acc["e"].alias("end"))))))
 
 
 def passage_slices(text: Column, most: int = MOST_WORDS, least: int = LEAST_WORDS) -> Column:

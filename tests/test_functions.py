@@ -91,3 +91,12 @@ def test_passages_are_slices_in_order(spark):
         assert all(texts[i][r["start"] : r["end"]] == r["text"] for r in found)
     assert all(len(r["text"].split()) <= 220 for r in by[1])
     assert len(by[5]) == 1 and len(by[5][0]["text"].split()) == 300  # one sentence has no hard limit
+
+
+def test_paragraph_edges(spark):
+    texts = {1: "\nabc def", 2: "\nabc\n\nnext one", 3: "x", 4: "\n\n  one\n\n\n two \n", 5: "a\n \n\nb"}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = {}
+    for r in passages(docs, least=0).orderBy("doc_id", "ordinal").collect():
+        got.setdefault(r["doc_id"], []).append(r["text"])
+    assert got == {2: ["next one"], 3: ["x"], 4: ["one", "two"], 5: ["a", "b"]}
