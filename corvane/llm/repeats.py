@@ -100,7 +100,7 @@ def repeated_windows(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray,
             stays = left[order] <= column
             if not stays.all():
                 kept = np.flatnonzero(stays)
-                lcp = np.minimum.reduceat(lcp, np.concatenate([[0], kept[:-1] + 1])) if len(kept) else lcp[:0]
+                lcp = np.minimum.reduceat(lcp[: kept[-1] + 1], np.concatenate([[0], kept[:-1] + 1])) if len(kept) else lcp[:0]
                 order = order[kept]
                 lcp[:1] = 0
             a, b = np.searchsorted(joins, [-column, -column + 1])

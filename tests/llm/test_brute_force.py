@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -128,6 +129,25 @@ def test_repeated_bytes(spark, width):
         assert bytes(got[i]["kept"]) == b"".join(data[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True)) and got[i]["n_bytes"] == len(data)
 
 
+def test_repeated_windows_of_strings_with_different_ends():
+    width, rng = 200, np.random.default_rng(3)
+    strings, before = [], []
+    for _ in range(40):  # each pair begins at its own column, so some pairs leave while others still share windows
+        shared = rng.integers(97, 101, int(rng.integers(220, 400))).astype(np.uint8)
+        place = int(rng.integers(0, 160))
+        for _ in range(2):
+            left, right = (rng.integers(97, 101, int(rng.integers(0, 20))).astype(np.uint8) for _ in range(2))
+            left[:1] = 122  # sorts after all strings that stay
+            strings.append(np.concatenate([left, shared, right]))
+            before.append(len(left) + place)
+    lengths, before = np.array([len(x) for x in strings]), np.array(before)
+    starts = np.cumsum(lengths) - lengths
+    got = repeats.repeated_windows(np.concatenate(strings), starts, lengths, before, width)
+    windows = [(k - b, x[k : k + width].tobytes()) for x, b in zip(strings, before, strict=True) for k in range(len(x) - width + 1)]
+    n = Counter(windows)
+    assert got.tolist() == [n[w] > 1 for w in windows]
+
+
 def test_long_texts_come_in_pieces(monkeypatch):
     rng = np.random.default_rng(0)
     raw = rng.integers(97, 101, 5000).astype(np.uint8)
