@@ -78,7 +78,7 @@ def sections(books: DataFrame, spec: BookSpec, found: DataFrame, *, id_col: str
     for heading, title in spec.heading_aliases.items():
         keys = keys.unionByName(keys.where(F.col("_key") == normalize(F.lit(title))).withColumn("_key", normalize(F.lit(heading))))
     first = Window.partitionBy(id_col, "ordinal").orderBy("_k")
-    heads = lines.withColumn("_key", normalize(F.col("_l"))).join(F.broadcast(keys), [id_col, "_key"]).withColumn("_r", F.row_number().over(first)).where("_r = 1")
+    heads = lines.withColumn("_key", normalize(F.col("_l"))).join(keys, [id_col, "_key"]).withColumn("_r", F.row_number().over(first)).where("_r = 1")
     heads = heads.withColumn("_next", F.lead("_at").over(by_line)).select(id_col, "ordinal", "title", (F.col("_at") + F.length("_l") + 1).alias("_text_at"), "_at", F.coalesce("_next", F.col("_len") + 1).alias("_stop"), F.coalesce("_next", "_len").alias("_end_at"))
     out = heads.join(b.select(id_col, "_marker", "_body"), id_col)
     raw = F.substr(F.col("_body"), (F.col("_text_at") + 1).cast("int"), F.greatest(F.lit(0), F.col("_stop") - F.col("_text_at") - 1).cast("int"))

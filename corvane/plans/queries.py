@@ -499,13 +499,19 @@ def collection_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.collection_audit(items, reps, cut, assessed)
 
 
+#: Ids in one book.
+BOOK_IDS = 40
+
+
 @query(None)
 def book_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """STF-10, STF-11, WIN-02 to WIN-06, JN-18, FLT-01 to FLT-03: a book made of each language's titles, cut up again."""
-    docs = _t(spark, sf_dir, "documents").where("doc_id < 40 AND length(text) BETWEEN 400 AND 4000").select("lang", F.concat(F.lit("STORY NUMBER "), F.col("doc_id").cast("string")).alias("title"), F.regexp_replace("text", "\n", " ").alias("text"))
+    """STF-10, STF-11, WIN-02 to WIN-06, JN-18, FLT-01 to FLT-03: all documents as books, one for each language and range of ids, cut up again."""
+    end = "\n*** END OF\n"  # the texts have no newline left, so none holds it
+    book = F.concat_ws("-", F.coalesce("lang", F.lit("und")), F.floor(F.col("doc_id") / BOOK_IDS).cast("string"))
+    docs = _t(spark, sf_dir, "documents").select(book.alias("book_id"), F.concat(F.lit("STORY NUMBER "), F.col("doc_id").cast("string")).alias("title"), F.regexp_replace(F.coalesce("text", F.lit("")), "\n", " ").alias("text"))
     entries = F.sort_array(F.collect_list(F.struct("title", "text")))
     toc = F.array_join(F.transform(entries, lambda e: e["title"]), "\n")
     body = F.array_join(F.transform(entries, lambda e: F.concat(e["title"], F.lit("\n\n"), e["text"])), "\n\n")
-    books = docs.groupBy(F.col("lang").alias("book_id")).agg(F.concat(F.lit("CONTENTS\n"), toc, F.lit("\nTHE BOOK BEGINS\n\n"), body, F.lit("\n*** END OF")).alias("text"))
-    spec = segmentation.BookSpec("CONTENTS", "THE BOOK BEGINS", "uppercase-lines")
+    books = docs.groupBy("book_id").agg(F.concat(F.lit("CONTENTS\n"), toc, F.lit("\nTHE BOOK BEGINS\n\n"), body, F.lit(f"\n{end}")).alias("text"))
+    spec = segmentation.BookSpec("CONTENTS", "THE BOOK BEGINS", "uppercase-lines", body_end=end)
     return segmentation.sections(books, spec, segmentation.titles(books, spec)).select("book_id", "ordinal", "title", F.length("text").alias("characters"), "start", "end")
