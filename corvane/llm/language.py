@@ -2,7 +2,7 @@
 
 Each learned language is a distribution of byte trigrams. A document is a mixture: each of its words comes from one
 language, and expectation-maximisation estimates the shares. The set of languages is chosen by penalised likelihood: the
-likelihood of the best one, two or three languages, less half the logarithm of the number of words for each language.
+likelihood of the best one, two, three ... up to all languages, less half the logarithm of the number of words for each language.
 """
 
 from __future__ import annotations
@@ -19,7 +19,6 @@ from .common import fold, table
 from .wordhash import LOWER, PUNCT, buffers, row_sums, runs, word_spans
 
 GRAM_BITS = 15
-MOST_LANGUAGES = 3
 ROUNDS = 10
 _MULTIPLIER = np.uint32(0x9E3779B1)
 
@@ -82,12 +81,12 @@ def choose(scores: np.ndarray, first: np.ndarray) -> np.ndarray:
     row = np.repeat(np.arange(rows), np.diff(first))
     top = scores.max(1) if len(scores) else np.zeros(0, np.float32)
     likely = np.exp(scores - top[:, None])
-    shares, _ = _em(likely, top, first, row, np.ones((rows, k), np.float32))
+    shares, of_all = _em(likely, top, first, row, np.ones((rows, k), np.float32))
     rank = np.argsort(np.argsort(-shares, axis=1, kind="stable"), axis=1, kind="stable")
     cost = 0.5 * np.log(np.maximum(np.diff(first), 2))
     best, best_value = np.zeros((rows, k)), np.full(rows, -np.inf)
-    for size in range(1, min(MOST_LANGUAGES, k) + 1):
-        share, value = _em(likely, top, first, row, (rank < size).astype(np.float32))
+    for size in range(1, k + 1):
+        share, value = _em(likely, top, first, row, (rank < size).astype(np.float32)) if size < k else (shares, of_all)
         value = value - size * cost
         better = value > best_value
         best[better], best_value[better] = share[better], value[better]

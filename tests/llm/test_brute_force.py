@@ -268,6 +268,14 @@ def test_language_held_out_and_mixtures(spark):
     assert set(got[1]["lang_set"].split(",")) == {"en", "de"} and 0.3 < got[1]["score"] < 0.75 and got[2]["lang_set"] == "fr"
 
 
+def test_language_sets_of_any_size():
+    for k in (2, 4, 6):
+        scores = np.full((90 * k, 6), -40.0, np.float32)
+        scores[np.arange(90 * k), np.arange(90 * k) % k] = -10
+        share = language.choose(scores, np.array([0, 90 * k]))[0]
+        assert (share[:k] > 0.9 / k).all() and (share[k:] == 0).all()
+
+
 def test_word_hashes():
     import pyarrow as pa
 
