@@ -360,14 +360,19 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
 
 
 def keep_one_of_each(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", words: int = 5, num: int = 80, den: int = 100) -> DataFrame:
-    """The rows of docs, with all their columns: of each group of linked documents the one with the smallest id stays.
+    """The rows of docs, with all their columns: of each group of linked texts the one with the smallest id stays.
 
-    Of several rows with that id the one with the smallest text stays. Rows with a null id, which are in no group, stay.
+    Each id and text is a node of its own, so rows of one id only go when their texts link or are equal; of such rows the
+    one with the smallest hash of id and text stays. Rows with a null id, which are in no group, stay.
     """
-    found = near_duplicates(docs, id_col=id_col, text_col=text_col, words=words, num=num, den=den)
-    heads = found.where("doc_id = component_id").select(F.col("doc_id").alias("_head")).distinct()
-    first = Window.partitionBy("_head").orderBy(F.col(text_col).asc_nulls_first())
-    kept = docs.join(heads, F.col(id_col).cast("long") == F.col("_head")).withColumn("_n", F.row_number().over(first)).where("_n = 1")
+    id_ = F.col(id_col).cast("long")
+    keyed = docs.where(F.col(id_col).isNotNull()).withColumn("_key", F.xxhash64(id_, F.col(text_col)))
+    found = near_duplicates(keyed, id_col="_key", text_col=text_col, words=words, num=num, den=den)
+    found = found.select(F.col("doc_id").alias("_key"), "component_id").distinct()
+    ids = keyed.select("_key", id_.alias("_id")).distinct()
+    heads = found.join(ids, "_key").groupBy("component_id").agg(F.min(F.struct("_id", "_key")).alias("_head")).select("_head._key")
+    first = Window.partitionBy("_key").orderBy("_key")
+    kept = keyed.join(heads, "_key").withColumn("_n", F.row_number().over(first)).where("_n = 1")
     return kept.select(*docs.columns).union(docs.where(F.col(id_col).isNull()))
 
 

@@ -65,6 +65,13 @@ def test_near_duplicates(spark, k, num, blocks):
     assert got == {i: (len(s), want[i]) for i, s in enumerate(sets)}
 
 
+def test_rows_of_one_id_go_only_when_linked(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(40)) for x in "abc")
+    rows = [(1, a), (5, a), (5, b), (7, None), (7, c), (8, c), (9, ""), (9, b + " "), (None, a)]
+    kept = ngram_join.keep_one_of_each(spark.createDataFrame([*rows, (5, b)], "doc_id long, text string"))
+    assert Counter(tuple(r) for r in kept.collect()) == Counter([(1, a), (5, b), (7, None), (7, c), (9, ""), (None, a)])
+
+
 def test_signatures_are_shared_by_all_linked_sets():
     rng = np.random.default_rng(5)
     for n in (6, 7, 9, 13, 20, 47, 300, 2000):
