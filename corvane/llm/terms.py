@@ -9,33 +9,42 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import Scratch
 from .wordhash import PUNCT, buffers, mix, runs, span_hashes, word_spans
 
 TERM_BITS = 18
 #: The most labelled rows that a classifier learns from: those with the smallest hash of their id. A bound on the driver's memory.
 SAMPLE_ROWS = 12_000
-#: The most distinct terms that a sampled row gives: those with the smallest hash. With SAMPLE_ROWS, it bounds what is collected for learning; scoring has no such bound.
-SAMPLE_TERMS = 20_000
+#: The most hashed terms that the sample holds in all; rows are taken whole, in order of the hash, until the next one would not fit. With SAMPLE_ROWS, it bounds what the driver holds.
+SAMPLE_TERMS = 24_000_000
 
 _SYMBOL = np.ones(256, bool)
 _SYMBOL[[*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)]] = False
 
 
-def terms_of(texts: pa.Array, bits: int = TERM_BITS, symbols: bool = False, prefixes: Sequence[int] = (), number: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def again(term: np.ndarray, bits: int) -> np.ndarray:
+    """The term that says that this one occurs twice or more."""
+    return (mix(term.astype(np.uint64) + np.uint64(0x2545F4914F6CDD1D)) >> np.uint64(64 - bits)).astype(np.int64)
+
+
+def terms_of(texts: pa.Array, bits: int = TERM_BITS, symbols: bool = False, prefixes: Sequence[int] = (), repeated: bool = False, number: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(row, term, count) of all texts, sorted by row and term; a row's term occurs once. Terms are runs of letters and
     digits in lower case, hashed to 2^bits; with symbols, runs of ASCII punctuation marks are terms too; with prefixes,
-    so are the first so many bytes of longer words, which catch inflected and compound forms of a stem.
+    so are the first so many bytes of longer words, which catch inflected and compound forms of a stem; with repeated,
+    a term that a row holds twice or more gives one more term that says so (with count 1).
     number: a table from terms to dense numbers; terms with number 0 are left out early, and the numbers are returned."""
     raw, at = buffers(texts)
+    wanted = None if number is None else number > 0
+    if wanted is not None and repeated:
+        wanted = wanted | wanted[again(np.arange(1 << bits), bits)]
     rows, terms, counts = [], [], []
     for first, last, part, offsets in runs(raw, at):
         own_rows, own = [], []
 
         def add(row: np.ndarray, h: np.ndarray) -> None:
             term = (h >> np.uint64(64 - bits)).astype(np.int64)
-            if number is not None:
-                term = number[term].astype(np.int64)
-                row, term = row[term > 0], term[term > 0]
+            if wanted is not None:
+                row, term = row[wanted[term]], term[wanted[term]]
             own_rows.append(row)  # noqa: B023
             own.append(term)  # noqa: B023
 
@@ -48,33 +57,48 @@ def terms_of(texts: pa.Array, bits: int = TERM_BITS, symbols: bool = False, pref
                 add(row[long], mix(span_hashes(part, starts[long], starts[long] + k) + np.uint64(k)))
         key = (np.concatenate(own_rows) << bits) | np.concatenate(own)
         key, n = np.unique(key, return_counts=True)
-        rows.append((key >> bits) + first)
-        terms.append(key & ((1 << bits) - 1))
+        if repeated:
+            twice = key[n > 1]
+            key, n = np.concatenate([key, (twice >> bits << bits) | again(twice & ((1 << bits) - 1), bits)]), np.concatenate([n, np.ones(len(twice), n.dtype)])
+            key, at_first = np.unique(key, return_index=True)
+            n = n[at_first]
+        row, term = (key >> bits) + first, key & ((1 << bits) - 1)
+        if number is not None:
+            term = number[term].astype(np.int64)
+            row, term, n = row[term > 0], term[term > 0], n[term > 0]
+        rows.append(row)
+        terms.append(term)
         counts.append(n)
     if not rows:
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
     return np.concatenate(rows), np.concatenate(terms), np.concatenate(counts)
 
 
-def labelled_terms(docs: DataFrame, labels: DataFrame, *, id_col: str, text_col: str, label_col: str, learn: Column, sample_rows: int = SAMPLE_ROWS, bits: int = TERM_BITS, symbols: bool = False, prefixes: Sequence[int] = (), counted: bool = True) -> tuple[list[np.ndarray], list[np.ndarray], np.ndarray]:
+def labelled_terms(docs: DataFrame, labels: DataFrame, *, id_col: str, text_col: str, label_col: str, learn: Column, sample_rows: int = SAMPLE_ROWS, sample_terms: int = SAMPLE_TERMS, bits: int = TERM_BITS, symbols: bool = False, prefixes: Sequence[int] = (), repeated: bool = False, counted: bool = True) -> tuple[list[np.ndarray], list[np.ndarray], np.ndarray]:
     """Terms, counts and label of a bounded sample of labelled rows for which `learn` (an expression over doc_id) holds.
 
-    Only the chosen ids and labels, at most sample_rows, are sent to the executors; only hashed terms come back.
+    The bound is on rows: at most sample_rows, and no more than hold sample_terms terms together. A row that is taken gives
+    all its terms. Only chosen ids and labels are sent to the executors; the sample lies in the shared folder, the
+    driver adds up its rows' numbers of terms and fetches those that fit.
     """
     ids = labels.select(F.col(id_col).alias("doc_id"), F.col(label_col).cast("int").alias("label")).where("doc_id is not null and label is not null").where(learn)
-    ids = ids.groupBy("doc_id").agg(F.max("label").alias("label")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows)
+    ids = ids.groupBy("doc_id").agg(F.max("label").alias("label")).select(F.xxhash64("doc_id").alias("place"), "doc_id", "label").orderBy("place", "doc_id").limit(sample_rows)
     chosen = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).join(F.broadcast(ids), "doc_id")
 
     def batches(it):
         for batch in it:
             for k in range(0, batch.num_rows, 500):
                 part = batch.slice(k, 500)
-                rows, terms, counts = terms_of(part.column(1), bits, symbols, prefixes)
+                rows, terms, counts = terms_of(part.column(2), bits, symbols, prefixes, repeated)
                 ends = np.searchsorted(rows, np.arange(part.num_rows + 1))
-                kept = [(t[:SAMPLE_TERMS], n[:SAMPLE_TERMS]) for a, b in zip(ends[:-1], ends[1:], strict=True) for t, n in ((terms[a:b], counts[a:b]),)]
-                yield pa.RecordBatch.from_pydict({"label": part.column(0), "terms": pa.array([t.astype(np.int32).tobytes() for t, _ in kept], pa.binary()), "counts": pa.array([n.astype(np.int32).tobytes() if counted else b"" for _, n in kept], pa.binary())})
-
-    found = chosen.select("label", "text").mapInArrow(batches, "label int, terms binary, counts binary").toArrow()
+                spans = list(zip(ends[:-1], ends[1:], strict=True))
+                yield pa.RecordBatch.from_pydict({"place": part.column(0), "label": part.column(1), "n": pa.array(np.diff(ends).astype(np.int64)), "terms": pa.array([terms[a:b].astype(np.int32).tobytes() for a, b in spans], pa.binary()), "counts": pa.array([counts[a:b].astype(np.int32).tobytes() if counted else b"" for a, b in spans], pa.binary())})
+
+    sample = Scratch(docs.sparkSession, "labelled").write(chosen.select("place", "label", "text").mapInArrow(batches, "place long, label int, n long, terms binary, counts binary"), "sample")
+    sizes = sample.groupBy("place").agg(F.sum("n").alias("n")).toArrow().sort_by("place")
+    fit = np.cumsum(sizes["n"].to_numpy()) <= sample_terms
+    last = sizes["place"][int(fit.sum()) - 1].as_py() if fit.any() else None
+    found = sample.where(F.lit(False) if last is None else F.col("place") <= last).select("label", "terms", "counts").toArrow()
     order = sorted(range(found.num_rows), key=lambda i: (found["terms"][i].as_py(), found["label"][i].as_py()))
     read = lambda name: [np.frombuffer(found[name][i].as_py(), np.int32) for i in order]
     return read("terms"), read("counts"), np.array([found["label"][i].as_py() for i in order], np.int64)
@@ -89,10 +113,8 @@ def compact(terms: list[np.ndarray], bits: int, least_rows: int) -> tuple[np.nda
     return number, len(keep)
 
 
-
-def telling(terms: list[np.ndarray], labels: np.ndarray, bits: int, least_rows: int, least_z: float) -> tuple[np.ndarray, int]:
-    """Dense numbers, from 1, of the terms whose rows hold label 1 more or less often than all rows by at least least_z
-    standard deviations; 0 for the others. Keeps a model from learning single rows by heart."""
+def telling(terms: list[np.ndarray], labels: np.ndarray, bits: int, least_rows: int, least_z: float) -> np.ndarray:
+    """Terms whose rows hold label 1 more or less often than all rows by at least least_z standard deviations."""
     n = max(len(terms), 1)
     rate = min(max(labels.sum() / n, 0.5 / n), 1 - 0.5 / n)
     seen, hit = np.zeros(1 << bits, np.int32), np.zeros(1 << bits, np.int32)
@@ -100,7 +122,42 @@ def telling(terms: list[np.ndarray], labels: np.ndarray, bits: int, least_rows:
         seen[t] += 1
         hit[t] += int(y)
     z = (hit - seen * rate) / np.sqrt(np.maximum(seen, 1) * rate * (1 - rate))
-    keep = np.flatnonzero((seen >= least_rows) & (np.abs(z) >= least_z))
-    number = np.zeros(1 << bits, np.int32)
-    number[keep] = np.arange(1, len(keep) + 1)
-    return number, len(keep)
+    return np.flatnonzero((seen >= least_rows) & (np.abs(z) >= least_z))
+
+
+def telling_in_pairs(terms: list[np.ndarray], labels: np.ndarray, score: np.ndarray, bits: int, least_rows: int, least_z: float, most_terms: int) -> np.ndarray:
+    """Terms of pairs whose common rows hold label 1 more or less often than `score` says, by at least least_z standard
+    deviations, however little either term tells alone.
+
+    score: the probability of label 1 by the terms that tell alone. All pairs are looked at among the most_terms terms
+    whose presence varies most over the rows, as products of blocks of a row-by-term matrix. Rows with equal terms and
+    label count once, so that copies of a text prove nothing.
+    """
+    once = sorted({(t.tobytes(), int(y)): i for i, (t, y) in enumerate(zip(terms, labels, strict=True))}.values())
+    seen = np.zeros(1 << bits, np.int32)
+    for i in once:
+        seen[terms[i]] += 1
+    spread = np.where(seen >= least_rows, seen * (1 - seen / max(len(once), 1)), 0)
+    keep = np.argsort(-spread, kind="stable")[:most_terms]
+    keep = np.sort(keep[spread[keep] > 0])
+    if len(keep) < 2:
+        return np.zeros(0, np.int64)
+    number = np.full(1 << bits, -1, np.int32)
+    number[keep] = np.arange(len(keep))
+    x = np.zeros((len(once), len(keep)), np.uint8)
+    for r, i in enumerate(once):
+        at = number[terms[i]]
+        x[r, at[at >= 0]] = 1
+    p = score[once]
+    left, spread_of = (labels[once] - p).astype(np.float32)[:, None], (p * (1 - p)).astype(np.float32)[:, None]
+    told, block = np.zeros(len(keep), bool), 512
+    for a in range(0, len(keep), block):
+        one = x[:, a : a + block].astype(np.float32)
+        for b in range(a, len(keep), block):
+            two = x[:, b : b + block].astype(np.float32)
+            strong = np.abs((one * left).T @ two) >= least_z * np.sqrt((one * spread_of).T @ two + 1)
+            if a == b:
+                np.fill_diagonal(strong, False)
+            told[a : a + block] |= strong.any(1)
+            told[b : b + block] |= strong.any(0)
+    return keep[told]

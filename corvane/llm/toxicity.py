@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import fold, table
-from .terms import SAMPLE_ROWS, labelled_terms, telling, terms_of
+from .terms import SAMPLE_ROWS, labelled_terms, telling, telling_in_pairs, terms_of
 from .wordhash import row_sums
 
 FACTORS = 8
@@ -43,14 +43,53 @@ class FactorizationMachine:
         return self.bias + row_sums(self.weights[terms], first) + 0.5 * ((s * s).sum(1) - row_sums((v * v).sum(1), first))
 
     def score(self, texts: pa.Array) -> np.ndarray:
-        rows, terms, _ = terms_of(texts, self.bits, prefixes=PREFIXES, number=self.number)
+        rows, terms, _ = terms_of(texts, self.bits, prefixes=PREFIXES, repeated=True, number=self.number)
         return 1 / (1 + np.exp(-np.clip(self.logits(terms, np.searchsorted(rows, np.arange(len(texts) + 1))), -30, 30)))
 
 
-def fit_fm(terms: list[np.ndarray], labels: np.ndarray, *, bits: int = BITS, factors: int = FACTORS, least_rows: int = 8, least_z: float = 4.0, epochs: int = 40, batch: int = 128, rate: float = 0.1, l2_w: float = 2e-5, l2_v: float = 5e-4, toxic_weight: float = 2.0, seed: int = 7) -> FactorizationMachine:
-    """Log loss by AdaGrad over mini-batches in a seeded order; toxic rows, the fewer, weigh toxic_weight times. No rows: every score is 0.5; one class: the base rate."""
+def _numbers(kept: np.ndarray, bits: int) -> np.ndarray:
+    """Dense numbers of these terms, from 1; 0 for all others."""
+    number = np.zeros(1 << bits, np.int32)
+    number[kept] = np.arange(1, len(kept) + 1)
+    return number
+
+
+def _calibrated(logits: np.ndarray, labels: np.ndarray) -> np.ndarray:
+    """Probabilities by a slope and an intercept fitted to the labels (Newton steps, a little regularised)."""
+    a, b = 1.0, 0.0
+    for _ in range(25):
+        p = 1 / (1 + np.exp(-np.clip(a * logits + b, -30, 30)))
+        w = p * (1 - p) + 1e-9
+        g = np.array([((p - labels) * logits).sum() + 1e-2 * (a - 1), (p - labels).sum()])
+        h = np.array([[(w * logits * logits).sum() + 1e-2, (w * logits).sum()], [(w * logits).sum(), w.sum()]])
+        step = np.linalg.solve(h + 1e-6 * np.eye(2), g)
+        a, b = a - float(np.clip(step[0], -1, 1)), b - float(np.clip(step[1], -1, 1))
+    return 1 / (1 + np.exp(-np.clip(a * logits + b, -30, 30)))
+
+
+def fit_fm(terms: list[np.ndarray], labels: np.ndarray, *, bits: int = BITS, least_rows: int = 8, least_z: float = 3.0, least_pair_z: float = 6.0, pair_terms: int = 4096, **how) -> FactorizationMachine:
+    """A machine over the terms that tell alone, or in pairs beyond what those say; all others would be learned by heart.
+
+    First the terms whose own rows differ in their rate of label 1 are learned; what they leave unexplained then shows
+    the pairs that matter (terms.telling_in_pairs), and the machine is fitted again over both. least_z and least_pair_z are
+    standard deviations; pair_terms bounds the terms whose pairs are looked at. No rows: every score is 0.5; one class:
+    the base rate.
+    """
+    alone = telling(terms, labels, bits, least_rows, least_z)
+    model = _fit(terms, labels, bits, alone, **how)
+    if not len(labels):
+        return model
+    dense = [t[t > 0] for t in (model.number[x] for x in terms)]
+    logits = model.logits(np.concatenate(dense), np.cumsum([0, *map(len, dense)]))
+    paired = telling_in_pairs(terms, labels, _calibrated(logits.astype(np.float64), labels), bits, least_rows, least_pair_z, pair_terms)
+    both = np.union1d(alone, paired)
+    return model if len(both) == len(alone) else _fit(terms, labels, bits, both, **how)
+
+
+def _fit(terms: list[np.ndarray], labels: np.ndarray, bits: int, kept: np.ndarray, *, factors: int = FACTORS, epochs: int = 40, batch: int = 128, rate: float = 0.1, l2_w: float = 2e-5, l2_v: float = 5e-4, toxic_weight: float = 4.0, seed: int = 7) -> FactorizationMachine:
+    """Log loss by AdaGrad over mini-batches in a seeded order; toxic rows, the fewer, weigh toxic_weight times."""
     rng = np.random.default_rng(seed)
-    number, n = telling(terms, labels, bits, least_rows, least_z)
+    number, n = _numbers(kept, bits), len(kept)
     rate0 = (labels.sum() + 0.5) / (len(labels) + 1)
     model = FactorizationMachine(bits, number, float(np.log(rate0 / (1 - rate0))), np.zeros(n + 1, np.float32), (rng.normal(0, 0.02, (n + 1, factors))).astype(np.float32))
     model.factors[0] = 0
@@ -88,7 +127,7 @@ def fit_fm(terms: list[np.ndarray], labels: np.ndarray, *, bits: int = BITS, fac
 
 def learn_toxicity(docs: DataFrame, labels: DataFrame, learn: Column | None = None, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", sample_rows: int = SAMPLE_ROWS) -> FactorizationMachine:
     """Fits on at most sample_rows labelled rows (those with the smallest hash of their id) for which `learn` holds."""
-    terms, _, y = labelled_terms(docs, labels, id_col=id_col, text_col=text_col, label_col=label_col, learn=F.lit(True) if learn is None else learn, sample_rows=sample_rows, bits=BITS, prefixes=PREFIXES, counted=False)
+    terms, _, y = labelled_terms(docs, labels, id_col=id_col, text_col=text_col, label_col=label_col, learn=F.lit(True) if learn is None else learn, sample_rows=sample_rows, bits=BITS, prefixes=PREFIXES, repeated=True, counted=False)
     return fit_fm(terms, (y > 0).astype(np.int64))
 
 
