@@ -52,6 +52,26 @@ class Scratch:
             path.getFileSystem(conf).delete(path, True)
 
 
+#: A key with more rows than this, and more than its part of a table, is met through a broadcast and not a shuffle.
+HOT_ROWS, HOT_KEYS = 1000, 2000
+
+
+def join_counted(rows: DataFrame, keyed: DataFrame, on: list[str], n: str, hot_rows: int = HOT_ROWS, hot_keys: int = HOT_KEYS) -> DataFrame:
+    """rows joined to keyed, a written table with one row for each key and in column n the number of rows that have it.
+
+    Keys of more than hot_rows rows that hold more than one in hot_keys of all counted rows are hot. There are fewer than
+    hot_keys of them, so they can always be broadcast, and their rows stay where they are; the other keys are shuffled,
+    and none of them is large. The column n is left out.
+    """
+    total = keyed.agg(F.sum(n).alias("t")).first()["t"] or 0
+    least = max(hot_rows, total // hot_keys)
+    hot, plain = keyed.where(F.col(n) > least), keyed.where(F.col(n) <= least).drop(n).hint("merge")
+    if not hot.head(1):
+        return rows.join(plain, on)
+    few = F.broadcast(hot.drop(n))
+    return rows.join(few, on).unionByName(rows.join(F.broadcast(hot.select(*on)), on, "left_anti").join(plain, on))
+
+
 def n_words(text: Column | str) -> Column:
     """Words of the text as a long; null counts as no words."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")

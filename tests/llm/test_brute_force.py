@@ -12,8 +12,9 @@ import pytest
 import sentencepiece
 from pyspark.sql import functions as F
 
-from corvane.llm import cover_tree, graph, language, ngram_join, pieces, quality_classifier, registry, repeats, superkmers, toxicity, wordhash
-from corvane.llm.common import Scratch, fold
+from corvane.llm import cover_tree, graph, language, line_dedup, ngram_join, pieces, quality_classifier, registry, repeats, superkmers, toxicity, wordhash
+from corvane.llm.common import Scratch, fold, join_counted
+from corvane.llm.terms import labelled_terms
 
 DATA = "/root/testdata/sf0.001"
 
@@ -117,6 +118,56 @@ def test_components(spark):
     assert {n: want[n] for n in got} == got and {n for n, label in want.items() if n != label} <= set(got)
 
 
+def removed_lines(texts, run, words):
+    """Places of lines that go: of every run of equal lines long enough, however long, all but the first occurrence."""
+    seen, out = set(), []
+    for t in texts:
+        lines, gone = [x for x in (t or "").split("\n") if x.split()], set()
+        for a in range(len(lines)):
+            for b in range(a + 1, len(lines) + 1):
+                w = tuple(lines[a:b])
+                if len(w) >= run or len(" ".join(w).split()) > words:
+                    if w in seen:
+                        gone |= set(range(a, b))
+                    seen.add(w)
+        out.append(gone)
+    return out
+
+
+@pytest.mark.parametrize(("run", "words"), [(3, 50), (4, 12), (1, 9), (5, 1000)])
+def test_repeated_lines(spark, run, words):
+    rng = random.Random(run)
+    line = lambda: " ".join(f"w{rng.randrange(5)}" for _ in range(rng.choice([1, 2, 5, 11, 30, 60])))
+    pool, passage = [line() for _ in range(12)], [line() for _ in range(14)]
+    texts = []
+    for _ in range(60):
+        lines = [rng.choice(pool) if rng.random() < 0.4 else line() for _ in range(rng.randrange(0, 9))]
+        cut = rng.randrange(len(passage))
+        lines[len(lines) // 2 : len(lines) // 2] = passage[cut : cut + rng.randrange(8)]
+        texts.append("\n".join(x for y in lines for x in (y, rng.choice(["", " "]))[: rng.randrange(1, 3)]))
+    texts += [texts[3], None, "", "one line", "one line", "\n".join(passage), "\n".join(passage * 2), "x\n" * 30]
+    got = {r["doc_id"]: r for r in line_dedup.drop_repeated_lines(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), run=run, words=words).collect()}
+    for i, (t, gone) in enumerate(zip(texts, removed_lines(texts, run, words), strict=True)):
+        inked = [k for k, x in enumerate((t or "").split("\n")) if x.split()]
+        out = {inked[g] for g in gone}
+        assert (got[i]["n_removed"], got[i]["text"]) == (len(gone), None if t is None else "\n".join(x for k, x in enumerate(t.split("\n")) if k not in out))
+
+
+def test_winnowing_selects_few_positions():
+    rng = np.random.default_rng(0)
+    lines, n_words = rng.integers(1, 2**63, 30_000).astype(np.uint64), np.full(30_000, 5)
+    text, place, *_ = line_dedup.winnow(lines, n_words, np.array([0, 10_000, 30_000]), 3, 50)
+    assert len(text) == 30_000 - 4 and 0.45 < len(set(zip(text.tolist(), place.tolist(), strict=True))) / 30_000 < 0.55
+
+
+def test_hot_keys_join_like_others(spark):
+    rows = spark.range(5000).select((F.col("id") % 7 * (F.col("id") % 2)).alias("k"), F.col("id").alias("v"))
+    keyed = rows.groupBy("k").agg(F.count("*").alias("n"), F.min("v").alias("least")).where("k <> 3")
+    for hot in (10, 1000, 10**6):
+        got = join_counted(rows, keyed, ["k"], "n", hot_rows=hot, hot_keys=3)
+        assert sorted(got.collect()) == sorted(rows.join(keyed.drop("n"), "k").collect())
+
+
 @pytest.mark.parametrize("width", [20, 50])
 def test_repeated_bytes(spark, width):
     rng = random.Random(width)
@@ -233,11 +284,38 @@ def test_pairs_beyond_additive_weights():
     assert ((score > 0) == (xor > 0)).mean() > 0.95  # no additive weights can do this
 
 
+@pytest.mark.parametrize(("noise", "words"), [(5, 40), (200, 3000)])
+def test_pairs_are_learned_with_the_defaults(noise, words):
+    rng = np.random.default_rng(noise)
+
+    def rows(n):
+        terms, y = [], []
+        for _ in range(n):
+            a, b = rng.random(2) < 0.5
+            terms.append(np.unique(np.concatenate([[1 if a else 2, 3 if b else 4], rng.integers(100, 100 + words, noise)])).astype(np.int32))
+            y.append(int(a != b))  # neither term says anything alone
+        return terms, np.array(y)
+
+    model, (terms, y) = toxicity.fit_fm(*rows(1500), bits=13), rows(500)
+    dense = [t[t > 0] for t in (model.number[x] for x in terms)]
+    assert ((model.logits(np.concatenate(dense), np.cumsum([0, *map(len, dense)])) > 0) == (y > 0)).mean() > 0.95
+
+
+def test_sampled_rows_keep_all_terms(spark):
+    docs = spark.createDataFrame([(i, " ".join(f"w{i}x{k}" for k in range(4000 if i % 2 else 10))) for i in range(40)], "doc_id long, text string")
+    labels = docs.select("doc_id", (F.col("doc_id") % 2).cast("int").alias("toxic"))
+    how = {"id_col": "doc_id", "text_col": "text", "label_col": "toxic", "learn": F.lit(True), "bits": 30}
+    found, _, y = labelled_terms(docs, labels, **how)
+    assert sorted({len(t) for t in found}) == [10, 4000] and len(y) == 40
+    found, _, y = labelled_terms(docs, labels, sample_terms=20_000, **how)
+    assert {len(t) for t in found} <= {10, 4000} and sum(map(len, found)) <= 20_000 and 4 <= len(y) < 40
+
+
 def test_toxicity_held_out(spark):
     sf = DATA.replace("0.001", "0.1")
     found = registry.queries()["op2_toxicity"](spark, sf).join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id").where("held_out")
     n = {(r["toxic"], r["predicted"]): r["count"] for r in found.groupBy("toxic", "predicted").count().collect()}
-    assert n[1, 1] / (n[1, 1] + n.get((0, 1), 0)) > 0.95 and n[1, 1] / (n[1, 1] + n[1, 0]) > 0.75
+    assert n[1, 1] / (n[1, 1] + n.get((0, 1), 0)) > 0.95 and n[1, 1] / (n[1, 1] + n[1, 0]) >= 0.9
 
 
 def test_ordinal_grades():

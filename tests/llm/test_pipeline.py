@@ -36,15 +36,17 @@ def test_line_dedup_drops_later_runs(stages):
     before, after = stages["line_dedup"]
     texts = {r["doc_id"]: r["text"] for r in before.collect()}
     got = {r["doc_id"]: r["text"] for r in after.collect()}
-    seen, want, run = set(), {}, line_dedup.RUN
+    seen, want, longest = set(), {}, line_dedup.RUN
     for i in sorted(texts):
         lines = texts[i].split("\n")
         inked, gone = [k for k, x in enumerate(lines) if x.split()], set()
-        for p in range(len(inked) - run + 1):
-            w = tuple(lines[k] for k in inked[p : p + run])
-            if w in seen:
-                gone |= set(inked[p : p + run])
-            seen.add(w)
+        for p in range(len(inked)):
+            for size in range(1, min(longest, len(inked) - p) + 1):
+                w = tuple(lines[k] for k in inked[p : p + size])
+                if size == longest or len(" ".join(w).split()) > line_dedup.WORDS:
+                    if w in seen:
+                        gone |= set(inked[p : p + size])
+                    seen.add(w)
         want[i] = "\n".join(x for k, x in enumerate(lines) if k not in gone)
     assert got == want
     assert all(r["n_chars"] == len(r["text"]) for r in after.collect())
