@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import IntegralType, NullType, StructType
 
 #: A word is a maximal run of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -27,6 +28,26 @@ def shared_dir(spark: SparkSession) -> str:
     return base.rstrip("/")
 
 
+def whole_id(df: DataFrame, col: str) -> Column:
+    """The id as a long. Ids of other types than whole numbers are refused before anything runs."""
+    kind = df.schema[col].dataType
+    if not isinstance(kind, (IntegralType, NullType)):
+        raise TypeError(f"column {col} must hold whole numbers, not {kind.simpleString()}: number the rows first")
+    return F.col(f"`{col}`").cast("long")
+
+
+def fresh(taken: Sequence[str], *names: str) -> list[str]:
+    """Names for internal columns that no column of the input has, whatever the case of its letters."""
+    known = {c.lower() for c in taken}
+    out = []
+    for name in names:
+        while name.lower() in known:
+            name += "_"
+        known.add(name.lower())
+        out.append(name)
+    return out
+
+
 class Scratch:
     """Intermediate tables of one operator call, written as Parquet in the shared folder, so that a lost executor
     costs a reread and never a recomputation of the whole lineage. drop() frees a table that is no longer needed;
