@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import Scratch, table
+from .common import Scratch, fresh, join_counted, table, whole_id
 from .graph import components, union_find
 from .wordhash import buffers, distinct, mix, runs, shingle_hashes, word_hashes
 
@@ -37,6 +37,7 @@ STRONG = 2
 #: A block of a family, which one task tests: at most so many sets, with about so many shingles in all.
 BLOCK_ROWS, BLOCK_SHINGLES = 1500, 1_200_000
 ALL_PAIRS, MATRIX_ROWS, SPLITS = 16, 4096, 100
+#: Rows of buckets that a task takes at once; a bucket beyond it is chained without sketches.
 BUCKET_ROWS = 100_000
 CONNECTORS = 48
 _LOW = np.uint64((1 << 26) - 1)
@@ -243,17 +244,17 @@ def _verify(tasks: DataFrame, num: int, den: int) -> DataFrame:
     return tasks.repartition("task").sortWithinPartitions("task").select("task", "node", "asks", "shingles").mapInArrow(batches, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, num: int = NUM, den: int = DEN, block_rows: int = BLOCK_ROWS, connectors: int = CONNECTORS) -> DataFrame:
+def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, num: int = NUM, den: int = DEN, block_rows: int = BLOCK_ROWS, connectors: int = CONNECTORS, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """One row per input row: doc_id, n_shingles, component_id (the smallest id reachable by links, itself included).
 
     Two documents link when den * |intersection| >= num * |union| of their sets of distinct shingles of `words` words; a
     shorter text has its whole sequence as its only shingle. A null, empty or blank text has no shingle and links with
     nothing. A row with a null id gets a null component and no links. Rows that share an id count as one node, as ids are
-    what components are made of. Other columns are ignored, and an empty table gives an empty result.
+    what components are made of. Ids must be of a whole-number type. Other columns are ignored, and an empty table gives an empty result.
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "near")
-    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    texts = docs.select(whole_id(docs, id_col).alias("doc_id"), F.col(text_col).alias("text"))
 
     def describe(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in it:
@@ -265,19 +266,33 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
                 yield pa.RecordBatch.from_arrays([ids.slice(a, b - a), pa.array(size), pa.array(one), pa.array(two), drawn], names=["doc_id", "n", "c1", "c2", "sketch"])
 
     def sign(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        done: set[int] = set()  # a copy of a set that the task has signed is not signed again: a signature gets at most a row a task and class
         for batch in it:
             for a, b, rows, values in _sets(batch.column(0), words):
                 size, one, _ = set_hashes(rows, values, b - a)
+                new = np.zeros(b - a, bool)
+                for k, c in enumerate(one.tolist()):
+                    if size[k] and c not in done:
+                        done.add(c)
+                        new[k] = True
+                keep = new[rows]
+                rows, values, size = rows[keep], values[keep], np.where(new, size, 0)
                 owner, signature = signatures(rows, values, size, num, den)
                 signed = np.unique(np.stack([signature.view(np.int64), one[owner]]), axis=1)
                 yield pa.RecordBatch.from_arrays([pa.array(signed[0]), pa.array(signed[1])], names=["sig", "c1"])
 
     described = scratch.write(texts.mapInArrow(describe, "doc_id long, n long, c1 long, c2 long, sketch binary"), "described")
-    classes = described.where("doc_id is not null and n > 0").groupBy("c1", "c2").agg(F.min("doc_id").alias("node"), F.first("n").alias("n"))
+    classes = described.where("doc_id is not null and n > 0").groupBy("c1", "c2").agg(F.min("doc_id").alias("node"), F.first("n").alias("n"), F.count("*").alias("copies"))
+    classes = scratch.write(classes, "classes")
     signed = texts.where("doc_id is not null").select("text").mapInArrow(sign, "sig long, c1 long")
     # Buckets of more than one class; then their parts that may link, as chains.
     along = Window.partitionBy("sig").orderBy("c1")
-    shared = signed.withColumn("before", F.lag("c1").over(along)).withColumn("after", F.lead("c1").over(along)).where("before <> c1 or after <> c1").select("sig", "c1")
+    near = signed.withColumn("before", F.lag("c1").over(along)).withColumn("after", F.lead("c1").over(along)).withColumn("place", F.row_number().over(along))
+    shared = scratch.write(near.where("before <> c1 or after <> c1").select("sig", "c1", F.when(F.col("before") != F.col("c1"), F.col("before")).alias("before"), (F.col("place") % bucket_rows == 0).alias("large")), "shared")
+    # A bucket beyond the size that a task holds is chained as it stands, member to member, which is always safe: the exact test comes later.
+    large = shared.where("large").select("sig").distinct()
+    whole = shared.join(large, "sig", "left_semi").where("before is not null").select(F.col("c1").alias("a"), F.col("before").alias("b"))
+    shared = shared.join(large, "sig", "left_anti").select("sig", "c1")
     drawn = described.where("n > 0").groupBy("c1").agg(F.first("sketch").alias("sketch"), F.max("n").alias("n"))
 
     def chain(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -292,7 +307,7 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
         held, rows = [], 0
         for batch in it:
             sig = batch.column(0).to_numpy()
-            if rows >= BUCKET_ROWS:  # a bucket is never cut: wait for the next one's first row
+            if rows >= bucket_rows:  # a bucket is never cut: wait for the next one's first row
                 change = np.flatnonzero(sig != held[-1].column(0)[-1].as_py())
                 if len(change):
                     held.append(batch.slice(0, change[0]))
@@ -304,7 +319,7 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
             yield edges(held)
 
     buckets = shared.join(drawn, "c1").select("sig", "c1", "n", "sketch").repartition("sig").sortWithinPartitions("sig", "c1")
-    chained = buckets.mapInArrow(chain, "a long, b long").distinct()
+    chained = buckets.mapInArrow(chain, "a long, b long").union(whole).distinct()
     families = scratch.write(components(chained, scratch, "families"), "families")
     members = classes.join(families.select(F.col("node").alias("c1"), F.col("label").alias("family")), "c1")
     members = scratch.write(members.select("node", "family", "n"), "members")
@@ -329,10 +344,10 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     some = texts.where("doc_id is not null").select(F.col("doc_id"), "text", F.pmod(F.xxhash64("doc_id"), F.lit(slots)).cast("int").alias("slot"))
     sets = some.mapInArrow(sets_of, "node long, shingles binary, c1 long, c2 long").select("node", "shingles")
 
-    # Families in blocks by size; a block's number follows from the running count inside its family.
-    inside = Window.partitionBy("family").orderBy("n", "node").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    block = F.floor((F.count("*").over(inside) - 1) / block_rows) + F.floor(F.sum("n").over(inside) / BLOCK_SHINGLES)
-    blocks = scratch.write(members.withColumn("block", block.cast("long")).select("node", "family", "block"), "blocks")
+    # Families in blocks of bounded size, dealt by hash: no task sees a whole family.
+    parts = members.groupBy("family").agg(F.ceil(F.greatest(F.count("*") / block_rows, F.sum("n") / BLOCK_SHINGLES)).cast("long").alias("parts"), F.count("*").alias("rows"))
+    blocks = join_counted(members, scratch.write(parts, "parts"), ["family"], "rows")
+    blocks = scratch.write(blocks.select("node", "family", F.pmod(F.xxhash64("node", F.lit(3)), F.col("parts")).alias("block")), "blocks")
     task = F.xxhash64("family", "block")
     first = scratch.write(_verify(sets.join(blocks, "node").select(task.alias("task"), "node", F.lit(True).alias("asks"), "shingles"), num, den).where("a <> b"), "links-1")
     links = first
@@ -353,8 +368,9 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
         tasks = ask.where("block <> from_block").union(answer).join(wide.select("node", "shingles"), "node").select(F.xxhash64("family", "from_block", "block").alias("task"), "node", "asks", "shingles")
         links = links.union(scratch.write(_verify(tasks, num, den).where("a <> b"), "links-3"))
     labels = components(links, scratch, "components")
-    found = described.where("doc_id is not null and n > 0").join(classes.select("c1", "c2", "node"), ["c1", "c2"]).join(labels, "node", "left")
-    found = found.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("label", "node").alias("component_id"))
+    rooted = classes.select("c1", "c2", "node", "copies").join(labels, "node", "left").select("c1", "c2", "copies", F.coalesce("label", "node").alias("component_id"))
+    rows = described.where("doc_id is not null and n > 0").select("doc_id", F.col("n").alias("n_shingles"), "c1", "c2")
+    found = join_counted(rows, scratch.write(rooted, "rooted"), ["c1", "c2"], "copies").select("doc_id", "n_shingles", "component_id")
     rest = described.where("doc_id is null or n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
     return found.union(rest)
 
@@ -365,15 +381,17 @@ def keep_one_of_each(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     Each id and text is a node of its own, so rows of one id only go when their texts link or are equal; of such rows the
     one with the smallest hash of id and text stays. Rows with a null id, which are in no group, stay.
     """
-    id_ = F.col(id_col).cast("long")
-    keyed = docs.where(F.col(id_col).isNotNull()).withColumn("_key", F.xxhash64(id_, F.col(text_col)))
-    found = near_duplicates(keyed, id_col="_key", text_col=text_col, words=words, num=num, den=den)
-    found = found.select(F.col("doc_id").alias("_key"), "component_id").distinct()
-    ids = keyed.select("_key", id_.alias("_id")).distinct()
-    heads = found.join(ids, "_key").groupBy("component_id").agg(F.min(F.struct("_id", "_key")).alias("_head")).select("_head._key")
-    first = Window.partitionBy("_key").orderBy("_key")
-    kept = keyed.join(heads, "_key").withColumn("_n", F.row_number().over(first)).where("_n = 1")
-    return kept.select(*docs.columns).union(docs.where(F.col(id_col).isNull()))
+    node, own, head, place = fresh(docs.columns, "node", "own", "head", "place")
+    number = whole_id(docs, id_col)
+    keyed = docs.where(F.col(f"`{id_col}`").isNotNull()).withColumn(node, F.xxhash64(number, F.col(f"`{text_col}`")))
+    found = near_duplicates(keyed, id_col=node, text_col=text_col, words=words, num=num, den=den)
+    found = found.select(F.col("doc_id").alias(node), F.col("component_id").alias(head)).distinct()
+    ids = keyed.select(node, number.alias(own)).distinct()
+    heads = found.join(ids, node).groupBy(head).agg(F.min(F.struct(own, node)).alias(place)).select(F.col(place)[node].alias(node))
+    first = Window.partitionBy(node).orderBy(node)
+    kept = keyed.join(heads, node).withColumn(place, F.row_number().over(first)).where(F.col(place) == 1)
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    return kept.select(*columns).union(docs.where(F.col(f"`{id_col}`").isNull()).select(*columns))
 
 
 def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
