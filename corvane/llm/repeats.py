@@ -10,8 +10,12 @@ string: the suffixes that begin in the column are the previous ones with a symbo
 symbol orders them (the last-to-first mapping), and two neighbours with equal symbols share one symbol more than the least
 common prefix between their places in the previous order. Only suffixes of one column can share a window, so the transform
 is kept column by column and each round costs the number of strings, not the text so far. Symbols, order and common
-prefixes go through sequential files: each round reads the last round's and writes its own. A window repeats where
-a neighbour's common prefix reaches the width, or where its class has two members.
+prefixes go through sequential files: each round reads the last round's and writes its own. The files are anonymous and go
+with their task. A window repeats where a neighbour's common prefix reaches the width, or where its class has two members.
+
+A minimizer with more different strings than a task should hold is no collection: its strings are cut into windows,
+and those are counted by partial aggregation, which spreads them over all tasks, however hot the minimizer is. Occurrences
+meet the verdicts of their class by common.join_counted, so a passage with millions of copies is not one task either.
 """
 
 from __future__ import annotations
@@ -26,21 +30,24 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Scratch, table
+from .common import Scratch, join_counted, table, whole_id
 from .superkmers import PIECE_WINDOWS, super_runs
 from .wordhash import buffers, mix, runs, span_hashes
 
 WIDTH, GRAM = 200, 40
 COLLECTION_BYTES = 24 << 20
-SLOTS = 1 << 24
+#: More different strings of one minimizer than this are counted window by window.
+MOST_STRINGS = 20_000
+#: Slots of the bitmaps that spare most rows the way to a join: the least, the most, and for each key. 2^28 slots are 32 MB.
+LEAST_SLOTS, MOST_SLOTS, SLOTS_A_KEY = 1 << 20, 1 << 28, 16
 
 
 class ColumnFiles:
     """The state between rounds: order and common prefixes are rewritten each round, the transform's columns appended.
     Files stay open and are overwritten in place, front to back; truncating and closing them would wait for the disk."""
 
-    def __init__(self, folder: str) -> None:
-        self.order, self.lcp, self.columns = (open(os.path.join(folder, n), "w+b", buffering=0) for n in ("order", "lcp", "columns"))
+    def __init__(self) -> None:
+        self.order, self.lcp, self.columns = (os.fdopen(os.memfd_create(n), "w+b", buffering=0) if hasattr(os, "memfd_create") else tempfile.TemporaryFile(buffering=0) for n in ("order", "lcp", "columns"))
         self.rows = 0
 
     def __enter__(self) -> ColumnFiles:
@@ -94,7 +101,7 @@ def repeated_windows(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray,
     left, right = -before, lengths - before - 1
     joining = np.argsort(-right, kind="stable")
     joins = -right[joining]
-    with tempfile.TemporaryDirectory() as folder, ColumnFiles(folder) as files:
+    with ColumnFiles() as files:
         for column in range(int(right.max()), int(left.min()) - 1, -1):
             order, lcp = files.read()
             stays = left[order] <= column
@@ -152,36 +159,50 @@ def _runs_of(texts: pa.Array, width: int, gram: int) -> Iterator[tuple[np.ndarra
         yield row + a, start - offsets[row] + skipped, n, key, content, before, part, start
 
 
-def _slot(*parts: np.ndarray) -> np.ndarray:
-    h = np.zeros(len(parts[0]), np.uint64)
-    for p in parts:
-        h = mix(h + p.view(np.uint64))
-    return (h & np.uint64(SLOTS - 1)).astype(np.int64)
+class Bitmap:
+    """A set of hashed keys that may hold others too. Its size follows the number of keys up to MOST_SLOTS bits; the
+    bits are gathered on the executors, 4 KB for each 32,768 slots, so that is all that the driver gets."""
+
+    def __init__(self, keys: DataFrame, *cols: str) -> None:
+        """keys: a written table; cols: its long columns that make a key."""
+        n = keys.count() * SLOTS_A_KEY
+        slots = min(MOST_SLOTS, max(LEAST_SLOTS, 1 << max(0, n - 1).bit_length()))
+        self.mask = np.uint64(slots - 1)
+        self.bits = np.zeros(slots // 8, np.uint8)
+        one = self.__class__.slot
 
+        def slots_of(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in it:
+                yield pa.RecordBatch.from_arrays([pa.array(np.unique(one(slots - 1, *(c.to_numpy() for c in batch.columns))) + 1)], names=["slot"])
 
-def _bitmap(slots: DataFrame) -> np.ndarray:
-    """Distinct slot numbers as a bitmap of fixed size; at most SLOTS small integers reach the driver."""
-    bits = np.zeros(SLOTS // 8, np.uint8)
-    at = slots.distinct().toArrow()["slot"].to_numpy()
-    np.bitwise_or.at(bits, at >> 3, (1 << (at & 7)).astype(np.uint8))
-    return bits
+        chunks = keys.select(*cols).mapInArrow(slots_of, "slot long").groupBy(F.bitmap_bucket_number("slot").alias("k")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias("bits"))
+        for k, bits in zip(*(c.to_pylist() for c in chunks.toArrow().columns), strict=True):
+            own = np.frombuffer(bits, np.uint8)[: len(self.bits)]
+            self.bits[(k - 1) * 4096 : (k - 1) * 4096 + len(own)] = own
 
+    @staticmethod
+    def slot(mask: int, *parts: np.ndarray) -> np.ndarray:
+        h = np.zeros(len(parts[0]), np.uint64)
+        for p in parts:
+            h = mix(h + p.view(np.uint64))
+        return (h & np.uint64(mask)).astype(np.int64)
 
-def _in(bits: np.ndarray, slot: np.ndarray) -> np.ndarray:
-    return (bits[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 > 0
+    def has(self, *parts: np.ndarray) -> np.ndarray:
+        slot = self.slot(int(self.mask), *parts)
+        return (self.bits[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 > 0
 
 
-def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, gram: int = GRAM) -> DataFrame:
+def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, gram: int = GRAM, most_strings: int = MOST_STRINGS) -> DataFrame:
     """One row per input row: doc_id, kept (binary), n_bytes, spans (array of removed [start, end) in bytes).
 
     Every byte is removed that a string of `width` bytes covers which also starts anywhere else, in another text or the
     same. Texts are UTF-8 bytes; a null text is empty; texts shorter than `width` stay whole. Repeated rows are repeats of
-    each other, with equal ids or not; a null id is an id like any other. Other columns are ignored, and an empty table
+    each other, with equal ids or not; a null id is an id like any other. Ids must be of a whole-number type. Other columns are ignored, and an empty table
     gives an empty result.
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "repeats")
-    texts = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63))).alias("id"), F.col(text_col).alias("text"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("th"))
+    texts = docs.select(F.coalesce(whole_id(docs, id_col), F.lit(-(1 << 63))).alias("id"), F.col(text_col).alias("text"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("th"))
 
     def minimizers(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in it:
@@ -191,42 +212,34 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
                 yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(n)], names=["h", "n"])
 
     counted = texts.select("text").mapInArrow(minimizers, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).where("n > 1").select("h")
-
-    def slots_of(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in it:
-            yield pa.RecordBatch.from_arrays([pa.array(np.unique(_slot(batch.column(0).to_numpy())).astype(np.int32))], names=["slot"])
-
-    twice = spark.sparkContext.broadcast(_bitmap(counted.mapInArrow(slots_of, "slot int")))
+    twice = spark.sparkContext.broadcast(Bitmap(scratch.write(counted, "twice"), "h"))
 
     def occurrences(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in it:
             ids, th = batch.column(0).to_numpy(), batch.column(2).to_numpy()
             for row, start, n, key, content, _, _, _ in _runs_of(batch.column(1), width, gram):
-                keep = _in(twice.value, _slot(key))
+                keep = twice.value.has(key)
                 yield pa.RecordBatch.from_arrays([pa.array(x[keep].view(np.int64)) for x in (key, content, ids[row], th[row], start.astype(np.int64), n.astype(np.int64))], names=["h", "c", "id", "th", "start", "n"])
 
     placed = scratch.write(texts.mapInArrow(occurrences, "h long, c long, id long, th long, start long, n long"), "occurrences")
     classes = placed.groupBy("h", "c").agg(F.count("*").alias("copies"), F.min(F.struct("id", "th", "start")).alias("rep"), F.first("n").alias("n"))
     classes = scratch.write(classes, "classes")
-    several = classes.groupBy("h").agg(F.count("*").alias("k")).where("k > 1").select("h")
-    wanted = scratch.write(classes.join(several, "h", "left_semi").select("h", "c", "rep.*"), "wanted")
-
-    def rep_slots(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in it:
-            yield pa.RecordBatch.from_arrays([pa.array(np.unique(_slot(batch.column(0).to_numpy(), batch.column(1).to_numpy())).astype(np.int32))], names=["slot"])
-
-    reps = spark.sparkContext.broadcast(_bitmap(wanted.select("th", "start").mapInArrow(rep_slots, "slot int")))
+    several = scratch.write(classes.groupBy("h").agg(F.count("*").alias("k")).where("k > 1"), "several")
+    wanted = scratch.write(join_counted(classes.select("h", "c", "rep.*"), several.withColumn("many", F.col("k") > most_strings), ["h"], "k"), "wanted")
+    reps = spark.sparkContext.broadcast(Bitmap(wanted, "th", "start"))
 
     def strings(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in it:
             ids, th = batch.column(0).to_numpy(), batch.column(2).to_numpy()
             for row, start, n, _, _, before, part, at in _runs_of(batch.column(1), width, gram):
-                keep = np.flatnonzero(_in(reps.value, _slot(th[row], start.astype(np.int64))))
+                keep = np.flatnonzero(reps.value.has(th[row], start.astype(np.int64)))
                 data = [part[a:b].tobytes() for a, b in zip(at[keep], at[keep] + n[keep] + width - 1, strict=True)]
                 yield pa.RecordBatch.from_arrays([pa.array(ids[row[keep]]), pa.array(th[row[keep]]), pa.array(start[keep].astype(np.int64)), pa.array(before[keep].astype(np.int32)), pa.array(data, pa.binary())], names=["id", "th", "start", "before", "data"])
 
     found = texts.mapInArrow(strings, "id long, th long, start long, before int, data binary")
-    collections = wanted.join(found, ["id", "th", "start"]).select("h", "c", "before", "data")
+    collections = wanted.join(found, ["id", "th", "start"]).select("h", "c", "before", "data", "many")
+    if several.where(F.col("k") > most_strings).head(1):
+        collections = scratch.write(collections, "strings")
 
     def transform(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def done(held: list[pa.RecordBatch]) -> pa.RecordBatch:
@@ -261,10 +274,29 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
             yield done(held)
 
     schema = "h long, c long, spans array<struct<a: long, b: long>>"
-    by_files = collections.repartition("h").sortWithinPartitions("h", "c").mapInArrow(transform, schema)
-    copied = classes.where("copies > 1").select("h", "c", F.array(F.struct(F.lit(0).cast("long").alias("a"), (F.col("n") + (width - 1)).alias("b"))).alias("spans"))
-    verdicts = scratch.write(by_files.join(copied.select("h", "c"), ["h", "c"], "left_anti").union(copied), "verdicts")
-    removed = placed.join(verdicts, ["h", "c"]).select("id", "th", F.explode(F.transform("spans", lambda s: F.struct((s["a"] + F.col("start")).alias("a"), (s["b"] + F.col("start")).alias("b")))).alias("span"))
+    by_files = collections.where("not many").select("h", "c", "before", "data").repartition("h").sortWithinPartitions("h", "c").mapInArrow(transform, schema)
+
+    def windows(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in it:
+            h, c, before = (batch.column(k).to_numpy() for k in range(3))
+            raw, at = buffers(batch.column(3))
+            n = np.maximum(0, np.diff(at) - width + 1)
+            row = np.repeat(np.arange(len(n)), n)
+            place = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
+            begin = at[row] + place
+            one = span_hashes(raw, begin, begin + width, lower=False)
+            two = mix(one ^ (place - before[row]).astype(np.uint64))  # equal windows stand at equal places from the minimizer
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (h[row], two.view(np.int64), c[row], place)], names=["h", "w", "c", "place"])
+
+    if several.where(F.col("k") > most_strings).head(1):
+        cut_up = scratch.write(collections.where("many").dropDuplicates(["h", "c"]).select("h", "c", "before", "data").mapInArrow(windows, "h long, w long, c long, place long"), "windows")
+        shared = scratch.write(cut_up.groupBy("h", "w").agg(F.count("*").alias("n")).where("n > 1"), "shared")
+        hits = join_counted(cut_up, shared, ["h", "w"], "n").groupBy("h", "c").agg(F.collect_set("place").alias("places"))
+        spans = F.transform(F.array_sort("places"), lambda p: F.struct(p.alias("a"), (p + width).alias("b")))
+        by_files = by_files.union(hits.select("h", "c", spans.alias("spans")))
+    copied = classes.where("copies > 1").select("h", "c", F.array(F.struct(F.lit(0).cast("long").alias("a"), (F.col("n") + (width - 1)).alias("b"))).alias("spans"), "copies")
+    verdicts = scratch.write(by_files.join(copied.select("h", "c"), ["h", "c"], "left_anti").withColumn("copies", F.lit(1).cast("long")).union(copied), "verdicts")
+    removed = join_counted(placed, verdicts, ["h", "c"], "copies").select("id", "th", F.explode(F.transform("spans", lambda s: F.struct((s["a"] + F.col("start")).alias("a"), (s["b"] + F.col("start")).alias("b")))).alias("span"))
     by_text = scratch.write(removed.groupBy("id", "th").agg(F.collect_set("span").alias("removed")), "removed")
 
     def cut(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
