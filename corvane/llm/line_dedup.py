@@ -111,8 +111,7 @@ def drop_repeated_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: st
     removed = scratch.write(later.groupBy("id", "th").agg(F.sort_array(F.collect_set(F.struct("start", "size"))).alias("places")), "removed")
 
     names = [c for c in docs.columns if c not in ("n_lines", "n_removed", "n_runs")]
-    source = docs.select(*names)
-    inner = source.schema
+    inner = [docs.schema[c] for c in names]
     t = names.index(text_col)
     plain = docs.select(*[F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(names)], key[0].alias("key_id"), key[1].alias("key_th"))
 

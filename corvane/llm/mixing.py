@@ -17,7 +17,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import Scratch, n_words, table
+from .common import Scratch, fresh, n_words, table
 
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
@@ -93,16 +93,17 @@ def mix_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
 
     Rows with equal id, source and text share what the mix takes of them evenly, whole words only.
     """
-    content = F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
-    taken = mix_sources(docs, id_col=id_col, text_col=text_col, source_col=source_col, carry={"content": content}, **how)
-    taken = taken.where("taken > 0").groupBy("doc_id", "src", "content").agg(F.max("size").alias("_size"), F.floor(F.sum("taken") / F.count("*")).cast("long").alias("_taken"))
-    taken = taken.withColumnsRenamed({"doc_id": "_id", "src": "_src", "content": "_content"})
-    source = F.col(source_col).cast("string")
-    same = F.col(id_col).eqNullSafe(F.col("_id")) & (content == F.col("_content")) & (F.coalesce(F.concat(F.lit("s"), source), F.lit("n")) == F.col("_src"))
-    rows = docs.join(taken, same).withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.ceil(F.col("_taken") / F.col("_size")))))
-    rest = (F.col("_taken") - (F.col("_copy") - 1) * F.col("_size")).cast("int")
-    text = F.when(F.col("_copy") * F.col("_size") <= F.col("_taken"), F.col(text_col)).otherwise(F.array_join(F.slice(F.split(F.col(text_col), WORD_END), F.lit(1), rest), ""))
-    return rows.select(*[text.alias(c) if c == text_col else F.col(c) for c in docs.columns])
+    whole, taken_, own, src, content_, copy = fresh(docs.columns, "size", "taken", "id", "src", "content", "copy")
+    content = F.xxhash64(F.coalesce(F.col(f"`{text_col}`"), F.lit("")))
+    mix = mix_sources(docs, id_col=id_col, text_col=text_col, source_col=source_col, carry={"content": content}, **how)
+    taken = mix.where("taken > 0").groupBy(F.col("doc_id").alias(own), F.col("src").alias(src), F.col("content").alias(content_)).agg(F.max("size").alias(whole), F.floor(F.sum("taken") / F.count("*")).cast("long").alias(taken_))
+    source = F.col(f"`{source_col}`").cast("string")
+    same = F.col(f"`{id_col}`").eqNullSafe(F.col(own)) & (content == F.col(content_)) & (F.coalesce(F.concat(F.lit("s"), source), F.lit("n")) == F.col(src))
+    rows = docs.join(taken, same).withColumn(copy, F.explode(F.sequence(F.lit(1).cast("long"), F.ceil(F.col(taken_) / F.col(whole)))))
+    rest = (F.col(taken_) - (F.col(copy) - 1) * F.col(whole)).cast("int")
+    body = F.col(f"`{text_col}`")
+    cut = F.when(F.col(copy) * F.col(whole) <= F.col(taken_), body).otherwise(F.array_join(F.slice(F.split(body, WORD_END), F.lit(1), rest), ""))
+    return rows.select(*[cut.alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns])
 
 
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

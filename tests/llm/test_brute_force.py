@@ -46,8 +46,8 @@ def edited(words, rng, n):
     return out
 
 
-@pytest.mark.parametrize(("k", "num", "blocks"), [(4, 85, 1500), (5, 80, 20), (1, 85, 1500)])
-def test_near_duplicates(spark, k, num, blocks):
+@pytest.mark.parametrize(("k", "num", "blocks", "bucket"), [(4, 85, 1500, 100_000), (5, 80, 20, 100_000), (1, 85, 1500, 5), (4, 85, 20, 3)])
+def test_near_duplicates(spark, k, num, blocks, bucket):
     rng = random.Random(k)
     texts = []
     for _ in range(12):
@@ -62,7 +62,7 @@ def test_near_duplicates(spark, k, num, blocks):
     pairs = [(i, j) for i in range(len(sets)) for j in range(i) if sets[i] and sets[j] and 100 * len(sets[i] & sets[j]) >= num * len(sets[i] | sets[j])]
     want = union(pairs, range(len(sets)))
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in ngram_join.near_duplicates(docs, words=k, num=num, block_rows=blocks).collect()}
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in ngram_join.near_duplicates(docs, words=k, num=num, block_rows=blocks, bucket_rows=bucket).collect()}
     assert got == {i: (len(s), want[i]) for i, s in enumerate(sets)}
 
 
@@ -168,8 +168,8 @@ def test_hot_keys_join_like_others(spark):
         assert sorted(got.collect()) == sorted(rows.join(keyed.drop("n"), "k").collect())
 
 
-@pytest.mark.parametrize("width", [20, 50])
-def test_repeated_bytes(spark, width):
+@pytest.mark.parametrize(("width", "most"), [(20, 20_000), (50, 20_000), (20, 2), (50, 1)])
+def test_repeated_bytes(spark, width, most):
     rng = random.Random(width)
     word = lambda: "".join(rng.choice("abé") for _ in range(rng.randrange(1, 6)))
     passage = " ".join(word() for _ in range(40))
@@ -179,7 +179,7 @@ def test_repeated_bytes(spark, width):
         texts[k] += passage[cut : cut + rng.randrange(width // 2, 3 * width)] + word()
     texts += [texts[0], texts[1], "ab" * 100, "z" * 70, None, "", "é" * 33]
     spans = repeats.brute_force([(t or "").encode() for t in texts], width)
-    got = {r["doc_id"]: r for r in repeats.remove_repeats(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), width=width, gram=width // 4).collect()}
+    got = {r["doc_id"]: r for r in repeats.remove_repeats(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), width=width, gram=width // 4, most_strings=most).collect()}
     for i, (t, want) in enumerate(zip(texts, spans, strict=True)):
         data = (t or "").encode()
         edges = [0, *(x for s in want for x in s), len(data)]
@@ -259,10 +259,44 @@ def test_cover_tree_pairs(clustered):
         assert set(nodes) <= set(below) and sorted(np.concatenate(children)) == list(range(len(below)))
 
 
-def test_shards_give_what_one_shard_gives(spark):
+def test_shards_and_cells_give_what_one_shard_gives(spark):
     rows = spark.read.parquet(f"{DATA}/embeddings.parquet")
-    one, many = (sorted(cover_tree.near_vectors(rows, shard_rows=n).collect()) for n in (100_000, 7))
-    assert one == many
+    one, *others = (sorted(cover_tree.near_vectors(rows, **how).collect()) for how in ({}, {"shard_rows": 7}, {"cell_rows": 4}, {"cell_rows": 4, "shard_rows": 3}, {"cell_rows": 3, "most_pivots": 9}))
+    assert all(one == x for x in others)
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_linked_vectors_meet_in_a_cell(seed):
+    rng = np.random.default_rng(seed)
+    x = np.repeat(rng.normal(size=(60, 8)), 12, axis=0) + rng.normal(scale=0.1, size=(720, 8))
+    unit = x / np.linalg.norm(x, axis=1)[:, None]
+    home, row, cell = cover_tree.cells_of(x, unit[rng.choice(720, 25, replace=False)], 0.98)
+    visits = set(zip(row.tolist(), cell.tolist(), strict=True))
+    i, j = np.nonzero(unit @ unit.T >= 0.98)
+    assert all(home[a] == home[b] or ((a, home[b]) if home[a] < home[b] else (b, home[a])) in visits for a, b in zip(i.tolist(), j.tolist(), strict=True))
+    assert len(visits) < 720 * 24 / 2
+
+
+@pytest.mark.parametrize("size", [1e-308, 1e-200, 1.0, 1e200, 1e307])
+def test_extreme_vectors_link(size):
+    x = np.array([[1.0, 0, 0.5], [size, 0, 0.5 * size], [2.0, 0, 1.0], [0, size, 0]])
+    i, j = cover_tree.linked_pairs(x, x, 0.98)
+    assert sorted(zip(i.tolist(), j.tolist(), strict=True)) == sorted([(a, b) for a in range(3) for b in range(3)] + [(3, 3)])
+    n, _, a, b = cover_tree.link_counts(x, x, 0.98, np.ones(4), np.ones(4))
+    assert n.tolist() == [3, 3, 3, 1] and set(union(list(zip(a.tolist(), b.tolist(), strict=True)), range(4)).values()) == {0, 3}
+
+
+def test_link_counts_keep_components():
+    rng = np.random.default_rng(9)
+    for _ in range(30):
+        x = np.repeat(rng.normal(size=(6, 4)), 15, axis=0) + rng.normal(scale=0.12, size=(90, 4))
+        y, copies = x[:40] * 2, rng.integers(1, 5, 90).astype(float)
+        for b, cb in ((x, copies), (y, copies[:40])):
+            n, m, i, j = cover_tree.link_counts(x, b, 0.98, copies, cb)
+            linked = (x @ b.T) / np.linalg.norm(x, axis=1)[:, None] / np.linalg.norm(b, axis=1)[None, :] >= 0.98
+            at = (lambda k: k) if b is x else (lambda k: k + 90)
+            assert np.allclose(n, linked @ cb) and np.allclose(m, copies @ linked)
+            assert union([(p, at(q)) for p, q in zip(i.tolist(), j.tolist(), strict=True)], range(130)) == union([(int(p), at(int(q))) for p, q in np.argwhere(linked)], range(130))
 
 
 def test_pairs_beyond_additive_weights():

@@ -90,6 +90,28 @@ def test_vectors(spark):
     assert cover_tree.near_vectors(spark.createDataFrame([], "vec_id long, embedding array<float>, label int")).collect() == []
 
 
+@pytest.mark.parametrize("kind", ["long", "string"])
+def test_internal_names_may_be_taken(spark, kind):
+    names = ["_key", "_id", "_head", "_n", "node", "own", "head", "place", "_size", "_taken", "_src", "_content", "_copy", "size", "taken", "src", "content", "copy", "key", "range", "mark", "c1", "k.x"]
+    schema = "doc_id long, text string, source string, " + ", ".join(f"`{n}` {kind}" for n in names)
+    given = [(i, f"alpha beta gamma delta {i // 2} epsilon zeta", "s", *[str(7 + k) if kind == "string" else 7 + k for k in range(len(names))]) for i in range(6)]
+    docs = spark.createDataFrame(given, schema)
+    kept = ngram_join.keep_one_of_each(docs)
+    assert kept.columns == docs.columns and sorted(tuple(r) for r in kept.collect()) == given[::2]
+    mixed = mixing.mix_documents(docs)
+    assert mixed.columns == docs.columns and {tuple(r)[3:] for r in mixed.collect()} == {given[0][3:]}
+    lines = line_dedup.drop_repeated_lines(docs)
+    assert {tuple(r)[3:-3] for r in lines.collect()} == {given[0][3:]}
+
+
+def test_ids_that_are_no_whole_numbers_are_refused(spark):
+    docs = spark.createDataFrame([("a", "some text")], "doc_id string, text string")
+    for f in (ngram_join.near_duplicates, ngram_join.keep_one_of_each, repeats.remove_repeats):
+        with pytest.raises(TypeError, match="whole numbers"):
+            f(docs)
+    assert line_dedup.drop_repeated_lines(docs).first()["doc_id"] == "a"
+
+
 def test_cuts_are_exact(spark):
     rng = random.Random(3)
     docs = spark.createDataFrame([(i, " ".join("w" * rng.randrange(1, 30)), rng.choice(["a", "b", "c", None])) for i in range(400)], "doc_id long, text string, source string")
