@@ -6,7 +6,9 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DataType, MapType, StructType
 
+# Shapes of codes, keys, digests and ids.
 SCRIPT_CODE = r"^[A-Z][a-z]{3}\z"
 EXTERNAL_KEY = r"^[a-z0-9][a-z0-9._-]*\z"
 SHA256 = r"^[a-f0-9]{64}\z"
@@ -36,9 +38,28 @@ def iso_day(x: Column) -> Column:
     return F.date_format(x, "yyyy-MM-dd")
 
 
-def canonical_json(fields: Mapping[str, Column]) -> Column:
-    """Compact JSON with keys in order of code units and nulls kept."""
-    return F.to_json(F.struct(*[fields[k].alias(k) for k in sorted(fields)]), {"ignoreNullFields": "false"})
+def _code_units(key: str) -> bytes:
+    return key.encode("utf-16-be", "surrogatepass")
+
+
+def canonical(x: Column, kind: DataType) -> Column:
+    """The value with the fields and keys of all its objects, at every depth, in order of code units."""
+    if isinstance(kind, StructType):
+        parts = [canonical(x[f.name], f.dataType).alias(f.name) for f in sorted(kind, key=lambda f: _code_units(f.name))]
+        return F.when(x.isNotNull(), F.struct(*parts))
+    if isinstance(kind, ArrayType):
+        return F.transform(x, lambda e: canonical(e, kind.elementType))
+    if isinstance(kind, MapType):
+        inner = F.transform_values(x, lambda _, v: canonical(v, kind.valueType))
+        return F.map_from_entries(F.transform(F.array_sort(F.transform(F.map_entries(inner), lambda e: F.struct(F.encode(e["key"], "UTF-16BE").alias("o"), e["key"].alias("key"), e["value"].alias("value"))), lambda a, b: F.when(a["o"] < b["o"], -1).when(a["o"] > b["o"], 1).otherwise(0)), lambda e: F.struct(e["key"], e["value"])))
+    return x
+
+
+def canonical_json(fields: Mapping[str, Column], kinds: Mapping[str, DataType] | None = None) -> Column:
+    """Compact JSON with keys in order of code units and nulls kept. kinds: types of the fields that hold objects, whose keys
+    are put in order as well, however deep."""
+    kinds = kinds or {}
+    return F.to_json(F.struct(*[(canonical(fields[k], kinds[k]) if k in kinds else fields[k]).alias(k) for k in sorted(fields, key=_code_units)]), {"ignoreNullFields": "false"})
 
 
 def canonical_map_json(x: Column) -> Column:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ..functions.text import WS
 
 MOST_WORDS, LEAST_WORDS = 220, 55
-#: A sentence with its closing marks and the white space after it; a closing mark that no sentence takes stands alone.
+#: Fixed value. A sentence with its closing marks and the white space after it; a closing mark that no sentence takes stands alone.
 SENTENCE = rf"[^.!?]+(?:[.!?]+[\"']?|\z){WS}*|[.!?]"
 #: A paragraph with the blank lines in front; or what can't begin one, a first line break and all up to blank lines.
 PARAGRAPH = rf"(?:^|\n{WS}*\n)[^\n](?s:.*?)(?=\n{WS}*\n|\z)|(?s:.+?)(?=\n{WS}*\n[^\n]|\z)"

@@ -26,6 +26,8 @@ class BookSpec:
     skipped_headings: Sequence[str] = ()
     heading_aliases: Mapping[str, str] = field(default_factory=dict)
     stop_at_stars: bool = False
+    #: Lines of the contents that are no titles, such as the book's own.
+    toc_skipped: Sequence[str] = ()
 
 
 def _index(text: Column, marker: str, after: Column) -> Column:
@@ -50,7 +52,8 @@ def titles(books: DataFrame, spec: BookSpec, *, id_col: str = "book_id", text_co
     if spec.toc_mode == "indented-titlecase":
         lines = lines.where(line.rlike("^[A-Z]") & (F.length(line) < 100))
     else:
-        lines = lines.where((F.length(line) >= 3) & (F.length(line) < 110) & (line == F.upper(line)) & ~line.rlike(r"^(CONTENTS|NOTES|FAIRY TALES|BY THE)") & ~line.rlike(r"^\d+\.") & (line != "THE BROTHERS GRIMM FAIRY TALES"))
+        # Bounds and openings of lines that are no titles.
+        lines = lines.where((F.length(line) >= 3) & (F.length(line) < 110) & (line == F.upper(line)) & ~line.rlike(r"^(CONTENTS|NOTES|FAIRY TALES|BY THE)") & ~line.rlike(r"^\d+\.") & ~line.isin(*spec.toc_skipped))
     order = Window.partitionBy(id_col).orderBy("_k")
     lines = lines.withColumn("_n", normalize(line)).withColumn("_p", F.lag("_n").over(order)).where(F.col("_n") != F.coalesce("_p", F.lit("")))
     return lines.select(id_col, F.row_number().over(order).alias("ordinal"), line.alias("title"))
@@ -70,9 +73,9 @@ def sections(books: DataFrame, spec: BookSpec, found: DataFrame, *, id_col: str
     by_line = Window.partitionBy(id_col).orderBy("_k")
     lines = b.select(id_col, "_marker", F.length("_body").alias("_len"), F.posexplode(F.split("_body", "\n")).alias("_k", "_l"))
     lines = lines.withColumn("_at", F.coalesce(F.sum(F.length("_l") + 1).over(by_line.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    skipped = [t.lower() for t in spec.skipped_headings]
     keys = found.withColumn("_key", normalize(F.col("title")))
-    keys = keys.where(~F.col("_key").isin(skipped)) if skipped else keys
+    for heading in spec.skipped_headings:
+        keys = keys.where(F.col("_key") != normalize(F.lit(heading)))
     once = Window.partitionBy(id_col, "_key").orderBy(F.col("ordinal").desc())  # of equal titles the last one is the heading's
     keys = keys.withColumn("_r", F.row_number().over(once)).where("_r = 1").select(id_col, "_key", "ordinal", "title")
     for heading, title in spec.heading_aliases.items():

@@ -167,11 +167,12 @@ def title_case(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _t(spark, sf_dir, "part").select("p_partkey", text.title_case(x).alias("title"))
 
 
-@query(f"""SELECT doc_id, substr(regexp_replace(regexp_replace(regexp_replace(text, '{WS}+', ' ', 'g'), '^ ', ''), ' $', ''), 1, 260) || CASE WHEN length(text) > 260 THEN '…' ELSE '' END AS excerpt,
-CAST(len(regexp_extract_all(text, '[^{text.WS_CHARS}]+')) AS BIGINT) AS words FROM documents WHERE NOT regexp_matches(text, '\\n{WS}*\\n')""")
+@query(f"""SELECT doc_id, substr(regexp_replace(regexp_replace(regexp_replace(p, '{WS}+', ' ', 'g'), '^ ', ''), ' $', ''), 1, 260) || CASE WHEN length(p) > 260 THEN '…' ELSE '' END AS excerpt,
+CAST(len(regexp_extract_all(text, '[^{text.WS_CHARS}]+')) AS BIGINT) AS words FROM (
+SELECT doc_id, text, coalesce(list_filter(string_split_regex(text, '\\n{WS}*\\n'), lambda b: length(regexp_replace(regexp_replace(b, '^{WS}+', ''), '{WS}+$', '')) > 80)[1], text) AS p FROM documents)""")
 def excerpts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """STF-04, STF-06, SRT-08."""
-    docs = _t(spark, sf_dir, "documents").where(~F.col("text").rlike(f"\n{WS}*\n"))
+    docs = _t(spark, sf_dir, "documents")
     return docs.select("doc_id", text.first_paragraph(F.col("text")).alias("excerpt"), text.word_count(F.col("text")).alias("words"))
 
 
@@ -192,7 +193,7 @@ labelled AS (SELECT doc_id, max(quality) AS quality, max(toxic) AS toxic FROM la
 assessments AS (SELECT 'fa:rights-assessment:d' || doc_id AS id, 'fa:representation:d' || doc_id AS subject, 'fa:artifact:d' || doc_id AS evidence,
   CASE WHEN doc_id % 5 = 0 THEN 'pending' ELSE 'accepted' END AS review_state, toxic = 0 AS evidence_use_allowed, quality = 1 AS quotation_allowed,
   CASE WHEN doc_id % 3 = 0 THEN NULL ELSE toxic = 0 END AS redistribution_allowed, toxic = 0 AND quality = 1 AS access_private_use_allowed,
-  quality = 1 AS ml_evaluation_allowed, CASE WHEN toxic = 1 THEN false END AS ml_training_allowed FROM labelled)"""
+  quality = 1 AS ml_evaluation_allowed, quality = 1 AND toxic = 0 AS ml_use_allowed, CASE WHEN toxic = 1 THEN false END AS ml_training_allowed FROM labelled)"""
 _GAPS_SQL = f"""WITH {_ASSESS_SQL},
 uses AS (SELECT unnest(['evidence-use', 'quotation', 'redistribution', 'access-private-use', 'ml-evaluation', 'ml-training']) AS use_case),
 gaps AS (SELECT m.release, u.use_case, m.member FROM members m JOIN resources r ON r.id = m.member AND r.kind IN ('artifact', 'representation') CROSS JOIN uses u
@@ -213,7 +214,7 @@ def _rights_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFra
     labels = _t(spark, sf_dir, "labels").groupBy("doc_id").agg(F.max("quality").alias("quality"), F.max("toxic").alias("toxic"))
     clean, good = F.col("toxic") == 0, F.col("quality") == 1
     values = (clean, good, F.when(F.col("doc_id") % 3 != 0, clean), clean & good, good, F.when(~clean, F.lit(False)))
-    assessments = labels.select(named("rights-assessment").alias("id"), named("representation").alias("subject"), named("artifact").alias("evidence"), F.when(F.col("doc_id") % 5 == 0, "pending").otherwise("accepted").alias("review_state"), *[v.alias(c) for v, c in zip(values, rights.columns().values(), strict=True)])
+    assessments = labels.select(named("rights-assessment").alias("id"), named("representation").alias("subject"), named("artifact").alias("evidence"), F.when(F.col("doc_id") % 5 == 0, "pending").otherwise("accepted").alias("review_state"), *[v.alias(c) for v, c in zip(values, rights.columns().values(), strict=True)], (clean & good).alias("ml_use_allowed"))
     return members, resources, assessments
 
 
@@ -223,6 +224,17 @@ def rights_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rights.catalogue_gaps(*_rights_tables(spark, sf_dir))
 
 
+@query(f"""WITH {_ASSESS_SQL}, modes AS (SELECT unnest([false, true]) AS require_ml)
+SELECT require_ml, m.release, m.member, r.kind FROM members m JOIN resources r ON r.id = m.member AND r.kind IN ('artifact', 'representation') CROSS JOIN modes
+WHERE NOT EXISTS (SELECT 1 FROM assessments a WHERE a.subject = m.member AND a.review_state = 'accepted' AND a.redistribution_allowed IS TRUE AND (NOT require_ml OR a.ml_use_allowed IS TRUE)
+  AND EXISTS (SELECT 1 FROM members x WHERE x.release = m.release AND x.member = a.id) AND EXISTS (SELECT 1 FROM members x WHERE x.release = m.release AND x.member = a.evidence))""")
+def redistribution_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """EXT-01: the first gate, without and with machine learning."""
+    tables = _rights_tables(spark, sf_dir)
+    both = [rights.redistribution_gaps(*tables, require_ml=m).withColumn("require_ml", F.lit(m)) for m in (False, True)]
+    return both[0].unionByName(both[1])
+
+
 @query(_GAPS_SQL + " SELECT u.use_case, count(g.member) AS n FROM uses u LEFT JOIN gaps g ON u.use_case = g.use_case GROUP BY u.use_case")
 def rights_gap_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """GATE-01, MSC-05."""
@@ -284,7 +296,7 @@ UNION ALL SELECT 'customer-nation', CAST(c_custkey AS VARCHAR), CAST(c_nationkey
 UNION ALL SELECT 'order-key', CAST(l_orderkey AS VARCHAR), CAST(count(*) AS VARCHAR) FROM lineitem GROUP BY l_orderkey HAVING count(*) > 1
 UNION ALL SELECT 'price-positive', CAST(o_orderkey AS VARCHAR), NULL FROM orders WHERE NOT (o_totalprice > 5000)""")
 def reference_closure(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """JN-11, JN-12, JN-14, JN-15, AGG-18: references, uniqueness and checks as violations, some of them seeded."""
+    """JN-11, JN-12, JN-14, AGG-18: references, uniqueness and checks as violations, some of them seeded."""
     items, orders, customers, nations = (_t(spark, sf_dir, n) for n in ("lineitem", "orders", "customer", "nation"))
     return expectations.all_of(
         expectations.references(items, "item-order", ["l_orderkey"], orders.where("o_orderkey % 50 <> 0"), ["o_orderkey"], "l_orderkey"),
@@ -360,14 +372,14 @@ def ordered_array_agg(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""WITH RECURSIVE e AS (
-  SELECT 'o' || o_orderkey AS output, 'c' || o_custkey AS input FROM orders WHERE o_orderkey % 10 = 0 UNION ALL SELECT 'c' || c_custkey, 'n' || c_nationkey FROM customer
+  SELECT 'o' || o_orderkey AS output, 'c' || o_custkey AS input FROM orders UNION ALL SELECT 'c' || c_custkey, 'n' || c_nationkey FROM customer
   UNION ALL SELECT 'n' || n_nationkey, 'r' || n_regionkey FROM nation),
 a AS (SELECT output AS start, output AS id FROM e WHERE output LIKE 'o%' UNION SELECT a.start, e.input FROM a JOIN e ON e.output = a.id)
 SELECT start, id FROM a WHERE id LIKE 'r%'""")
 def lineage_trace(spark: SparkSession, sf_dir: str) -> DataFrame:
     """JN-20, SET-03: from orders back to regions."""
     name = lambda p, c: F.concat(F.lit(p), F.col(c).cast("string"))
-    orders = _t(spark, sf_dir, "orders").where("o_orderkey % 10 = 0").select(name("o", "o_orderkey").alias("output"), name("c", "o_custkey").alias("input"))
+    orders = _t(spark, sf_dir, "orders").select(name("o", "o_orderkey").alias("output"), name("c", "o_custkey").alias("input"))
     edges = orders.union(_t(spark, sf_dir, "customer").select(name("c", "c_custkey"), name("n", "c_nationkey"))).union(_t(spark, sf_dir, "nation").select(name("n", "n_nationkey"), name("r", "n_regionkey")))
     regions = _t(spark, sf_dir, "region").select(name("r", "r_regionkey").alias("id"), F.lit("region").alias("kind"))
     return lineage.trace(orders.select(F.col("output").alias("start")), edges, regions, "region")
@@ -393,10 +405,10 @@ def turn_order_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""SELECT doc_id, CAST(strlen(substr(text, 1, 100)) + length(substr(text, 1, 100)) - length(replace(substr(text, 1, 100), chr(10), '')) AS BIGINT) AS byte_at,
-sha256(substr(text, 51, 100)) AS slice_sha256 FROM documents WHERE length(text) >= 150""")
+sha256(substr(text, 51, 100)) AS slice_sha256 FROM documents""")
 def byte_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SCF-03, SCF-06, SCF-07: a character slice is found again by its bytes."""
-    docs = _t(spark, sf_dir, "documents").where(F.length("text") >= 150)
+    docs = _t(spark, sf_dir, "documents")
     raw = F.encode("text", "UTF-8")
     start, end = (F.octet_length(F.substring("text", 1, n)) for n in (50, 150))
     return docs.select("doc_id", scalar.raw_byte_offset(F.col("text"), F.lit(100)).alias("byte_at"), scalar.slice_digest(raw, start, end).alias("slice_sha256"))
@@ -419,7 +431,7 @@ def idempotent_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""SELECT o_orderkey, 'fa:derivation:' || sha256('{"customer":' || o_custkey || ',"id":"o' || o_orderkey || '","note":null,"status":"' || o_orderstatus || '"}') AS derivation_id FROM orders""")
 def canonical_json_id(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """SCF-05, MSC-01, MSC-02, MSC-03."""
+    """SCF-05."""
     fields = {"status": F.col("o_orderstatus"), "id": F.concat(F.lit("o"), "o_orderkey"), "note": F.lit(None).cast("string"), "customer": F.col("o_custkey")}
     return _t(spark, sf_dir, "orders").select("o_orderkey", scalar.content_id("fa:derivation:", scalar.canonical_json(fields)).alias("derivation_id"))
 
@@ -438,7 +450,7 @@ def iso_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
 p <> '' AND NOT regexp_matches(p, '^/') AND len(list_filter(string_split(p, '/'), lambda s: s IN ('', '.', '..'))) = 0 AND position('\\' IN p) = 0 AS safe
 FROM (SELECT page_id, url, CASE page_id % 3 WHEN 0 THEN '../' WHEN 1 THEN '' ELSE '/' END || regexp_replace(url, '^https?://', '') AS p FROM pages)""")
 def path_predicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """SCF-14, SRC-16, FLT-05, FLT-06, FLT-14, STF-18."""
+    """SCF-14, SRC-16, FLT-05, FLT-06, FLT-14."""
     front = F.when(F.col("page_id") % 3 == 0, "../").when(F.col("page_id") % 3 == 1, "").otherwise("/")
     p = F.concat(front, F.regexp_replace("url", "^https?://", ""))
     return _t(spark, sf_dir, "pages").select("page_id", F.col("url").startswith("https://").alias("secure"), F.regexp_extract("url", "^https?://([^/]+)", 1).alias("host"), scalar.is_safe_path(p).alias("safe"))
@@ -446,7 +458,7 @@ def path_predicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""SELECT o_custkey, arg_max(o_orderkey, (o_orderdate, o_orderkey)) AS last_order, arg_min(o_orderpriority, o_orderkey) AS first_priority FROM orders GROUP BY o_custkey""")
 def keyed_merges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """SET-06, SET-07, SET-08: last wins and first wins by key."""
+    """SET-07, SET-08: last wins and first wins by key."""
     orders = _t(spark, sf_dir, "orders")
     last = setops.last_wins(orders, ["o_custkey"], "o_orderdate", "o_orderkey").select("o_custkey", F.col("o_orderkey").alias("last_order"))
     first = setops.first_wins(orders, ["o_custkey"], "o_orderpriority", "o_orderkey").withColumnRenamed("o_orderpriority", "first_priority")
@@ -455,14 +467,14 @@ def keyed_merges(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT doc_id FROM documents EXCEPT SELECT doc_id FROM labels WHERE quality = 1")
 def missing_required(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """SET-04, SET-05, SET-09."""
+    """SET-04, SET-09."""
     return setops.difference(_t(spark, sf_dir, "documents"), _t(spark, sf_dir, "labels").where("quality = 1"), ["doc_id"])
 
 
 @query("""SELECT conv_id, string_agg(role, '|' ORDER BY turn) AS expected, count(*) FILTER (role <> CASE WHEN rn % 2 = 1 THEN 'user' ELSE 'assistant' END) AS mismatches
 FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS rn FROM conversations) GROUP BY conv_id""")
 def positional_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """JN-19, MSC-08: actual sections against expected ones by place."""
+    """JN-19: actual sections against expected ones by place."""
     rows = _t(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.transform(F.sort_array(F.collect_list(F.struct("turn", "role"))), lambda s: s["role"]).alias("roles"))
     wrong = F.size(F.filter(F.transform("roles", lambda r, i: r != F.when(i % 2 == 0, "user").otherwise("assistant")), lambda x: x)).cast("long")
     return rows.select("conv_id", _LIST(F.col("roles")).alias("expected"), wrong.alias("mismatches"))
@@ -477,24 +489,24 @@ def json_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""SELECT o_orderkey, array_to_string(list_sort(map_keys(m)), '|') AS kept FROM (SELECT o_orderkey, map_from_entries(list_filter([('etag', o_orderstatus), ('x-cost', 'v'), ('content-type', o_orderpriority)], lambda e: e[1] IN ('content-type', 'etag', 'last-modified'))) AS m FROM orders)""")
 def header_allow_list(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """FLT-12, FLT-13, MSC-06, STF-15."""
+    """FLT-13, MSC-06."""
     headers = F.create_map(F.lit("ETag"), F.col("o_orderstatus"), F.lit("X-Cost"), F.lit("v"), F.lit("Content-Type"), F.col("o_orderpriority"))
     return _t(spark, sf_dir, "orders").select("o_orderkey", _LIST(F.array_sort(F.map_keys(scalar.safe_headers(headers)))).alias("kept"))
 
 
 @query("""SELECT (SELECT count(*) FROM documents) AS items, (SELECT count(DISTINCT doc_id) FROM documents) AS native_ids, (SELECT min(CAST(doc_id AS VARCHAR)) FROM documents) AS first_id,
 (SELECT max(CAST(doc_id AS VARCHAR)) FROM documents) AS last_id, (SELECT count(*) FROM documents WHERE doc_id % 9 = 0) AS without_record, (SELECT count(*) FROM documents) AS representations,
-(SELECT count(DISTINCT sha256(text)) FROM documents) AS artifacts, (SELECT string_agg(DISTINCT lang, '|' ORDER BY lang) FROM documents) AS languages, (SELECT count(*) FROM documents WHERE doc_id % 2 = 0) AS passages,
-(SELECT count(*) FROM documents WHERE doc_id % 2 = 0 AND nullif(text, '') IS NULL) AS without_text,
+(SELECT count(DISTINCT sha256(text)) FROM documents) AS artifacts, (SELECT string_agg(DISTINCT lang, '|' ORDER BY lang) FROM documents) AS languages, (SELECT count(*) FROM documents) AS passages,
+(SELECT count(*) FROM documents WHERE nullif(text, '') IS NULL) AS without_text,
 (SELECT count(*) FROM (SELECT 'r' || doc_id AS s FROM documents UNION SELECT 'a' || sha256(text) FROM documents) WHERE s NOT IN (SELECT 'r' || doc_id FROM labels WHERE quality = 1)) AS ungoverned,
-(SELECT count(*) FROM labels WHERE quality = 1 AND toxic = 0 AND doc_id IN (SELECT doc_id FROM documents)) AS training_allowed, (SELECT count(*) FROM documents WHERE doc_id % 2 <> 0) AS without_passage""")
+(SELECT count(*) FROM labels WHERE quality = 1 AND toxic = 0 AND doc_id IN (SELECT doc_id FROM documents)) AS training_allowed, CAST(0 AS BIGINT) AS without_passage""")
 def collection_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """AGG-02, AGG-15, GATE-11, JN-12, JN-21, FLT-10."""
     docs, labels = _t(spark, sf_dir, "documents"), _t(spark, sf_dir, "labels")
     d = F.col("doc_id").cast("string")
     items = docs.select(d.alias("id"), d.alias("native_id"), F.when(F.col("doc_id") % 9 == 0, "").otherwise(d).alias("archive_record_id"))
     reps = docs.select(F.concat(F.lit("r"), d).alias("id"), d.alias("item_id"), F.lit("text").alias("kind"), F.col("lang").alias("language"), F.concat(F.lit("a"), F.sha2("text", 256)).alias("artifact_id"))
-    cut = docs.where("doc_id % 2 = 0").select(d.alias("id"), d.alias("item_id"), F.col("text").alias("quoted_text"))
+    cut = docs.select(d.alias("id"), d.alias("item_id"), F.col("text").alias("quoted_text"))
     assessed = labels.select(F.concat(F.lit("r"), d).alias("subject"), F.when(F.col("quality") == 1, "accepted").otherwise("rejected").alias("review_state"), (F.col("toxic") == 0).alias("ml_training_allowed"))
     return audit.collection_audit(items, reps, cut, assessed)
 
@@ -505,7 +517,7 @@ BOOK_IDS = 40
 
 @query(None)
 def book_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """STF-10, STF-11, WIN-02 to WIN-06, JN-18, FLT-01 to FLT-03: all documents as books, one for each language and range of ids, cut up again."""
+    """STF-10, STF-11, WIN-02 to WIN-05, JN-18, FLT-01 to FLT-03: all documents as books, one for each language and range of ids, cut up again."""
     end = "\n*** END OF\n"  # the texts have no newline left, so none holds it
     book = F.concat_ws("-", F.coalesce("lang", F.lit("und")), F.floor(F.col("doc_id") / BOOK_IDS).cast("string"))
     docs = _t(spark, sf_dir, "documents").select(book.alias("book_id"), F.concat(F.lit("STORY NUMBER "), F.col("doc_id").cast("string")).alias("title"), F.regexp_replace(F.coalesce("text", F.lit("")), "\n", " ").alias("text"))

@@ -57,7 +57,7 @@ def project(catalogue: Catalogue, kinds: list[str] | None = None) -> dict[str, D
         "passages": wide.groupBy(F.col("passage_id").alias("id"), F.col("document_id").alias("documentId"), F.col("witness_id").alias("witnessId"), "ordinal").agg(F.min(text).alias("text")).select(v, "id", "documentId", "witnessId", "ordinal", "text"),
         "representations": wide.select(v, F.col("representation_id").alias("id"), F.col("witness_id").alias("witnessId"), F.col("representation_kind").alias("kind"), F.col("representation_language").alias("language"), F.col("artifact_id").alias("artifactId"), F.concat(F.lit("artifacts/"), "storage_key").alias("artifactPath"), F.col("artifact_sha256").alias("artifactSha256"), F.col("byte_length").alias("byteLength"), F.col("media_type").alias("mediaType")).distinct(),
         "derivations": publish_derivations(catalogue),
-        "rights": assessments.select(v, "id", F.col("subject").alias("subjectId"), F.col("evidence").alias("evidenceArtifactId"), F.col("review_state").alias("reviewState"), *[F.col(c).alias(field) for _, _, field, c in rights.USES]),
+        "rights": assessments.select(v, "id", F.col("subject").alias("subjectId"), F.col("evidence").alias("evidenceArtifactId"), F.col("review_state").alias("reviewState"), *[F.col(c).alias(field) for _, _, field, c in rights.USES], F.col("rights_source").alias("source"), F.col("attribution_text").alias("attribution"), "jurisdiction", F.col("reviewed_on").alias("reviewedOn"), F.col("statement_uri").alias("statementUri"), F.col("controlled_status").alias("controlledStatus")),
     }
 
 

@@ -36,3 +36,14 @@ def ship(spark: SparkSession) -> None:
             z.write(p, p.relative_to(root.parent))
     spark.sparkContext.addPyFile(archive)
     _shipped.add(app)
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that every executor sees: spark.checkpoint.dir. Where that is unset, a local session gets one of its own, as
+    in tests; a cluster has no such folder to guess, so that is an error."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        base = f"file://{tempfile.gettempdir()}/corvane-checkpoints"
+    return base.rstrip("/")

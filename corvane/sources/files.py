@@ -23,7 +23,7 @@ RECORDS: dict[str, str] = {
     "representations": "schemaVersion string, id string, witnessId string, kind string, language string, artifactId string, artifactPath string, artifactSha256 string, byteLength long, mediaType string, derivationId string",
     "derivations": "schemaVersion string, id string, type string, method string, methodVersion string, deterministic boolean, inputIds array<string>, outputIds array<string>",
     "translations": "schemaVersion string, id string, translationRepresentationId string, sourceRepresentationId string, producerClass string, reviewStatus string, reviewedById string, reviewEvidenceArtifactId string",
-    "rights": "schemaVersion string, id string, subjectId string, source string, attribution string, evidenceUseAllowed boolean, quotationAllowed boolean, redistributionAllowed boolean, accessPrivateUseAllowed boolean, mlEvaluationAllowed boolean, mlTrainingAllowed boolean, jurisdiction string, reviewedOn string, reviewState string, evidenceArtifactId string",
+    "rights": "schemaVersion string, id string, subjectId string, source string, attribution string, evidenceUseAllowed boolean, quotationAllowed boolean, redistributionAllowed boolean, accessPrivateUseAllowed boolean, mlEvaluationAllowed boolean, mlTrainingAllowed boolean, jurisdiction string, reviewedOn string, reviewState string, evidenceArtifactId string, statementUri string, controlledStatus string",
 }
 
 

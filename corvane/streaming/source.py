@@ -1,7 +1,7 @@
 """Adapters as a Structured Streaming source.
 
 An adapter is a version, a key and a list of items that can be read from any place on. The stream's offset is that place,
-so Spark's own checkpoint is the resume point; a batch holds at most `batch` items.
+so Spark's own checkpoint is the resume point; a micro-batch takes the backlog, in partitions of at most `batch` items.
 """
 
 from __future__ import annotations

@@ -71,8 +71,13 @@ def test_commit_replay_and_versions(spark, tmp_path):
     assert third["representation"] == 1 and third["artifact"] == 1 and "passage" not in third and "witness" not in third
     moved = item(4)
     moved["witnesses"][0]["representations"][0]["passages"][0]["source_anchor"] = "elsewhere"
+    moved["artifacts"][0]["sha256"] = "e" * 64
+    before = {t: c.table(t).count() for t in plans.TABLES}
     with pytest.raises(plans.Conflict):
-        commit_items(c, frame(spark, [moved]), "poems", "run3")
+        commit_items(c, frame(spark, [moved, item(77)]), "poems", "run3")
+    assert {t: c.table(t).count() for t in plans.TABLES} == before  # a refused batch leaves nothing behind
+    held = c.table("rights_assessment").first()
+    assert (held["rights_source"], held["attribution_text"], held["jurisdiction"], held["reviewed_on"], held["statement_uri"]) == ("s", "a", "FI", "2026-07-25", "u")
     with pytest.raises(ValueError, match="item-key"):
         commit_items(c, frame(spark, [item(1, external_key="Bad Key")]), "poems", "run4")
     kinds, artifacts = c.stats()

@@ -100,3 +100,9 @@ def test_paragraph_edges(spark):
     for r in passages(docs, least=0).orderBy("doc_id", "ordinal").collect():
         got.setdefault(r["doc_id"], []).append(r["text"])
     assert got == {2: ["next one"], 3: ["x"], 4: ["one", "two"], 5: ["a", "b"]}
+
+
+def test_canonical_json_sorts_at_every_depth(spark):
+    df = spark.createDataFrame([(([(3, {"z": 1, "a": None}), (1, None)], None),)], "x struct<z:array<struct<b:int,a:map<string,int>>>,a:string>")
+    got = df.select(scalar.canonical_json({"k": F.col("x")}, {"k": df.schema["x"].dataType}).alias("j")).first()["j"]
+    assert got == '{"k":{"a":null,"z":[{"a":{"a":null,"z":1},"b":3},{"a":null,"b":1}]}}'
