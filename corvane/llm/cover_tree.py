@@ -33,6 +33,8 @@ SHARD_ROWS = 8192
 CELL_ROWS, MOST_PIVOTS = 2048, 4096
 #: Distances are computed in double precision; bounds are widened by this much, and the cosine decides.
 SLACK = 1e-6
+#: Pairs of vectors that are tested at once.
+BLOCK_CELLS = 2_000_000
 
 
 class CoverTree:
@@ -79,9 +81,10 @@ def _close(p: np.ndarray, q: np.ndarray, reach: np.ndarray) -> np.ndarray:
     return 2 - 2 * (p @ q.T) <= (reach + SLACK) ** 2
 
 
-def dual_pairs(a: CoverTree, b: CoverTree, reach: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Index arrays of points of a and b, covering every pair within reach: leaf members of the node pairs that are left.
-    With b the same tree as a, each unordered pair of leaves comes once."""
+def dual_pairs(a: CoverTree, b: CoverTree, reach: float) -> Iterator[tuple[np.ndarray, np.ndarray, bool]]:
+    """Index arrays of points of a and b, covering every pair within reach: the members of a leaf of a, and those of all leaves
+    of b that are left with it. With b the same tree as a, each unordered pair of leaves comes once, and a leaf with itself
+    comes alone, marked by True."""
     if not a.depth or not b.depth:
         return
     same = a is b
@@ -111,8 +114,16 @@ def dual_pairs(a: CoverTree, b: CoverTree, reach: float) -> Iterator[tuple[np.nd
         px, py = np.concatenate(left_x), np.concatenate(left_y)
         order = np.lexsort((py, px))
         px, py = px[order], py[order]
-    for x, y in zip(px, py, strict=True):
-        yield a.levels[-1][1][x], b.levels[-1][1][y]
+    members = b.levels[-1][1]
+    cuts = np.flatnonzero(np.diff(px, prepend=-1))
+    for at, end in zip(cuts, [*cuts[1:], len(px)] if len(px) else [], strict=True):
+        x, others = px[at], py[at:end]
+        p = a.levels[-1][1][x]
+        if same and others[0] == x:
+            yield p, p, True
+            others = others[1:]
+        if len(others):
+            yield p, np.concatenate([members[y] for y in others]), False
 
 
 def scaled(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -129,10 +140,11 @@ def link_blocks(x: np.ndarray, y: np.ndarray, cosine: float) -> Iterator[tuple[n
     (sx, nx), (sy, ny) = scaled(x), scaled(y)
     one = CoverTree(sx / nx[:, None], reach / 4)
     two = one if y is x else CoverTree(sy / ny[:, None], reach / 4)
-    for p, q in dual_pairs(one, two, reach):
-        for k in range(0, len(p), 1024):
-            part = p[k : k + 1024]
-            yield part, q, (sx[part] @ sy[q].T) / (nx[part][:, None] * ny[q][None, :]) >= cosine, y is x and p is not q
+    for p, q, itself in dual_pairs(one, two, reach):
+        step = max(1, BLOCK_CELLS // len(q))
+        for k in range(0, len(p), step):
+            part = p[k : k + step]
+            yield part, q, (sx[part] @ sy[q].T) / (nx[part][:, None] * ny[q][None, :]) >= cosine, y is x and not itself
 
 
 def linked_pairs(x: np.ndarray, y: np.ndarray, cosine: float) -> tuple[np.ndarray, np.ndarray]:
@@ -146,28 +158,31 @@ def linked_pairs(x: np.ndarray, y: np.ndarray, cosine: float) -> tuple[np.ndarra
     return np.concatenate(out_i), np.concatenate(out_j)
 
 
-def link_counts(x: np.ndarray, y: np.ndarray, cosine: float, copies_x: np.ndarray, copies_y: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Copies that each row of x and each row of y links with, and edges (rows of x, rows of y) that connect what links.
-    With y the same array as x, the second count is the first."""
+def link_counts(x: np.ndarray, y: np.ndarray, cosine: float, copies_x: np.ndarray, copies_y: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Copies that each row of x and each row of y links with, and a component's first row for each row of x, then of y.
+    With y the same array as x, the second count is the first, and rows count once.
+
+    Of a block's links only those between rows not yet known to be connected are looked at one by one."""
+    same = y is x
     nx, ny = np.zeros(len(x)), np.zeros(len(y))
-    if y is x:
+    if same:
         ny = nx
-    edges = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
+    after = 0 if same else len(x)
+    label = np.arange(after + len(y))
     for p, q, linked, twice in link_blocks(x, y, cosine):
+        if not linked.any():
+            continue
         nx[p] += linked @ copies_y[q]
-        if twice or y is not x:
+        if twice or not same:
             ny[q] += copies_x[p] @ linked
-        i, j = np.nonzero(linked)
+        a, b = label[p], label[after + q]
+        i, j = np.nonzero(linked & (a[:, None] != b[None, :]))
         if len(i):
-            first = np.flatnonzero(np.diff(i, prepend=-1))
-            edges.append((p[i[first]], q[j[first]]))  # each row with the first it links with, each column with its first row
-            column, at = np.unique(j, return_index=True)
-            edges.append((p[i[at]], q[column]))
-            # rows that share a column but not a first one are connected through it, and so on: contracted, not listed
-            nodes, label = union_find(i, len(p) + j)
-            rows = nodes[nodes < len(p)], label[nodes < len(p)]
-            edges.append((p[rows[0]], q[j[np.searchsorted(i, rows[1])]]))
-    return nx, ny, np.concatenate([e[0] for e in edges]), np.concatenate([e[1] for e in edges])
+            nodes, low = union_find(a[i], b[j])
+            to = np.arange(len(label))
+            to[nodes] = low
+            label = to[label]
+    return nx, ny, label
 
 
 def cells_of(v: np.ndarray, pivots: np.ndarray, cosine: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -257,16 +272,14 @@ def near_vectors(vectors: DataFrame, *, id_col: str = "vec_id", vector_col: str
             left, right = np.flatnonzero(t["left"].to_numpy()), np.flatnonzero(t["right"].to_numpy())
             n = np.zeros(len(node))
             if len(left) == len(right) == len(node):  # a shard with itself
-                n, _, i, j = link_counts(v, v, cosine, copies, copies)
+                n, _, label = link_counts(v, v, cosine, copies, copies)
                 n -= copies  # each row links with itself
+                at = np.arange(len(node))
             else:
-                nl, nr, i, j = link_counts(v[left], v[right], cosine, copies[left], copies[right])
-                n[left] += nl
-                n[right] += nr
-                i, j = left[i], right[j]
-            _, label = union_find(np.append(i, np.arange(len(node))), np.append(j, np.arange(len(node))))
-            seen = np.flatnonzero(n > 0)
-            return pa.RecordBatch.from_arrays([pa.array(node[seen]), pa.array(node[label[seen]]), pa.array(np.rint(n[seen]).astype(np.int64))], names=["a", "b", "n"])
+                n[left], n[right], label = link_counts(v[left], v[right], cosine, copies[left], copies[right])
+                at = np.concatenate([left, right])
+            seen = np.flatnonzero(n[at] > 0)
+            return pa.RecordBatch.from_arrays([pa.array(node[at[seen]]), pa.array(node[at[label[seen]]]), pa.array(np.rint(n[at[seen]]).astype(np.int64))], names=["a", "b", "n"])
 
         now = None
         for batch in it:
