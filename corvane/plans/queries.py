@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -11,7 +12,10 @@ from ..functions import scalar, text
 from ..functions.vocabulary import CONCEPTS
 from ..operators import audit, expectations, lineage, rights, segmentation, setops, translation
 from ..operators.passages import passages
+from ..session import shared_dir
+from ..streaming import collection, ingest
 from ..streaming.ingest import ingest_files
+from . import catalogue
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -429,6 +433,33 @@ def idempotent_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ingest_files(spark, source, _t(spark, sf_dir, "events").schema, *item, replays=2)
 
 
+@query("""WITH n AS (SELECT count(DISTINCT doc_id) AS docs, count(DISTINCT sha256(coalesce(text, ''))) AS texts FROM documents WHERE doc_id IS NOT NULL)
+SELECT kind, CASE kind WHEN 'capture' THEN 2 * docs WHEN 'artifact' THEN texts WHEN 'rights_assessment' THEN 2 * docs ELSE docs END AS n
+FROM n, unnest(['artifact', 'capture', 'derivation', 'derivation_input', 'derivation_output', 'document', 'passage', 'passage_representation', 'representation', 'rights_assessment', 'source_item', 'witness']) AS k(kind)""")
+def collection_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """STR-01, STR-03, STR-05, STR-06, SNK-07: every document with an id as an item, validated and committed by a stream in two
+    runs of one request. Bytes of the second are known, so it adds its captures only. Null texts are empty ones. An assessment is named by its subject, its evidence and
+    the whole policy with its capture keys, so equal texts of several documents have one each."""
+    schema = _t(spark, sf_dir, "documents").schema
+    docs = spark.readStream.schema(schema).option("recursiveFileLookup", "true").parquet(f"{sf_dir}/documents.parque[t]").where("doc_id IS NOT NULL").withColumn("text", F.coalesce("text", F.lit("")))
+    key, no = F.concat(F.lit("doc-"), F.col("doc_id").cast("string")), F.lit(None).cast("string")
+    capture = F.struct(key.alias("key"), F.sha2("text", 256).alias("sha256"), F.octet_length("text").cast("long").alias("byte_length"), F.lit("text/plain").alias("media_type"))
+    span = F.struct(F.lit("TextPositionSelector").alias("type"), F.lit(0.0).alias("start"), F.length("text").cast("double").alias("end"))
+    passage = F.struct(F.lit("p1").alias("external_key"), F.lit(1).alias("ordinal"), F.lit("text").alias("source_anchor"), no.alias("citation_label"), no.alias("language"), span.alias("selector"), F.col("text").alias("quoted_text"))
+    copied = F.struct(no.alias("type"), F.lit("copy").alias("method"), F.lit("1").alias("method_version"), F.lit(True).alias("deterministic"), F.lit(None).cast("array<string>").alias("input_capture_keys"))
+    representation = F.struct(F.lit("plain").alias("external_key"), key.alias("capture_key"), no.alias("artifact_key"), F.lit("source").alias("kind"), no.alias("language"), no.alias("script"), copied.alias("derivation"), F.array(passage).alias("passages"))
+    stated = {"rights_source": "table", "attribution_text": "table", "jurisdiction": "FI", "reviewed_on": "2026-07-25", "review_state": "accepted", "statement_uri": "https://example.org/rights"}
+    uses = [F.lit(True).alias(c) for c in (*(c for *_, c in rights.USES), "commercial_use_allowed", "derivatives_allowed", "ml_use_allowed")]
+    terms = F.struct(F.array(key).alias("evidence_capture_keys"), *[F.lit(v).alias(c) for c, v in stated.items()], no.alias("controlled_status"), *uses)
+    witness = F.struct(F.lit("w").alias("external_key"), F.lit("text").alias("kind"), F.array(representation).alias("representations"))
+    item = docs.select(key.alias("external_key"), no.alias("checkpoint_after"), F.array(capture).alias("captures"), F.array().cast("array<struct<key:string,sha256:string,byte_length:bigint,media_type:string>>").alias("artifacts"), F.struct(key.alias("external_key"), F.col("doc_id").cast("string").alias("native_id"), no.alias("landing_uri")).alias("source_item"), F.array(witness).alias("witnesses"), terms.alias("rights"))
+    root = f"{shared_dir(spark)}/collection-{uuid.uuid4().hex}"
+    log, held = ingest.Catalogue(spark, f"{root}/log"), catalogue.Catalogue(spark, f"{root}/catalogue")
+    for _ in range(2):
+        collection.ingest_collection(log, held, item, "documents", "1", {"table": "documents"})
+    return catalogue.counts(held).where("n > 0 AND kind <> 'resource'")
+
+
 @query("""SELECT o_orderkey, 'fa:derivation:' || sha256('{"customer":' || o_custkey || ',"id":"o' || o_orderkey || '","note":null,"status":"' || o_orderstatus || '"}') AS derivation_id FROM orders""")
 def canonical_json_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SCF-05."""

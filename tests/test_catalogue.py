@@ -13,6 +13,7 @@ from corvane.plans import catalogue as plans
 from corvane.plans import release
 from corvane.sources.files import RECORDS, read_jsonl
 from corvane.sources.sinks import pack_release, verify_archive
+from corvane.streaming import collection, ingest, source
 from corvane.streaming.items import ITEM, commit_items, item_digest, problems
 
 SHA = "2cf24dba5fb0a30e26e83b2ac5b9e29e1b161e5c1fa7425e73043362938b9824"
@@ -85,6 +86,47 @@ def test_commit_replay_and_versions(spark, tmp_path):
     assert frame(spark, [item(1), item(1), item(2)]).select(item_digest().alias("d")).distinct().count() == 2
 
 
+def test_streamed_collection_stops_resumes_and_refuses(spark, tmp_path):
+    c, log = plans.Catalogue(spark, f"file://{tmp_path}/catalogue"), ingest.Catalogue(spark, f"file://{tmp_path}/log")
+    put = lambda items: frame(spark, items).coalesce(1).write.mode("append").parquet(f"{tmp_path}/items")
+    stream = lambda: spark.readStream.schema(ITEM).option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/items")
+    go = lambda stop=None: collection.ingest_collection(log, c, stream(), "poems", "1", {"volume": 1}, stop)
+    put([item(k) for k in range(4)])
+    put([item(k) for k in range(4, 8)])
+    answers = iter([False, True])
+    with pytest.raises(Exception, match="poems:1"):
+        go(lambda: next(answers))
+    run = log.events().first()["run"]
+    assert log.status(run) == ingest.PAUSED and collection.events(log, run).count() == c.table("document").count() == 4
+    again, new = go()
+    assert again == run and log.status(run) == ingest.COMPLETED and (new["document"], new["representation"], new["capture"]) == (4, 8, 0)
+    assert collection.events(log, run).count() == 8
+    other, new = go()  # unchanged bytes in another run: one capture more and nothing else
+    assert other != run and {k: n for k, n in new.items() if n} == {"capture": 1}
+    moved = item(4)
+    moved["witnesses"][0]["representations"][0]["passages"][0]["source_anchor"] = "elsewhere"
+    before = {t: c.table(t).count() for t in plans.TABLES}
+    frame(spark, [moved, item(77)]).coalesce(1).write.parquet(f"{tmp_path}/moved")
+    with pytest.raises(Exception, match="passage"):
+        collection.ingest_collection(log, c, spark.readStream.schema(ITEM).parquet(f"{tmp_path}/moved"), "poems", "2")
+    failed = log.events().where("status = 'failed'").first()["run"]
+    assert collection.events(log, failed).count() == 0 and {t: c.table(t).count() for t in plans.TABLES} == before
+
+
+def test_adapter_bodies_become_items(spark, tmp_path):
+    c, log = plans.Catalogue(spark, f"file://{tmp_path}/catalogue"), ingest.Catalogue(spark, f"file://{tmp_path}/log")
+    source.register(spark)
+    path = tmp_path / "items.jsonl"
+    stream = lambda: collection.drafts(spark.readStream.format("corvane_items").options(adapter="corvane.streaming.source:JsonLinesAdapter", argument=str(path), batch="2").load())
+    path.write_text("".join(json.dumps(item(k) | {"externalKey": f"poem-{k}"}) + "\n" for k in range(3)))
+    _, new = collection.ingest_collection(log, c, stream(), "poems", "1")
+    assert (new["document"], new["passage_representation"]) == (3, 6)
+    path.write_text(json.dumps({"externalKey": "poem-9"}) + "\n")
+    with pytest.raises(Exception, match="captures-missing"):
+        collection.ingest_collection(log, c, stream(), "poems", "2")
+    assert c.table("document").count() == 3 and log.events().where("status = 'failed'").count() == 1
+
+
 def test_release_round_trip(spark, tmp_path):
     c = plans.Catalogue(spark, f"file://{tmp_path}/catalogue")
     commit_items(c, frame(spark, [item(k) for k in range(5)]), "poems", "run1")
