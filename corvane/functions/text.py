@@ -13,12 +13,14 @@ from pyspark.sql import functions as F
 #: White space as ECMAScript has it; Java's \s lacks the no-break and other Unicode spaces.
 WS_CHARS = r"\t\n\x0B\f\r \x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}\x{FEFF}"
 WS = f"[{WS_CHARS}]"
+#: The same characters as a string, for functions that trim by a set.
+WS_SET = "\t\n\x0b\f\r \xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000\ufeff"
 #: A word boundary between ASCII word characters; Java's \b follows Unicode letters.
 ASCII_B = r"(?:(?<![A-Za-z0-9_])(?=[A-Za-z0-9_])|(?<=[A-Za-z0-9_])(?![A-Za-z0-9_]))"
 
 
 def trim_ws(x: Column) -> Column:
-    return F.regexp_replace(x, f"^{WS}+|{WS}+\\z", "")
+    return F.btrim(x, F.lit(WS_SET))
 
 
 def collapse_ws(x: Column) -> Column:
@@ -27,9 +29,9 @@ def collapse_ws(x: Column) -> Column:
 
 def normalize(x: Column) -> Column:
     """Comparison form: no carriage returns, straight quotes, punctuation and hyphens as spaces, one space between words, lower case."""
-    x = F.regexp_replace(F.regexp_replace(x, "\r", ""), "[’‘]", "'")
-    x = F.regexp_replace(x, r'[_*\[\].,;:!?"]', " ")
-    return F.lower(trim_ws(collapse_ws(F.regexp_replace(x, "-", " "))))
+    for old, new in (("\r", ""), ("’", "'"), ("‘", "'")):
+        x = F.replace(x, F.lit(old), F.lit(new))
+    return F.lower(F.trim(F.regexp_replace(x, rf'[_*\[\].,;:!?"\-{WS_CHARS}]+', " ")))
 
 
 def slugify(x: Column) -> Column:

@@ -71,8 +71,11 @@ def sections(books: DataFrame, spec: BookSpec, found: DataFrame, *, id_col: str
     end = _index(F.col("_text"), spec.body_end, F.col("_marker") + len(spec.body_start)) if spec.body_end else _index(F.col("_text"), "*** END OF", F.col("_marker"))
     b = b.withColumn("_end", end).withColumn("_body", F.substr(F.col("_text"), F.col("_marker") + 1, F.col("_end") - F.col("_marker")))
     by_line = Window.partitionBy(id_col).orderBy("_k")
-    lines = b.select(id_col, "_marker", F.length("_body").alias("_len"), F.posexplode(F.split("_body", "\n")).alias("_k", "_l"))
-    lines = lines.withColumn("_at", F.coalesce(F.sum(F.length("_l") + 1).over(by_line.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    key = F.when(F.col("_l") != "", normalize(F.col("_l")))
+    lines = b.select(id_col, F.posexplode(F.split("_body", "\n")).alias("_k", "_l"))
+    # Only lengths and digests of lines move; the texts between headings are cut from the body's own row below.
+    lines = lines.select(id_col, "_k", F.length("_l").alias("_n"), F.sha2(key, 256).alias("_key"))
+    lines = lines.withColumn("_at", F.coalesce(F.sum(F.col("_n") + 1).over(by_line.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
     keys = found.withColumn("_key", normalize(F.col("title")))
     for heading in spec.skipped_headings:
         keys = keys.where(F.col("_key") != normalize(F.lit(heading)))
@@ -80,13 +83,16 @@ def sections(books: DataFrame, spec: BookSpec, found: DataFrame, *, id_col: str
     keys = keys.withColumn("_r", F.row_number().over(once)).where("_r = 1").select(id_col, "_key", "ordinal", "title")
     for heading, title in spec.heading_aliases.items():
         keys = keys.unionByName(keys.where(F.col("_key") == normalize(F.lit(title))).withColumn("_key", normalize(F.lit(heading))))
-    first = Window.partitionBy(id_col, "ordinal").orderBy("_k")
-    heads = lines.withColumn("_key", normalize(F.col("_l"))).join(keys, [id_col, "_key"]).withColumn("_r", F.row_number().over(first)).where("_r = 1")
-    heads = heads.withColumn("_next", F.lead("_at").over(by_line)).select(id_col, "ordinal", "title", (F.col("_at") + F.length("_l") + 1).alias("_text_at"), "_at", F.coalesce("_next", F.col("_len") + 1).alias("_stop"), F.coalesce("_next", "_len").alias("_end_at"))
-    out = heads.join(b.select(id_col, "_marker", "_body"), id_col)
-    raw = F.substr(F.col("_body"), (F.col("_text_at") + 1).cast("int"), F.greatest(F.lit(0), F.col("_stop") - F.col("_text_at") - 1).cast("int"))
+    heads = lines.where("_key IS NOT NULL").join(keys.withColumn("_key", F.sha2("_key", 256)), [id_col, "_key"])
+    heads = heads.groupBy(id_col, "ordinal").agg(F.min(F.struct("_k", "_at", "title")).alias("_h")).select(id_col, "ordinal", "_h.*")
+    heads = heads.withColumn("_next", F.lead(F.struct("_k", "_at")).over(by_line))
+    heads = heads.groupBy(id_col).agg(F.collect_list(F.struct("_k", "_at", "_next", "ordinal", "title")).alias("_heads"))  # no longer than the book's contents
+    cut = b.select(id_col, "_marker", F.length("_body").alias("_len"), F.split("_body", "\n").alias("_lines")).join(heads, id_col)
+    between = lambda h: F.array_join(F.slice("_lines", h["_k"] + 2, F.coalesce(h["_next"]["_k"], F.size("_lines")) - h["_k"] - 1), "\n")
+    cut = cut.select(id_col, F.explode(F.transform("_heads", lambda h: F.struct(h["ordinal"], h["title"], between(h).alias("_raw"), (F.col("_marker") + h["_at"]).alias("start"), (F.col("_marker") + F.coalesce(h["_next"]["_at"], F.col("_len"))).alias("end")))).alias("_s"))
+    out, raw = cut.select(id_col, "_s.*"), F.col("_raw")
     clean = F.regexp_replace(raw, r"(?is)\n+End of Project Gutenberg.*\z", "")
     if spec.stop_at_stars:
         clean = F.regexp_replace(clean, rf"(?s)\n{WS}*\*{{5}}{WS}*\n.*\z", "")
     clean = trim_ws(F.regexp_replace(clean, r"\n{3,}", "\n\n"))
-    return out.select(id_col, "ordinal", "title", clean.alias("text"), (F.col("_marker") + F.col("_at")).alias("start"), (F.col("_marker") + F.col("_end_at")).alias("end")).where(F.length("text") >= least)
+    return out.select(id_col, "ordinal", "title", clean.alias("text"), "start", "end").where(F.length("text") >= least)

@@ -551,7 +551,7 @@ def book_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
     """STF-10, STF-11, WIN-02 to WIN-05, JN-18, FLT-01 to FLT-03: all documents as books, one for each language and range of ids, cut up again."""
     end = "\n*** END OF\n"  # the texts have no newline left, so none holds it
     book = F.concat_ws("-", F.coalesce("lang", F.lit("und")), F.floor(F.col("doc_id") / BOOK_IDS).cast("string"))
-    docs = _t(spark, sf_dir, "documents").select(book.alias("book_id"), F.concat(F.lit("STORY NUMBER "), F.col("doc_id").cast("string")).alias("title"), F.regexp_replace(F.coalesce("text", F.lit("")), "\n", " ").alias("text"))
+    docs = _t(spark, sf_dir, "documents").select(book.alias("book_id"), F.concat(F.lit("STORY NUMBER "), F.col("doc_id").cast("string")).alias("title"), F.replace(F.coalesce("text", F.lit("")), F.lit("\n"), F.lit(" ")).alias("text"))
     entries = F.sort_array(F.collect_list(F.struct("title", "text")))
     toc = F.array_join(F.transform(entries, lambda e: e["title"]), "\n")
     body = F.array_join(F.transform(entries, lambda e: F.concat(e["title"], F.lit("\n\n"), e["text"])), "\n\n")
