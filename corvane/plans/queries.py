@@ -15,7 +15,7 @@ from ..operators.passages import passages
 from ..session import shared_dir
 from ..streaming import collection, ingest
 from ..streaming.ingest import ingest_files
-from . import catalogue
+from . import catalogue, release
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -558,3 +558,48 @@ def book_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
     books = docs.groupBy("book_id").agg(F.concat(F.lit("CONTENTS\n"), toc, F.lit("\nTHE BOOK BEGINS\n\n"), body, F.lit(f"\n{end}")).alias("text"))
     spec = segmentation.BookSpec("CONTENTS", "THE BOOK BEGINS", "uppercase-lines", body_end=end)
     return segmentation.sections(books, spec, segmentation.titles(books, spec)).select("book_id", "ordinal", "title", F.length("text").alias("characters"), "start", "end")
+
+
+@query("""WITH d AS (SELECT doc_id, CAST(doc_id AS VARCHAR) AS k, coalesce(lang, 'und') AS a, sha256(coalesce(text, '')) AS s, strlen(coalesce(text, '')) AS n FROM documents WHERE doc_id IS NOT NULL),
+c AS (SELECT *, CASE a WHEN 'en' THEN 'volume-en' ELSE 'd' || k END AS src FROM d),
+r AS (SELECT *, 'fa:capture:sha256-' || sha256('{"archiveId":"' || a || '","artifactSha256":"' || s || '","byteLength":' || n || ',"retrievalUri":"https://example.org/' || a || '","sourceId":"' || src || '"}') AS cid FROM c)
+SELECT 'captures' AS kind, cid AS id, concat_ws('|', any_value(src), CASE any_value(a) WHEN 'en' THEN 'Institute' ELSE any_value(a) END, min('https://example.org/d' || k), any_value(s), any_value(n)) AS detail FROM r GROUP BY cid
+UNION ALL SELECT 'editions', 'fa:edition:d' || k, cid FROM r
+UNION ALL SELECT 'source-items', 'fa:source-item:d' || k, concat_ws('|', a, 'd' || k) FROM r
+UNION ALL SELECT 'lineage', 'fa:' || o || ':d' || k, concat_ws('|', o, cid, 'copy', s) FROM r, unnest(['document', 'witness', 'passage']) AS u(o)
+UNION ALL SELECT 'translations', 'fa:translation:sha256-' || sha256('{"producerClass":"machine","reviewEvidenceArtifactId":null,"reviewStatus":"unreviewed","reviewedById":null,"sourceRepresentationId":"fa:representation:d' || k || '","translationRepresentationId":"fa:representation:t' || k || '"}'), 'fa:representation:t' || k FROM r
+UNION ALL SELECT 'derivations', 'fa:derivation:sha256-' || sha256('{"deterministic":true,"inputIds":["' || cid || '"],"method":"copy","methodVersion":"1","outputIds":["fa:representation:d' || k || '"],"type":"extraction"}'), cid FROM r""")
+def release_evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JN-01, JN-03, JN-04, JN-06, FLT-15, MSC-01 to MSC-04: every document with an id as a captured item, released with where it comes
+    from. Items of one language are cut from one volume, so its equal texts are one capture."""
+    docs = _t(spark, sf_dir, "documents").where("doc_id IS NOT NULL").select(F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("key"), F.coalesce("lang", F.lit("und")).alias("archive_id"), F.coalesce("text", F.lit("")).alias("text"))
+    docs = docs.select("key", "archive_id", F.sha2("text", 256).alias("sha256"), F.octet_length("text").cast("long").alias("byte_length"))
+    named = lambda kind, name="id": F.concat(F.lit(f"fa:{kind}:"), "key").alias(name)
+    artifact, key = F.concat(F.lit("fa:artifact:sha256-"), "sha256"), F.col("key")
+    site = lambda c: F.concat(F.lit("https://example.org/"), c)
+    held = catalogue.Frames(
+        spark,
+        artifact=docs.select(artifact.alias("id"), "sha256", "byte_length", F.col("sha256").alias("storage_key")).distinct(),
+        source_item=docs.select(named("source-item"), "archive_id", key.alias("native_id"), site(key).alias("landing_uri")),
+        capture=docs.select(named("capture"), named("source-item", "source_item_id"), artifact.alias("artifact_id"), site("archive_id").alias("retrieval_uri")),
+        document=docs.select(named("document"), named("edition", "edition_id"), key.alias("title")),
+        witness=docs.select(named("witness"), named("document", "document_id")),
+        representation=docs.select(named("representation"), named("witness", "witness_id"), artifact.alias("artifact_id"), F.lit("source").alias("kind")),
+        passage=docs.select(named("passage"), named("witness", "witness_id"), F.lit(1).alias("ordinal")),
+        passage_representation=docs.select(named("passage", "passage_id"), named("representation", "representation_id")),
+        derivation=docs.select(named("derivation"), F.lit("extraction").alias("type"), F.lit("copy").alias("method"), F.lit("1").alias("method_version"), F.lit(True).alias("deterministic")),
+        derivation_input=docs.select(named("derivation", "derivation_id"), named("capture", "input_id"), F.lit("capture").alias("role"), F.lit(0).alias("ordinal")),
+        derivation_output=docs.select(named("derivation", "derivation_id"), named("representation", "output_id"), F.lit("result").alias("role"), F.lit(0).alias("ordinal")),
+        translation=docs.select(F.regexp_replace(named("representation"), ":d([^:]*)$", ":t$1").alias("translation_id"), named("representation", "source_id"), F.lit("machine").alias("producer_class"), F.lit("unreviewed").alias("review_status")),
+    )
+    records = release.project_evidence(held, release.ReleaseSpec("2026-07-25", {"en": "Institute"}, {"en": "volume-en"}))
+    first = F.col("inputIds")[0]
+    shown = {
+        "captures": ("id", F.concat_ws("|", "sourceId", "institution", "landingPage", "rawSha256", F.col("byteLength").cast("string"))),
+        "editions": ("id", F.col("captureId")),
+        "source-items": ("id", F.concat_ws("|", "archiveId", "nativeId")),
+        "lineage": ("outputId", F.concat_ws("|", F.col("outputKind"), first, F.col("method"), F.col("rawSha256"))),
+        "translations": ("id", F.col("translationRepresentationId")),
+        "derivations": ("id", first),
+    }
+    return expectations.all_of(*[records[kind].select(F.lit(kind).alias("kind"), F.col(i).alias("id"), d.alias("detail")) for kind, (i, d) in shown.items()])

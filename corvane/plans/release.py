@@ -3,22 +3,27 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Mapping
+from dataclasses import dataclass, field
 from pathlib import Path
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.scalar import canonical_json, is_iso_date
 from ..operators import expectations, rights, translation
 from ..sources.files import RECORDS, read_jsonl
 from ..sources.sinks import ReleaseError, build_manifest, check_manifest, write_jsonl_file
-from .catalogue import Catalogue
+from .catalogue import Catalogue, Frames
 
 SCHEMA_VERSION = "corpus-release-v3"
+KINDS = ("captures", "editions", "source-items", "documents", "witnesses", "passages", "lineage", "representations", "derivations", "translations", "rights")
+#: Orders of files whose records have no id of their own.
+ORDER = {"lineage": ("outputId", "outputKind", "inputIds", "method", "methodVersion")}
 
 
-def wide_rows(catalogue: Catalogue, kinds: list[str] | None = None) -> DataFrame:
+def wide_rows(catalogue: Catalogue | Frames, kinds: list[str] | None = None) -> DataFrame:
     """Passages with their representation, witness, document, artifact and quote: the one join that records are cut from."""
     reps = catalogue.table("representation")
     reps = reps.where(F.col("kind").isin(kinds)) if kinds else reps
@@ -29,7 +34,7 @@ def wide_rows(catalogue: Catalogue, kinds: list[str] | None = None) -> DataFrame
     return rows.join(a.select(F.col("id").alias("artifact_id"), F.col("sha256").alias("artifact_sha256"), "byte_length", "media_type", "storage_key"), "artifact_id")
 
 
-def publish_derivations(catalogue: Catalogue, capture_ids: DataFrame | None = None) -> DataFrame:
+def publish_derivations(catalogue: Catalogue | Frames, capture_ids: DataFrame | None = None) -> DataFrame:
     """Derivation records with sorted ids and an id from their content; capture_ids (old, new) replaces run-bound ids."""
     inputs = catalogue.table("derivation_input").select("derivation_id", F.col("input_id").alias("old"))
     if capture_ids is not None:
@@ -42,7 +47,83 @@ def publish_derivations(catalogue: Catalogue, capture_ids: DataFrame | None = No
     return rows.dropDuplicates(["id"]).orderBy("id")
 
 
-def project(catalogue: Catalogue, kinds: list[str] | None = None) -> dict[str, DataFrame]:
+@dataclass(frozen=True)
+class ReleaseSpec:
+    """What a release states about its captures: one day for all, an institution for each archive (by its id where none is given), and the archives whose
+    items were all cut from one volume, whose captures therefore go by the volume's name."""
+
+    captured_at: str
+    institutions: Mapping[str, str] = field(default_factory=dict)
+    volumes: Mapping[str, str] = field(default_factory=dict)
+
+
+def _by_archive(names: Mapping[str, str], otherwise: Column) -> Column:
+    out = otherwise
+    for archive, name in names.items():
+        out = F.when(F.col("archive_id") == archive, F.lit(name)).otherwise(out)
+    return out
+
+
+def release_capture_id(archive: Column, source: Column, uri: Column, sha256: Column, size: Column) -> Column:
+    """Identity of a capture from what was fetched, not from the run that fetched it."""
+    body = canonical_json({"archiveId": archive, "sourceId": source, "retrievalUri": uri, "artifactSha256": sha256, "byteLength": size})
+    return F.concat(F.lit("fa:capture:sha256-"), F.sha2(body, 256))
+
+
+def capture_rows(catalogue: Catalogue | Frames, spec: ReleaseSpec) -> DataFrame:
+    """Captures with their source item and artifact: capture_id as recorded, release_id as published, and what records state."""
+    c, a, i = (catalogue.table(t) for t in ("capture", "artifact", "source_item"))
+    rows = c.select(F.col("id").alias("capture_id"), "source_item_id", F.col("artifact_id").alias("capture_artifact_id"), "captured_at", "retrieval_uri")
+    rows = rows.join(a.select(F.col("id").alias("capture_artifact_id"), F.col("sha256").alias("capture_sha256"), F.col("byte_length").alias("capture_bytes"), F.col("storage_key").alias("capture_key")), "capture_artifact_id")
+    rows = rows.join(i.select(F.col("id").alias("source_item_id"), "archive_id", "native_id", "landing_uri"), "source_item_id")
+    rows = rows.withColumn("source_id", _by_archive(spec.volumes, F.col("native_id")))
+    return rows.withColumn("release_id", release_capture_id(F.col("archive_id"), F.col("source_id"), F.col("retrieval_uri"), F.col("capture_sha256"), F.col("capture_bytes")))
+
+
+def evidence_rows(catalogue: Catalogue | Frames, captures: DataFrame) -> DataFrame:
+    """(representation_id, method, method_version, and a row of captures): how each representation was made and from which
+    capture, the first input of its derivation. An input is a capture or a captured artifact; the earliest capture of an
+    artifact stands for it."""
+    first = catalogue.table("derivation_input").where("ordinal = 0").select("derivation_id", F.col("input_id").alias("_input"))
+    made = catalogue.table("derivation").select(F.col("id").alias("derivation_id"), "method", "method_version")
+    outs = catalogue.table("derivation_output").select("derivation_id", F.col("output_id").alias("representation_id"))
+    made = outs.join(made, "derivation_id").join(first, "derivation_id").groupBy("representation_id").agg(F.min_by(F.struct("method", "method_version", "_input"), "derivation_id").alias("_m")).select("representation_id", "_m.*")
+    whole = F.struct(*captures.columns)
+    by_bytes = captures.groupBy(F.col("capture_artifact_id").alias("_input")).agg(F.min_by(whole, F.struct("captured_at", "capture_id")).alias("_c"))
+    return made.join(captures.select(F.col("capture_id").alias("_input"), whole.alias("_c")).unionByName(by_bytes), "_input").select("representation_id", "method", "method_version", "_c.*")
+
+
+def publish_translations(catalogue: Catalogue | Frames) -> DataFrame:
+    """Translation records with an id from their content; reviewer and evidence may be null."""
+    fields = {"translationRepresentationId": "translation_id", "sourceRepresentationId": "source_id", "producerClass": "producer_class", "reviewStatus": "review_status", "reviewedById": "reviewed_by", "reviewEvidenceArtifactId": "review_evidence"}
+    body = canonical_json({k: F.col(c) for k, c in fields.items()})
+    return catalogue.table("translation").select(F.lit(SCHEMA_VERSION).alias("schemaVersion"), F.concat(F.lit("fa:translation:sha256-"), F.sha2(body, 256)).alias("id"), *[F.col(c).alias(k) for k, c in fields.items()])
+
+
+def project_evidence(catalogue: Catalogue | Frames, spec: ReleaseSpec, kinds: list[str] | None = None) -> dict[str, DataFrame]:
+    """The records that tell where passages come from: captures, editions, source-items, lineage, translations, and
+    derivations whose capture ids are those of the release. Only captures behind a released representation are named; of
+    several captures that become one, the first by landing page stands."""
+    v = F.lit(SCHEMA_VERSION).alias("schemaVersion")
+    captures = capture_rows(catalogue, spec)
+    editions = catalogue.table("edition").select(F.col("id").alias("edition_id"), F.col("title").alias("edition_title"), F.col("language").alias("edition_language"))
+    rows = wide_rows(catalogue, kinds).join(evidence_rows(catalogue, captures), "representation_id").join(editions, "edition_id", "left")
+    language = F.coalesce("edition_language", "passage_language", "representation_language", F.lit("und"))
+    published = rows.groupBy(F.col("release_id").alias("id")).agg(F.min(F.struct("landing_uri", "source_id", "archive_id", "retrieval_uri", "capture_key", "capture_sha256", "capture_bytes")).alias("_c")).select("id", "_c.*")
+    outputs = F.explode(F.array(*[F.struct(F.col(f"{k}_id").alias("outputId"), F.lit(k).alias("outputKind")) for k in ("document", "witness", "passage")])).alias("_o")
+    lineage = rows.select(outputs, "release_id", "method", "method_version", "capture_sha256").select(v, "_o.*", F.array("release_id").alias("inputIds"), "method", F.col("method_version").alias("methodVersion"), F.col("capture_sha256").alias("rawSha256"))
+    renamed = captures.select(F.col("capture_id").alias("old"), F.col("release_id").alias("new"))
+    return {
+        "captures": published.select(v, "id", F.col("source_id").alias("sourceId"), F.lit(spec.captured_at).alias("capturedAt"), _by_archive(spec.institutions, F.col("archive_id")).alias("institution"), F.col("landing_uri").alias("landingPage"), F.col("retrieval_uri").alias("retrievalUrl"), F.concat(F.lit("artifacts/"), "capture_key").alias("rawPath"), F.col("capture_sha256").alias("rawSha256"), F.col("capture_bytes").alias("byteLength")),
+        "editions": rows.groupBy(F.col("edition_id").alias("id")).agg(F.min("release_id").alias("captureId"), F.min(F.coalesce("edition_title", "title")).alias("title"), F.min(language).alias("language"), F.min("landing_uri").alias("sourceUrl")).select(v, "id", "captureId", "title", "language", "sourceUrl"),
+        "source-items": rows.select(v, F.col("source_item_id").alias("id"), F.col("archive_id").alias("archiveId"), F.col("native_id").alias("nativeId"), F.col("landing_uri").alias("landingUri")).distinct(),
+        "lineage": lineage.distinct(),
+        "translations": publish_translations(catalogue),
+        "derivations": publish_derivations(catalogue, renamed),
+    }
+
+
+def project(catalogue: Catalogue | Frames, kinds: list[str] | None = None) -> dict[str, DataFrame]:
     """Record frames by kind, all from one wide join."""
     wide = wide_rows(catalogue, kinds)
     v = F.lit(SCHEMA_VERSION).alias("schemaVersion")
@@ -61,7 +142,7 @@ def project(catalogue: Catalogue, kinds: list[str] | None = None) -> dict[str, D
     }
 
 
-def prospective_gaps(catalogue: Catalogue, members: DataFrame) -> DataFrame:
+def prospective_gaps(catalogue: Catalogue | Frames, members: DataFrame) -> DataFrame:
     """Rights gaps that a release with these members (release, member) would have. Nothing is written."""
     return rights.catalogue_gaps(members, catalogue.table("resource"), catalogue.table("rights_assessment"))
 
@@ -78,7 +159,7 @@ def write_release(records: dict[str, DataFrame], root: str | Path, version: str,
         raise ReleaseError(f"{root} exists")
     rights.require_publishable(gaps)
     for kind, df in records.items():
-        write_jsonl_file(df, root / f"{kind}.jsonl", "id")
+        write_jsonl_file(df, root / f"{kind}.jsonl", *ORDER.get(kind, ("id",)))
     report = gate_report(records, gaps)
     (root / "gates.json").write_text(json.dumps(report, indent=2, sort_keys=True) + "\n", encoding="utf-8")
     return build_manifest(root, version, counts=report["counts"])
@@ -93,8 +174,10 @@ def validate_release(spark: SparkSession, root: str | Path) -> DataFrame:
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(f"file://{root.resolve()}").select(F.expr(f"substring(regexp_replace(path, '^file:/*', '/'), {len(str(root.resolve())) + 2})").alias("p"), F.length("content").cast("long").alias("m"), F.sha2("content", 256).alias("s")).where("p <> 'manifest.json'")
     differ = listed.join(files, listed.path == files.p, "full").where("path IS NULL OR p IS NULL OR n <> m OR sha256 <> s")
     checks.append(differ.select(F.lit("file").alias("check"), F.coalesce("path", "p").alias("key"), F.lit("missing, unlisted or changed").alias("detail")))
-    t = {k: read_jsonl(spark, f"file://{root.resolve()}/{k}.jsonl", RECORDS[k]) for k in ("documents", "witnesses", "passages", "representations", "derivations", "rights") if (root / f"{k}.jsonl").exists()}
+    t = {k: read_jsonl(spark, f"file://{root.resolve()}/{k}.jsonl", RECORDS[k]) for k in KINDS if (root / f"{k}.jsonl").exists()}
     for kind, df in t.items():
+        if kind in ORDER:
+            continue
         checks += [expectations.unique(df, f"{kind}-id", "id"), expectations.present(df, f"{kind}-no-id", "id", "id"), expectations.holds(df, f"{kind}-id-shape", F.col("id").rlike(r"^fa:[a-z-]+:"), "id")]
     actual = [df.agg(F.count("*").alias("n")).select(F.lit(k).alias("kind"), "n") for k, df in t.items()]
     declared = spark.createDataFrame(list(manifest.get("counts", {}).items()) or [("none", 0)], "kind string, n long")
@@ -112,7 +195,18 @@ def validate_release(spark: SparkSession, root: str | Path) -> DataFrame:
     checks.append(expectations.references(t["rights"], "rights-subject", ["subjectId"], known, ["id"], "id"))
     dated = t["rights"].where("reviewedOn IS NOT NULL")
     checks.append(expectations.holds(dated, "rights-date", is_iso_date(F.col("reviewedOn")), "id"))
+    if "captures" in t:
+        checks.append(expectations.references(t["editions"], "edition-capture", ["captureId"], t["captures"], ["id"], "id"))
+        checks.append(expectations.references(t["documents"], "document-edition", ["editionId"], t["editions"], ["id"], "id"))
+        made = t["documents"].select("id").union(t["witnesses"].select("id")).union(t["passages"].select("id"))
+        checks.append(expectations.references(t["lineage"], "lineage-output", ["outputId"], made, ["id"], "outputId"))
+        checks.append(expectations.references(made, "no-lineage", ["id"], t["lineage"], ["outputId"], "id"))
+        checks.append(expectations.references(t["lineage"].select("outputId", F.explode("inputIds").alias("i")), "lineage-input", ["i"], t["captures"], ["id"], "outputId"))
+        checks.append(expectations.references(t["lineage"].select("outputId", "rawSha256"), "lineage-bytes", ["rawSha256"], t["captures"], ["rawSha256"], "outputId"))
+    if "translations" in t:
+        gaps = translation.translation_gaps(t["translations"], t["representations"], t["derivations"], t["rights"].select(F.col("evidenceArtifactId").alias("id")))
+        checks.append(gaps.select(F.lit("translation").alias("check"), F.col("id").alias("key"), F.concat_ws(",", "reasons").alias("detail")))
     return expectations.all_of(*checks)
 
 
-__all__ = ["gate_report", "project", "prospective_gaps", "publish_derivations", "translation", "validate_release", "wide_rows", "write_release"]
+__all__ = ["ReleaseSpec", "capture_rows", "evidence_rows", "gate_report", "project", "project_evidence", "prospective_gaps", "publish_derivations", "publish_translations", "release_capture_id", "translation", "validate_release", "wide_rows", "write_release"]

@@ -11,12 +11,12 @@ from pyspark.sql.types import StructType
 _STR = "string"
 #: Fixed schemas of release records by kind.
 RECORDS: dict[str, str] = {
-    "captures": "schemaVersion string, id string, capturedAt string, rawPath string, rawSha256 string, byteLength long, sourceUrl string, mediaType string",
+    "captures": "schemaVersion string, id string, sourceId string, capturedAt string, institution string, landingPage string, retrievalUrl string, rawPath string, rawSha256 string, byteLength long, sourceUrl string, mediaType string",
     "editions": "schemaVersion string, id string, captureId string, title string, language string, author string, editor string",
     "documents": "schemaVersion string, id string, editionId string, title string, language string, captureId string, sourceOrdinal int, witnessIds array<string>",
     "witnesses": "schemaVersion string, id string, documentId string, language string, text string, rawPath string, rawSha256 string",
     "passages": "schemaVersion string, id string, documentId string, witnessId string, ordinal int, text string, characterStart int, characterEnd int",
-    "lineage": "schemaVersion string, outputId string, inputIds array<string>, method string, methodVersion string, rawSha256 string",
+    "lineage": "schemaVersion string, outputId string, outputKind string, inputIds array<string>, method string, methodVersion string, rawSha256 string",
     "splits": "schemaVersion string, splitId string, documentId string, groupId string, split string",
     "aliases": "schemaVersion string, kind string, alias string, targetId string, reason string",
     "source-items": "schemaVersion string, id string, archiveId string, nativeId string, landingUri string, metadata variant",

@@ -148,6 +148,29 @@ def test_release_round_trip(spark, tmp_path):
         release.write_release(records, tmp_path / "release3", "0.1.0", release.prospective_gaps(c, only_one))
 
 
+def test_release_with_evidence(spark, tmp_path):
+    c = plans.Catalogue(spark, f"file://{tmp_path}/catalogue")
+    commit_items(c, frame(spark, [item(k) for k in range(4)]), "poems", "run1")
+    commit_items(c, frame(spark, [item(k) for k in range(4)]), "poems", "run2")  # captured again: a release names the bytes once
+    reps = [r["id"] for r in c.table("representation").orderBy("id").collect()]
+    rows = [(reps[0], reps[1], "machine", "unreviewed"), (reps[2], reps[2], "human", "unreviewed"), (reps[3], "fa:representation:none", "human", "accepted")]
+    c.append("translation", spark.createDataFrame(rows, "translation_id string, source_id string, producer_class string, review_status string"))
+    archive = c.table("source_item").first()["archive_id"]
+    spec = release.ReleaseSpec("2026-07-25", {archive: "The institute"}, {archive: "volume-1"})
+    records = release.project(c) | release.project_evidence(c, spec)
+    captures = records["captures"].collect()
+    assert len(captures) == c.table("capture").select("artifact_id").distinct().count() < c.table("capture").count()
+    assert {(r["sourceId"], r["institution"], r["capturedAt"]) for r in captures} == {("volume-1", "The institute", "2026-07-25")}
+    assert records["lineage"].select("outputId").distinct().count() == sum(records[k].count() for k in ("documents", "witnesses", "passages"))
+    members = c.table("resource").select(F.lit("r").alias("release"), F.col("id").alias("member"))
+    release.write_release(records, tmp_path / "out", "0.1.0", release.prospective_gaps(c, members))
+    found = {(r["check"], r["detail"]) for r in release.validate_release(spark, tmp_path / "out").collect()}
+    assert found == {("translation", "missing-translation-derivation"), ("translation", "source-equals-translation,missing-translation-derivation"), ("translation", "missing-source-representation,missing-translation-derivation")}
+    path = tmp_path / "out" / "captures.jsonl"
+    path.write_text("\n".join(path.read_text().splitlines()[1:]) + "\n")
+    assert {"edition-capture", "lineage-input", "lineage-bytes"} & {r["check"] for r in release.validate_release(spark, tmp_path / "out").collect()} >= {"lineage-input", "lineage-bytes"}
+
+
 def test_seed_import_and_trace(spark, tmp_path):
     text = " ".join(f"Sentence {i} has a few words." for i in range(120))
     docs = spark.createDataFrame([(f"fa:document:pg-1:toc-{k:03d}", f"fa:witness:pg-1:toc-{k:03d}:text-en", k, f"{text} {k}.") for k in range(1, 6)], "id string, witness string, n int, text string")
