@@ -38,6 +38,34 @@ def iso_day(x: Column) -> Column:
     return F.date_format(x, "yyyy-MM-dd")
 
 
+def reviewed_on(x: Column, kind: str) -> Column:
+    """A day as text: dates and timestamps (kind date or timestamp) as their UTC day, text that is an ISO date as it stands; null
+    stays null and any other text stops the job."""
+    if kind in ("date", "timestamp"):
+        return iso_day(x)
+    return F.when(x.isNull() | is_iso_date(x), x).otherwise(F.raise_error(F.concat(F.lit("no ISO date: "), x)).cast("string"))
+
+
+def digest_bytes(x: Column) -> Column:
+    """A hex digest as bytes; null if it is none."""
+    return F.when(x.rlike(SHA256), F.unhex(x))
+
+
+def digest_hex(x: Column) -> Column:
+    """Bytes as lower-case hex."""
+    return F.lower(F.hex(x))
+
+
+def backoff_ms(attempt: Column) -> Column:
+    """Milliseconds to wait after an attempt, counted from 0: 500, 1000, 2000, ..."""
+    return (F.lit(500) * F.pow(F.lit(2), attempt)).cast("long")
+
+
+def icu_order(*cols: Column) -> Column:
+    """Sort key: the first that is not null, in the order of the Unicode collation (`_`, `-`, `:`, digits, letters)."""
+    return F.collate(F.coalesce(*cols), "UNICODE")
+
+
 def _code_units(key: str) -> bytes:
     return key.encode("utf-16-be", "surrogatepass")
 

@@ -603,3 +603,14 @@ def release_evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
         "derivations": ("id", first),
     }
     return expectations.all_of(*[records[kind].select(F.lit(kind).alias("kind"), F.col(i).alias("id"), d.alias("detail")) for kind, (i, d) in shown.items()])
+
+
+@query("""SELECT doc_id, lower(hex(unhex(d))) = d AS same, octet_length(unhex(d)) AS n_bytes, CAST(500 * pow(2, n) AS BIGINT) AS wait_ms, coalesce(p.path, 'raw/' || d) AS raw_path
+FROM (SELECT doc_id, sha256(coalesce(text, '')) AS d, length(coalesce(lang, '')) AS n, lang FROM documents) LEFT JOIN (SELECT sha256(coalesce(text, '')) AS e, min('artifacts/' || lang) AS path FROM documents WHERE lang IS NOT NULL AND lang <> 'en' GROUP BY 1) p ON d = e""")
+def digest_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SCF-13, SCF-15, FLT-17: digests to bytes and back, waits between attempts, and paths by digest with a fallback."""
+    docs = _t(spark, sf_dir, "documents").select("doc_id", "lang", F.sha2(F.coalesce("text", F.lit("")), 256).alias("rawSha256"))
+    artifacts = docs.where("lang IS NOT NULL AND lang <> 'en'").select(F.col("rawSha256").alias("sha256"), F.concat(F.lit("artifacts/"), "lang").alias("path"))
+    rows = release.rewrite_raw_paths(docs.withColumn("rawPath", F.concat(F.lit("raw/"), "rawSha256")), artifacts)
+    held = scalar.digest_bytes(F.col("rawSha256"))
+    return rows.select("doc_id", (scalar.digest_hex(held) == F.col("rawSha256")).alias("same"), F.octet_length(held).cast("long").alias("n_bytes"), scalar.backoff_ms(F.length(F.coalesce("lang", F.lit("")))).alias("wait_ms"), F.col("rawPath").alias("raw_path"))

@@ -47,6 +47,28 @@ def publish_derivations(catalogue: Catalogue | Frames, capture_ids: DataFrame |
     return rows.dropDuplicates(["id"]).orderBy("id")
 
 
+def rewrite_raw_paths(records: DataFrame, artifacts: DataFrame) -> DataFrame:
+    """Records whose rawPath is the path that artifacts (sha256, path) give for their rawSha256; without one it stays. Of
+    several paths of a digest the first in order is taken."""
+    paths = artifacts.groupBy(F.col("sha256").alias("rawSha256")).agg(F.min("path").alias("_artifact_path"))
+    return records.join(paths, "rawSha256", "left").withColumn("rawPath", F.coalesce("_artifact_path", "rawPath")).select(*records.columns)
+
+
+def artifact_conflicts(artifacts: DataFrame) -> DataFrame:
+    """(check, key, detail): digests that are listed with different lengths, media types or storage keys."""
+    told = F.struct("byte_length", "media_type", "storage_key")
+    rows = artifacts.groupBy("sha256").agg(F.min(told).alias("_a"), F.max(told).alias("_b")).where("NOT (_a <=> _b)")
+    return rows.select(F.lit("artifact-metadata").alias("check"), F.col("sha256").alias("key"), F.concat_ws("/", F.to_json("_a"), F.to_json("_b")).alias("detail"))
+
+
+def require_apart(root: str | Path, *others: str | Path) -> None:
+    """A release's folder may not lie in a catalogue or repository, hold one, or be one, links resolved."""
+    own = Path(root).resolve()
+    for other in (Path(o).resolve() for o in others):
+        if own == other or own in other.parents or other in own.parents:
+            raise ReleaseError(f"{root} overlaps {other}")
+
+
 @dataclass(frozen=True)
 class ReleaseSpec:
     """What a release states about its captures: one day for all, an institution for each archive (by its id where none is given), and the archives whose
@@ -209,4 +231,4 @@ def validate_release(spark: SparkSession, root: str | Path) -> DataFrame:
     return expectations.all_of(*checks)
 
 
-__all__ = ["ReleaseSpec", "capture_rows", "evidence_rows", "gate_report", "project", "project_evidence", "prospective_gaps", "publish_derivations", "publish_translations", "release_capture_id", "translation", "validate_release", "wide_rows", "write_release"]
+__all__ = ["ReleaseSpec", "artifact_conflicts", "capture_rows", "evidence_rows", "gate_report", "project", "project_evidence", "prospective_gaps", "publish_derivations", "publish_translations", "release_capture_id", "require_apart", "rewrite_raw_paths", "translation", "validate_release", "wide_rows", "write_release"]

@@ -207,3 +207,13 @@ def test_published_records_read(spark):
         if "PATH_NOT_FOUND" not in str(e):
             raise
         pytest.skip("no published records here")
+
+
+def test_artifact_conflicts_and_roots(spark, tmp_path):
+    rows = [("a", 1, "t", "k"), ("a", 1, "t", "k"), ("b", 1, "t", "k"), ("b", 2, "t", "k"), ("c", None, None, "k"), ("c", None, None, "k")]
+    found = release.artifact_conflicts(spark.createDataFrame(rows, "sha256 string, byte_length long, media_type string, storage_key string"))
+    assert [r["key"] for r in found.collect()] == ["b"]
+    release.require_apart(tmp_path / "out", tmp_path / "catalogue")
+    for root in (tmp_path, tmp_path / "catalogue", tmp_path / "catalogue" / "out"):
+        with pytest.raises(release.ReleaseError):
+            release.require_apart(root, tmp_path / "catalogue")

@@ -106,3 +106,14 @@ def test_canonical_json_sorts_at_every_depth(spark):
     df = spark.createDataFrame([(([(3, {"z": 1, "a": None}), (1, None)], None),)], "x struct<z:array<struct<b:int,a:map<string,int>>>,a:string>")
     got = df.select(scalar.canonical_json({"k": F.col("x")}, {"k": df.schema["x"].dataType}).alias("j")).first()["j"]
     assert got == '{"k":{"a":null,"z":[{"a":{"a":null,"z":1},"b":3},{"a":null,"b":1}]}}'
+
+
+def test_days_orders_and_digests(spark):
+    rows = spark.createDataFrame([("b", None), (None, "a:1"), ("a-1", "z"), ("a_1", None), ("aa", "0"), ("A", None)], "id string, alias string")
+    got = [r["v"] for r in rows.orderBy(scalar.icu_order(F.col("id"), F.col("alias"))).select(F.coalesce("id", "alias").alias("v")).collect()]
+    assert got == ["A", "a_1", "a-1", "a:1", "aa", "b"]
+    days = spark.sql("SELECT timestamp'2026-07-25 23:30:00' AS t, '2026-02-28' AS s, CAST(NULL AS STRING) AS n, '2026-02-30' AS bad")
+    assert tuple(days.select(scalar.reviewed_on(F.col("t"), "timestamp"), scalar.reviewed_on(F.col("s"), "string"), scalar.reviewed_on(F.col("n"), "string")).first()) == ("2026-07-25", "2026-02-28", None)
+    with pytest.raises(Exception, match="no ISO date"):
+        days.select(scalar.reviewed_on(F.col("bad"), "string")).collect()
+    assert days.select(scalar.digest_bytes(F.lit("xyz")).alias("v")).first()["v"] is None
