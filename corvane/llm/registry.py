@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 import corpus_pipeline
 
 from ..session import ship
-from . import cover_tree, language, line_dedup, mixing, ngram_join, pieces, quality_classifier, quality_rules, repeats, resample, toxicity
+from . import conversations, cover_tree, language, line_dedup, mixing, ngram_join, pieces, quality_classifier, quality_rules, repeats, resample, toxicity
 
 
 def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -35,10 +35,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_ngram_join": ngram_join.op9_ngram_join,
         "op10_mixing": mixing.op10_mixing,
         "op11_resample": resample.op11_resample,
+        "op13_conversation_repair": conversations.op13_conversation_repair,
         "pipeline": corpus_pipeline.run,
     }
     return {name: _shipped(query) for name, query in found.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_line_dedup": line_dedup.OP1_SQL, "op4_cover_tree": cover_tree.OP4_SQL, "op5_quality_rules": quality_rules.OP5_SQL, "op10_mixing": mixing.OP10_SQL, "op11_resample": resample.OP11_SQL}
+    return {"op1_line_dedup": line_dedup.OP1_SQL, "op4_cover_tree": cover_tree.OP4_SQL, "op5_quality_rules": quality_rules.OP5_SQL, "op10_mixing": mixing.OP10_SQL, "op11_resample": resample.OP11_SQL, "op13_conversation_repair": conversations.OP13_SQL}
