@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 import corpus_pipeline
 
 from ..session import ship
-from . import conversations, cover_tree, language, line_dedup, mixing, ngram_join, pieces, quality_classifier, quality_rules, repeats, resample, toxicity
+from . import conversations, cover_tree, language, line_dedup, mixing, ngram_join, pieces, pii, quality_classifier, quality_rules, repeats, resample, toxicity
 
 
 def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -35,6 +35,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_ngram_join": ngram_join.op9_ngram_join,
         "op10_mixing": mixing.op10_mixing,
         "op11_resample": resample.op11_resample,
+        "op12_private": pii.op12_private,
         "op13_conversation_repair": conversations.op13_conversation_repair,
         "pipeline": corpus_pipeline.run,
     }
