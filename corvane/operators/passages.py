@@ -1,15 +1,22 @@
 """Passages: paragraphs, packed sentence by sentence into windows of at most so many words, short ones merged forward.
 
-All of it is a fold inside a row; nothing is exploded or shuffled until the caller asks for one row per passage.
-Offsets are code points; `text[start, end)` is the passage.
+All of it happens inside a row; nothing is exploded or shuffled until the caller asks for one row per passage. Both steps
+reset when a window is full, so each is a chain of jumps: from any sentence, sums of words give the sentence at which its
+window ends, by binary search; which sentences begin a window follows from the table of jumps, composed with itself until
+it spans the text. No array grows while it is folded, and text is cut once, so a long text costs little more than in
+proportion to its length. Offsets are code points; `text[start, end)` is the passage.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import WS
+from ..functions.arrays import bind, running
+from ..functions.text import WS, WS_SET, trim_ws
+from ..session import spread
 
 MOST_WORDS, LEAST_WORDS = 220, 55
 #: Fixed value. A sentence with its closing marks and the white space after it; a closing mark that no sentence takes stands alone.
@@ -17,86 +24,125 @@ SENTENCE = rf"[^.!?]+(?:[.!?]+[\"']?|\z){WS}*|[.!?]"
 #: A paragraph with the blank lines in front; or what can't begin one, a first line break and all up to blank lines.
 PARAGRAPH = rf"(?:^|\n{WS}*\n)[^\n](?s:.*?)(?=\n{WS}*\n|\z)|(?s:.+?)(?=\n{WS}*\n[^\n]|\z)"
 NO_PARAGRAPH = rf"^\n(?!{WS}*\n)"
-_SPAN = "array<struct<start:int,end:int>>"
-
-
-def _n_words(x: Column) -> Column:
-    return F.regexp_count(x, F.lit(f"{WS}+")) + 1
 
 
 def _between(text: Column, start: Column, end: Column) -> Column:
     return F.substr(text, start + 1, end - start)
 
 
-def _tiles(text: Column, pattern: str, mark: str) -> Column:
-    """Of each successive match its length, the white space in front, the length without white space, the words, and whether
-    it is of the marked kind: measured once, so that the folds below only add numbers."""
+def _gaps(x: Column) -> Column:
+    """Runs of white space."""
+    return F.regexp_count(x, F.lit(f"{WS}+"))
+
+
+def _first_where(low: Column, high: Column, holds: Callable[[Column], Column]) -> Column:
+    """The least place in [low, high) where holds is true, as it is for all places after it; high if there is none."""
+    bounds = F.struct(low.cast("int").alias("low"), high.cast("int").alias("high"))
+
+    def halve(b: Column, _: Column) -> Column:
+        middle = F.shiftright(b["low"] + b["high"], 1)
+        return F.when(b["low"] >= b["high"], b).when(holds(middle), F.struct(b["low"].alias("low"), middle.alias("high"))).otherwise(F.struct((middle + 1).alias("low"), b["high"].alias("high")))
+
+    rounds = F.ceil(F.log2(high - low + 1)).cast("int") + 1
+    return F.aggregate(F.sequence(F.lit(1), F.greatest(F.lit(1), rounds)), bounds, halve, lambda b: b["low"])
+
+
+def _with(name: str, f: Callable[..., Column], *cols: str) -> Callable[[DataFrame], DataFrame]:
+    """Adds f of some columns. The columns are bound first, so that none of them is computed again for each element."""
+    return lambda rows: rows.withColumn(name, bind(F.struct(*cols), lambda s: f(*[s[c] for c in cols])))
+
+
+def _levels(jumps: Column) -> Column:
+    """The table of jumps with its own size as a last place that stays, then composed with itself: of 2, 4, 8 ... jumps, until it spans the array."""
+    twice = lambda levels: bind(F.element_at(levels, -1), lambda j: F.transform(j, lambda to: F.get(j, to)))
+    rounds = F.slice(F.sequence(F.lit(1), F.lit(32)), F.lit(1), F.greatest(F.lit(0), F.ceil(F.log2(F.size(jumps) + 1)).cast("int") - 1))
+    return F.aggregate(rounds, F.array(F.concat(jumps, F.array(F.size(jumps)))), lambda levels, _: F.concat(levels, F.array(twice(levels))))
+
+
+def _places(levels: Column) -> Column:
+    """The places that are reached from 0, by the table of jumps: the k-th is a jump for each bit of k."""
+    n = F.size(F.get(levels, 0)) - 1
+    bits = F.size(levels) - 1
+    start = F.struct(F.lit(0).alias("at"), F.lit(0).alias("k"))
+
+    def farther(s: Column, b: Column) -> Column:
+        to = F.get(F.get(levels, b), s["at"])
+        return F.when(to < n, F.struct(to.alias("at"), (s["k"] + F.call_function("shiftleft", F.lit(1), b)).alias("k"))).otherwise(s)
 
-    def measure(tile: Column) -> Column:
-        lead = F.length(F.regexp_extract(tile, f"^{WS}+", 0))
-        rest = F.length(F.regexp_replace(tile, f"{WS}+\\z", "")) - lead
-        gaps = F.regexp_count(tile, F.lit(f"{WS}+")) - (lead > 0).cast("int") - (F.length(tile) > lead + rest).cast("int")
-        return F.struct(F.length(tile).alias("n"), lead.alias("lead"), F.greatest(F.lit(0), rest).alias("rest"), (gaps + 1).alias("words"), tile.rlike(mark).alias("mark"))
+    last = F.aggregate(F.sequence(bits, F.lit(0)), start, farther, lambda s: s["k"])
+    bit = lambda k, b: F.call_function("shiftright", k, b).bitwiseAND(F.lit(1)) == 1
+    place = lambda k: F.aggregate(F.sequence(F.lit(0), bits), F.lit(0), lambda at, b: F.when(bit(k, b), F.get(F.get(levels, b), at)).otherwise(at))
+    return F.when(n == 0, F.expr("cast(array() as array<int>)")).otherwise(F.transform(F.sequence(F.lit(0), last), place))
 
-    return F.transform(F.regexp_extract_all(text, F.lit(pattern), 0), measure)
 
+def follow(rows: DataFrame, name: str, jumps: str) -> DataFrame:
+    """Adds the places that are reached from 0 by a column of jumps: from each place of an array to a later one, at most to its size."""
+    return rows.transform(_with(name, _levels, jumps)).transform(_with(name, _places, name))
 
-def _paragraphs(text: Column) -> Column:
-    start = F.struct(F.lit(0).alias("at"), F.expr("cast(array() as array<struct<start:int,end:int,words:int>>)").alias("out"))
 
-    def step(acc: Column, tile: Column) -> Column:
-        span = F.struct((acc["at"] + tile["lead"]).alias("start"), (acc["at"] + tile["lead"] + tile["rest"]).alias("end"), tile["words"].alias("words"))
-        return F.struct((acc["at"] + tile["n"]).alias("at"), F.when((tile["rest"] > 0) & ~tile["mark"], F.concat(acc["out"], F.array(span))).otherwise(acc["out"]).alias("out"))
+def _groups(rows: DataFrame, name: str, items: str, jump: Callable[..., Column], make: Callable[[Column, Column], Column], *sums: str) -> DataFrame:
+    """Adds make(first, last) of the successive groups of an array; jump(array, *sums, i) is where the group that begins at i ends."""
+    jumps = rows.transform(_with(name, lambda s, *w: F.transform(s, lambda _, i: jump(s, *w, i).cast("int")), items, *sums))
+    made = lambda s, at: F.transform(at, lambda i, k: make(F.get(s, i), F.get(s, F.coalesce(F.get(at, k + 1), F.size(s)) - 1)))
+    return follow(jumps, name, name).transform(_with(name, made, items, name))
 
-    return F.aggregate(_tiles(text, PARAGRAPH, NO_PARAGRAPH), start, step, lambda acc: acc["out"])
 
+def _measure(tile: Column, k: Column, none: Column) -> Column:
+    """Of a piece of the k-th paragraph its length, the white space in front, the length without white space around it, the runs of
+    white space in all, and whether it ends in one; none: whether it is no sentence."""
+    size, n, lead = F.length(trim_ws(tile)), F.length(tile), F.length(tile) - F.length(F.ltrim(tile, F.lit(WS_SET)))
+    return F.struct(k.alias("k"), n.alias("n"), lead.alias("lead"), size.alias("size"), _gaps(tile).alias("gaps"), (size + lead < n).cast("int").alias("open"), (none | (size == 0)).alias("none"))
 
-def _packed(text: Column, paragraph: Column, most: int) -> Column:
-    """Windows of one paragraph: sentences are added until the next one would exceed the limit."""
-    none = F.lit(None).cast("int")
-    start = F.struct(paragraph["start"].alias("at"), none.alias("b"), none.alias("e"), F.lit(0).alias("n"), F.expr(f"cast(array() as {_SPAN})").alias("out"))
 
-    def step(acc: Column, tile: Column) -> Column:
-        words = F.when(tile["mark"] | (tile["rest"] == 0), 0).otherwise(tile["words"])
-        flush = acc["b"].isNotNull() & (words > 0) & (acc["n"] + words > most)
-        window = F.array(F.struct(acc["b"].alias("start"), acc["e"].alias("end")))
-        return F.struct(
-            (acc["at"] + tile["n"]).alias("at"),
-            F.when(words == 0, acc["b"]).when(flush | acc["b"].isNull(), acc["at"] + tile["lead"]).otherwise(acc["b"]).alias("b"),
-            F.when(words == 0, acc["e"]).otherwise(acc["at"] + tile["lead"] + tile["rest"]).alias("e"),
-            F.when(flush, words).otherwise(acc["n"] + words).alias("n"),
-            F.when(flush, F.concat(acc["out"], window)).otherwise(acc["out"]).alias("out"),
-        )
+def with_slices(rows: DataFrame, text: str, name: str, most: int = MOST_WORDS, least: int = LEAST_WORDS) -> DataFrame:
+    """Adds array<struct<start, end>> of a text's passages; null and blank texts have none.
 
-    def finish(acc: Column) -> Column:
-        return F.when(acc["b"].isNotNull(), F.concat(acc["out"], F.array(F.struct(acc["b"].alias("start"), acc["e"].alias("end"))))).otherwise(acc["out"])
+    Runs of white space are numbered through the whole text, so that the words between any two places are a difference:
+    between paragraphs there is one run, so the k-th paragraph's first run has k more before it than its sentences say.
+    """
+    def paragraphs(tiles: Column, starts: Column) -> Column:
+        found = F.transform(tiles, lambda t, i: F.struct((F.get(starts, i) + F.length(t) - F.length(F.ltrim(t, F.lit(WS_SET)))).cast("int").alias("start"), trim_ws(t).alias("body"), t.rlike(NO_PARAGRAPH).alias("none")))
+        kept = F.filter(found, lambda p: (p["body"] != "") & ~p["none"])
+        return F.transform(kept, lambda p: F.struct(p["start"], p["body"], (_gaps(p["body"]) + 1).alias("words")))
 
-    body = _between(text, paragraph["start"], paragraph["end"])
-    return F.when(paragraph["words"] <= most, F.array(F.struct(paragraph["start"].alias("start"), paragraph["end"].alias("end")))).otherwise(F.aggregate(_tiles(body, SENTENCE, r"^[.!?]"), start, step, finish))
+    def pieces(ps: Column) -> Column:
+        cut = lambda p, k: F.transform(F.regexp_extract_all(p["body"], F.lit(SENTENCE), 0), lambda t: _measure(t, k, t.rlike("^[.!?]")))
+        return F.flatten(F.transform(ps, lambda p, k: F.when(p["words"] <= most, F.array(_measure(p["body"], k, F.lit(False)))).otherwise(cut(p, k))))
 
+    def sentences(ps: Column, ts: Column, at: Column, gaps: Column, bodies: Column) -> Column:
+        def one(t: Column, i: Column) -> Column:
+            start = F.get(ps, t["k"])["start"] + F.get(at, i) - F.get(bodies, t["k"]) + t["lead"]
+            first = F.get(gaps, i) + t["k"] + (t["lead"] > 0).cast("int")
+            inner = t["gaps"] - (t["lead"] > 0).cast("int") - t["open"]
+            return F.struct(start.cast("int").alias("start"), (start + t["size"]).cast("int").alias("end"), first.cast("int").alias("first"), (first + inner).cast("int").alias("last"), t["k"].alias("k"), t["none"].alias("none"))
 
-def _merged(text: Column, slices: Column, most: int, least: int) -> Column:
-    """A slice below `least` words takes in the next one if both together stay within the limit."""
-    none = F.lit(None).cast("int")
-    start = F.struct(none.alias("b"), none.alias("e"), F.lit(0).alias("w"), F.expr(f"cast(array() as {_SPAN})").alias("out"))
-    counted = F.transform(slices, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), _n_words(_between(text, s["start"], s["end"])).alias("words")))
+        return F.filter(F.transform(ts, one), lambda s: ~s["none"])
 
-    def step(acc: Column, s: Column) -> Column:
-        join = acc["b"].isNotNull() & (acc["w"] < least) & (acc["w"] + s["words"] <= most)
-        done = F.when(acc["b"].isNull() | join, acc["out"]).otherwise(F.concat(acc["out"], F.array(F.struct(acc["b"].alias("start"), acc["e"].alias("end")))))
-        return F.struct(F.when(join, acc["b"]).otherwise(s["start"]).alias("b"), s["end"].alias("e"), F.when(join, _n_words(_between(text, acc["b"], s["end"]))).otherwise(s["words"]).alias("w"), done.alias("out"))
+    words = lambda a, z: z["last"] - a["first"] + 1
 
-    return F.aggregate(counted, start, step, lambda acc: F.when(acc["b"].isNull(), acc["out"]).otherwise(F.concat(acc["out"], F.array(F.struct(acc["b"].alias("start"), acc["e"].alias("end"))))))
+    def window(s: Column, sums: Column, i: Column) -> Column:
+        over = lambda j: (F.get(s, j)["k"] != F.get(s, i)["k"]) | (F.get(sums, j) + words(F.get(s, j), F.get(s, j)) - F.get(sums, i) > most)
+        return _first_where(i + 1, F.least(F.size(s), i + most + 1), over)
 
+    def merged(s: Column, i: Column) -> Column:
+        own = lambda j: words(F.get(s, i), F.get(s, j))
+        return _first_where(i, F.size(s) - 1, lambda j: (own(j) >= least) | (own(j) + words(F.get(s, j + 1), F.get(s, j + 1)) > most)) + 1
 
-def passage_slices(text: Column, most: int = MOST_WORDS, least: int = LEAST_WORDS) -> Column:
-    """array<struct<start, end>> of a text's passages; null and blank texts have none."""
-    text = F.coalesce(text, F.lit(""))
-    packed = F.flatten(F.transform(_paragraphs(text), lambda p: _packed(text, p, most)))
-    return _merged(text, packed, most, least)
+    taken = {c.lower() for c in rows.columns}
+    tiles, ps, ts, at, gaps, bodies, found, sums = (f"{n}{'_' * len(taken)}" if n in taken else n for n in ("_tiles", "_ps", "_ts", "_at", "_gaps", "_bodies", "_found", "_sums"))
+    cut = rows.withColumn(tiles, F.regexp_extract_all(F.coalesce(F.col(text), F.lit("")), F.lit(PARAGRAPH), 0))
+    cut = cut.transform(_with(at, lambda t: running(F.transform(t, F.length)), tiles)).transform(_with(ps, paragraphs, tiles, at)).transform(_with(ts, pieces, ps))
+    cut = cut.transform(_with(at, lambda t: running(F.transform(t, lambda x: x["n"])), ts)).transform(_with(gaps, lambda t: running(F.transform(t, lambda x: x["gaps"])), ts)).transform(_with(bodies, lambda p: running(F.transform(p, lambda x: F.length(x["body"]))), ps))
+    cut = cut.transform(_with(found, sentences, ps, ts, at, gaps, bodies)).transform(_with(sums, lambda s: running(F.transform(s, lambda x: words(x, x))), found))
+    spans = lambda a, z: F.struct(a["start"].alias("start"), z["end"].alias("end"), a["first"].alias("first"), z["last"].alias("last"))
+    cut = _groups(cut.drop(tiles, ps, ts, at, gaps, bodies), name, found, window, spans, sums)
+    cut = cut.withColumn(found, F.col(name))
+    return _groups(cut, name, found, merged, lambda a, z: F.struct(a["start"].alias("start"), z["end"].alias("end"))).drop(found, sums)
 
 
 def passages(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", most: int = MOST_WORDS, least: int = LEAST_WORDS) -> DataFrame:
     """One row per passage: the id, ordinal from 1, start, end, text."""
-    sliced = docs.select(F.col(id_col), F.col(text_col).alias("_text"), F.posexplode(passage_slices(F.col(text_col), most, least)).alias("_k", "_s"))
+    rows = spread(docs.select(F.col(id_col), F.col(text_col).alias("_text")))
+    # the outer form: the plain one makes a filter of the slices, which would compute them all a second time below
+    sliced = with_slices(rows, "_text", "_slices", most, least).select(id_col, "_text", F.posexplode_outer("_slices").alias("_k", "_s")).where("_k IS NOT NULL")
     return sliced.select(id_col, (F.col("_k") + 1).alias("ordinal"), F.col("_s.start").alias("start"), F.col("_s.end").alias("end"), _between(F.col("_text"), F.col("_s.start"), F.col("_s.end")).alias("text"))

@@ -9,7 +9,7 @@ import tempfile
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _shipped: set[str] = set()
 
@@ -38,6 +38,13 @@ def ship(spark: SparkSession) -> None:
     _shipped.add(app)
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """The rows in at least as many tasks as run at once, for work inside rows that costs much more than moving them. A table of
+    few files with one row group each is dealt anew; one with tasks enough, as any large one has, stays where it is."""
+    tasks = rows.sparkSession.sparkContext.defaultParallelism
+    return rows if rows.rdd.getNumPartitions() >= tasks else rows.repartition(4 * tasks)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that every executor sees: spark.checkpoint.dir. Where that is unset, a local session gets one of its own, as
     in tests; a cluster has no such folder to guess, so that is an error."""
