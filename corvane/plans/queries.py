@@ -15,7 +15,7 @@ from ..operators.passages import passages
 from ..session import shared_dir
 from ..streaming import collection, ingest
 from ..streaming.ingest import ingest_files
-from . import catalogue, release
+from . import catalogue, release, snapshots
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -460,6 +460,22 @@ def collection_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return catalogue.counts(held).where("n > 0 AND kind <> 'resource'")
 
 
+@query("""SELECT 1 AS change, 'orders' AS name, count(*) AS n, CAST(sum(o_orderkey) AS BIGINT) AS keys FROM orders WHERE o_orderstatus = 'F' UNION ALL SELECT 2, 'orders', count(*), CAST(sum(o_orderkey) AS BIGINT) FROM orders WHERE o_orderstatus IN ('F', 'O')
+UNION ALL SELECT 3, 'orders', count(*), CAST(sum(o_orderkey) AS BIGINT) FROM orders
+UNION ALL SELECT 1, 'lines', count(*), CAST(sum(l_orderkey) AS BIGINT) FROM (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem WHERE l_returnflag = 'A')
+UNION ALL SELECT 2, 'lines', count(*), CAST(sum(l_orderkey) AS BIGINT) FROM (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem WHERE l_returnflag IN ('A', 'R'))
+UNION ALL SELECT 3, 'lines', count(*), CAST(sum(l_orderkey) AS BIGINT) FROM (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem)""")
+def snapshot_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK-05 to SNK-07, JN-09: orders and their lines in three changes, each with all rows of the one before; what each version holds."""
+    tables = {"orders": ("o_orderkey long, o_custkey long", ("o_orderkey",), ("o_custkey",)), "lines": ("l_orderkey long, l_linenumber long", ("l_orderkey", "l_linenumber"), ())}
+    held = snapshots.KeyedTables(spark, f"{shared_dir(spark)}/changes-{uuid.uuid4().hex}", tables)
+    orders, lines = _t(spark, sf_dir, "orders"), _t(spark, sf_dir, "lineitem")
+    for status, flag in (("o_orderstatus = 'F'", "l_returnflag = 'A'"), ("o_orderstatus IN ('F', 'O')", "l_returnflag IN ('A', 'R')"), ("true", "true")):
+        held.append_all({"orders": [orders.where(status)], "lines": [lines.where(flag)]})
+    states = [held.table(name, v).agg(F.count("*").alias("n"), F.sum(key).alias("keys")).select(F.lit(v).alias("change"), F.lit(name).alias("name"), "n", "keys") for name, key in (("orders", "o_orderkey"), ("lines", "l_orderkey")) for v in (1, 2, 3)]
+    return expectations.all_of(*states)
+
+
 @query("""SELECT o_orderkey, 'fa:derivation:' || sha256('{"customer":' || o_custkey || ',"id":"o' || o_orderkey || '","note":null,"status":"' || o_orderstatus || '"}') AS derivation_id FROM orders""")
 def canonical_json_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SCF-05."""
