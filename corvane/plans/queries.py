@@ -13,6 +13,7 @@ from ..functions.vocabulary import CONCEPTS
 from ..operators import audit, expectations, lineage, rights, segmentation, setops, translation
 from ..operators.passages import passages
 from ..session import shared_dir
+from ..sources import volumes
 from ..streaming import collection, ingest
 from ..streaming.ingest import ingest_files
 from . import catalogue, release, snapshots
@@ -476,6 +477,26 @@ def snapshot_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return expectations.all_of(*states)
 
 
+#: Ids in one volume.
+VOLUME_IDS = 2000
+
+
+@query(f"""WITH i AS (SELECT doc_id, doc_id // {VOLUME_IDS} AS volume, '<ITEM nro="' || doc_id || '"><META><ID>' || doc_id || '.</ID></META><TEXT><V>' || replace(replace(replace(replace(coalesce(text, ''), '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '"', '&quot;') || '</V></TEXT></ITEM>' AS xml FROM documents WHERE doc_id IS NOT NULL)
+SELECT CAST(volume AS VARCHAR) AS volume, CAST(row_number() OVER (PARTITION BY volume ORDER BY doc_id) AS INT) AS ordinal, CAST(doc_id AS VARCHAR) AS electronic_id, sha256(xml) AS xml_sha256 FROM i""")
+def volume_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC-05, SRC-06: every document with an id as an item of a volume, one file for a range of ids, read back by byte ranges."""
+    docs = _t(spark, sf_dir, "documents").where("doc_id IS NOT NULL").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    volume = F.floor(F.col("doc_id") / VOLUME_IDS).alias("volume")
+    item = F.concat(F.lit('<ITEM nro="'), F.col("doc_id"), F.lit('"><META><ID>'), F.col("doc_id"), F.lit(".</ID></META><TEXT><V>"), volumes.escaped(F.col("text")), F.lit("</V></TEXT></ITEM>"))
+    items = docs.select(volume, F.lit(1).alias("part"), "doc_id", item.alias("value"))
+    frame = items.select("volume").distinct().select("volume", F.explode(F.array(F.struct(F.lit(0).alias("part"), F.lit("<KOKOELMA>").alias("value")), F.struct(F.lit(2).alias("part"), F.lit("</KOKOELMA>").alias("value")))).alias("f"))
+    rows = items.unionByName(frame.select("volume", "f.part", F.lit(None).cast("long").alias("doc_id"), "f.value"))
+    path = f"{shared_dir(spark)}/volumes-{uuid.uuid4().hex}"
+    rows.repartition("volume").sortWithinPartitions("volume", "part", "doc_id").select("volume", "value").write.partitionBy("volume").text(path)
+    found = volumes.Volumes(spark, path).items()
+    return found.select(F.regexp_extract("file", "/volume=([^/]*)/", 1).alias("volume"), "ordinal", "electronic_id", F.sha2("xml", 256).alias("xml_sha256"))
+
+
 @query("""SELECT o_orderkey, 'fa:derivation:' || sha256('{"customer":' || o_custkey || ',"id":"o' || o_orderkey || '","note":null,"status":"' || o_orderstatus || '"}') AS derivation_id FROM orders""")
 def canonical_json_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SCF-05."""
