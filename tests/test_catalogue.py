@@ -13,7 +13,7 @@ from corvane.plans import catalogue as plans
 from corvane.plans import release
 from corvane.sources.files import RECORDS, read_jsonl
 from corvane.sources.sinks import pack_release, verify_archive
-from corvane.streaming import collection, ingest, source
+from corvane.streaming import collection, ingest
 from corvane.streaming.items import ITEM, commit_items, item_digest, problems
 
 SHA = "2cf24dba5fb0a30e26e83b2ac5b9e29e1b161e5c1fa7425e73043362938b9824"
@@ -115,18 +115,43 @@ def test_streamed_collection_stops_resumes_and_refuses(spark, tmp_path):
 
 def test_adapter_bodies_become_items(spark, tmp_path):
     c, log = plans.Catalogue(spark, f"file://{tmp_path}/catalogue"), ingest.Catalogue(spark, f"file://{tmp_path}/log")
-    source.register(spark)
     path = tmp_path / "items.jsonl"
-    stream = lambda: collection.drafts(spark.readStream.format("corvane_items").options(adapter="corvane.streaming.source:JsonLinesAdapter", argument=str(path), batch="2").load())
+    opened = collection.adapted(log, "corvane.streaming.source:JsonLinesAdapter", str(path), batch=2)
     path.write_text("".join(json.dumps(item(k) | {"externalKey": f"poem-{k}"}) + "\n" for k in range(3)))
-    _, new = collection.ingest_collection(log, c, stream(), "poems", "1")
+    _, new = collection.ingest_collection(log, c, opened, "poems", "1")
     assert (new["document"], new["passage_representation"]) == (3, 6)
     path.write_text(json.dumps({"externalKey": "poem-9"}) + "\n")
     with pytest.raises(Exception, match="captures-missing"):
-        collection.ingest_collection(log, c, stream(), "poems", "2")
+        collection.ingest_collection(log, c, opened, "poems", "2")
     assert c.table("document").count() == 3 and log.events().where("status = 'failed'").count() == 1
 
 
+def test_volume_adapter_stops_replays_and_versions(spark, tmp_path):
+    """100 poems stopped at 50 and resumed; unchanged bytes again add captures only; one changed poem adds what depends on its bytes."""
+    c, log = plans.Catalogue(spark, f"file://{tmp_path}/catalogue"), ingest.Catalogue(spark, f"file://{tmp_path}/log")
+    path = tmp_path / "volume.xml"
+    poem = lambda k: f'<ITEM nro="poem-{k:03}"><META><ID>{k}.</ID></META><TEXT><V>first line of {k}</V><V>se  toinen &amp; {k}</V></TEXT></ITEM>\n'
+    body = "<KOKOELMA>\n" + "".join(poem(k) for k in range(100)) + "</KOKOELMA>\n"
+    path.write_text(body)
+    go = lambda stop=None: collection.ingest_collection(log, c, collection.adapted(log, "corvane.streaming.source:VolumeAdapter", str(path), batch=25, slice_=10), "volume", "1", {"volume": 1}, stop)
+    answers = iter([False, False, True])
+    with pytest.raises(Exception, match="volume:1"):
+        go(lambda: next(answers))
+    run = log.events().first()["run"]
+    assert log.status(run) == ingest.PAUSED and c.table("document").count() == 50 == collection.events(log, run).count()
+    again, new = go()
+    assert again == run and log.status(run) == ingest.COMPLETED and new["document"] == 50
+    counted = lambda: {t: c.table(t).count() for t in ("capture", "artifact", "witness", "representation", "passage")}
+    assert counted() == {"capture": 100, "artifact": 200, "witness": 100, "representation": 100, "passage": 200}
+    other, _ = go()
+    assert other != run and counted() == {"capture": 200, "artifact": 200, "witness": 100, "representation": 100, "passage": 200}
+    path.write_text(body.replace("first line of 7<", "first line of seven<"))
+    go()
+    assert counted() == {"capture": 300, "artifact": 202, "witness": 100, "representation": 101, "passage": 200}
+    digest = c.table("capture").join(c.table("artifact").withColumnRenamed("id", "artifact_id"), "artifact_id").first()["sha256"]
+    assert (tmp_path / "log" / "captures" / "sha256" / digest[:2] / digest).read_bytes().startswith(b"<ITEM nro=")
+
+
 def test_release_round_trip(spark, tmp_path):
     c = plans.Catalogue(spark, f"file://{tmp_path}/catalogue")
     commit_items(c, frame(spark, [item(k) for k in range(5)]), "poems", "run1")

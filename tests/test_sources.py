@@ -40,17 +40,80 @@ def test_addresses_and_metadata(spark):
     assert (row["identifier"], row["license"]) == ("x", "https://l")
 
 
-def test_adapter_stream_resumes(spark, tmp_path):
-    source.register(spark)
+def lines(a, b):
+    return "".join(json.dumps({"externalKey": f"k{i}", "n": "é" * (i % 9)}) + "\n" + "\n" * (i % 5 == 0) for i in range(a, b))
+
+
+def test_adapter_stream_is_bounded_and_resumes(spark, tmp_path):
+    path = tmp_path / "items.jsonl"
+    path.write_text(lines(0, 100))
+    c, check = ingest.Catalogue(spark, f"file://{tmp_path}/catalogue"), f"file://{tmp_path}/check"
+    opened = lambda: source.open_items(spark, check, "corvane.streaming.source:JsonLinesAdapter", str(path), batch=10, slice_=3).select(F.col("external_key").alias("item_key"), F.sha2("body", 256).alias("digest"))
+    sizes, answers = [], iter([False] * 5 + [True])
+    count = lambda b: sizes.append(b.count()) or b.limit(0)
+    with pytest.raises(Exception, match="r"):
+        ingest.ingest(c, opened(), "r", check, validate=count, stop=lambda: next(answers), bounded=True)
+    assert sizes == [10] * 5 and c.items().count() == 50 and c.status("r") == ingest.PAUSED
+    assert source.planned_place(spark, check)["item"] == 60  # the batch that was stopped comes again
+    assert ingest.ingest(c, opened(), "r", check, validate=count, bounded=True) == 50
+    assert sizes == [10] * 10 and c.items().count() == 100 and c.status("r") == ingest.COMPLETED
+    with path.open("a") as f:
+        f.write(lines(100, 115) + '{"externalKey": "half')
+    assert ingest.ingest(c, opened(), "r", check, validate=count, bounded=True) == 15 and sizes[10:] == [10, 5]
+    assert ingest.ingest(c, opened(), "r", check, validate=count, bounded=True) == 0
+    assert {r["item_key"] for r in c.items().collect()} == {f"k{i}" for i in range(115)}
+
+
+class Counted(source.JsonLinesAdapter):
+    """Counts the bytes it reads."""
+
+    read_bytes = 0
+
+    def _records(self, f, at, stop=None):
+        own = self
+
+        class File:
+            seek, tell = staticmethod(f.seek), staticmethod(f.tell)
+
+            @staticmethod
+            def read(n):
+                data = f.read(n)
+                own.read_bytes += len(data)
+                return data
+
+        return super()._records(File, at, stop)
+
+
+@pytest.mark.parametrize("block", [1, 7, 1 << 16])
+def test_slices_seek(tmp_path, block):
     path = tmp_path / "items.jsonl"
-    write = lambda a, b: path.open("a").writelines(json.dumps({"externalKey": f"k{i}", "n": i}) + "\n" for i in range(a, b))
-    write(0, 50)
-    c = ingest.Catalogue(spark, f"file://{tmp_path}/catalogue")
-    stream = lambda: spark.readStream.format("corvane_items").options(adapter="corvane.streaming.source:JsonLinesAdapter", argument=str(path), batch="7").load().select(F.col("external_key").alias("item_key"), F.sha2("body", 256).alias("digest"))
-    assert ingest.ingest(c, stream(), "r", f"{tmp_path}/check") == 50
-    write(50, 100)
-    assert ingest.ingest(c, stream(), "r", f"{tmp_path}/check") == 50
-    assert c.items().count() == 100 and c.status("r") == ingest.COMPLETED
+    path.write_text(lines(0, 5000))
+    adapter = Counted(str(path))
+    adapter.block = block
+    places = [adapter.first()]
+    while (to := adapter.after(places[-1], 700)) != places[-1]:
+        places.append(to)
+    assert [p["item"] for p in places] == [*range(0, 5000, 700), 5000] and places[-1]["byte"] <= path.stat().st_size
+    adapter.read_bytes = 0
+    found = [x["external_key"] for x in adapter.read(places[3], places[4], source.Context(None))]
+    assert found == [f"k{i}" for i in range(2100, 2800)] and adapter.read_bytes == places[4]["byte"] - places[3]["byte"]
+
+
+def test_context_holds_what_was_captured(tmp_path):
+    context = source.Context(f"file://{tmp_path}/store")
+    handle = context.capture("a", "é".encode(), "text/plain")
+    assert context.read_text(handle) == "é" and context.capture("a", "é".encode(), "text/plain") == handle
+    with pytest.raises(ValueError, match="other bytes"):
+        context.capture("a", b"x", "text/plain")
+    with pytest.raises(source.NotCaptured):
+        context.read_text(handle | {"key": "b"})
+    with pytest.raises(source.NotCaptured):
+        source.Context(f"file://{tmp_path}/store").read_text(handle)
+    with pytest.raises(source.NotCaptured):
+        source.Context(None).capture("a", b"", "text/plain")
+    (tmp_path / "store" / "sha256" / handle["sha256"][:2] / handle["sha256"]).write_bytes(b"e")
+    with pytest.raises(ValueError, match="changed"):
+        context.read_text(handle)
 
 
 BODY = "a line of the tale that is long enough to be kept. " * 10
