@@ -16,7 +16,7 @@ from ..session import shared_dir
 from ..sources import volumes
 from ..streaming import collection, ingest
 from ..streaming.ingest import ingest_files
-from . import catalogue, release, snapshots
+from . import catalogue, closure, release, snapshots
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -477,6 +477,68 @@ def snapshot_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return expectations.all_of(*states)
 
 
+@query("""WITH d AS (SELECT doc_id AS k, CAST(doc_id AS VARCHAR) AS s, coalesce(lang, 'und') AS a, 'fa:artifact:sha256-' || sha256(coalesce(text, '')) AS art FROM documents WHERE doc_id IS NOT NULL),
+reps AS (SELECT 'fa:representation:d' || s AS id, k, art FROM d WHERE a IN ('en', 'de') UNION ALL SELECT 'fa:representation:t' || s, k, 'fa:artifact:t' || s FROM d WHERE a = 'de' AND k % 3 = 0),
+rights AS (SELECT 'fa:rights:r' || d.s AS id, d.art FROM d JOIN reps ON reps.id = 'fa:representation:d' || d.s WHERE d.k % 11 <> 0),
+used AS (SELECT 'fa:capture:d' || s AS id FROM d WHERE a IN ('en', 'de') UNION SELECT art FROM d WHERE a = 'de' AND k % 3 = 0),
+taken AS (SELECT k, s, art FROM d WHERE 'fa:capture:d' || s IN (SELECT id FROM used) OR art IN (SELECT id FROM used) OR art IN (SELECT art FROM rights))
+SELECT 'representation' AS kind, id FROM reps UNION ALL SELECT 'rights', id FROM rights UNION ALL SELECT 'capture', 'fa:capture:d' || s FROM taken UNION ALL SELECT 'source-item', 'fa:source-item:d' || s FROM taken
+UNION ALL SELECT 'artifact', id FROM (SELECT art AS id FROM taken UNION SELECT art FROM reps)
+UNION ALL SELECT 'derivation', 'fa:derivation:' || p || s FROM d, unnest(['d', 't', 'y']) AS u(p) WHERE a IN ('en', 'de') AND (p = 'd' OR p = 't' AND a = 'de' AND k % 3 = 0 OR p = 'y' AND k % 7 = 0)
+UNION ALL SELECT 'output', 'fa:representation:' || p || s FROM d, unnest(['d', 't', 'u']) AS u(p) WHERE a IN ('en', 'de') AND (p = 'd' OR p = 't' AND a = 'de' AND k % 3 = 0 OR p = 'u' AND k % 7 = 0)
+UNION ALL SELECT 'evidence', 'fa:capture:d' || s FROM taken WHERE art IN (SELECT art FROM rights)
+UNION ALL SELECT 'seed', art FROM (SELECT DISTINCT art FROM d WHERE a = 'fr' AND k <> 4)""")
+def release_closure(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JN-01, JN-04, JN-05, JN-07, FLT-04: documents as a catalogue in which much is not released: two languages of four, translations of
+    one, derivations of things that nobody holds, rights without a record. What the closure of a release keeps."""
+    docs = _t(spark, sf_dir, "documents").where("doc_id IS NOT NULL").select("doc_id", F.coalesce("lang", F.lit("und")).alias("archive_id"), F.concat(F.lit("fa:artifact:sha256-"), F.sha2(F.coalesce("text", F.lit("")), 256)).alias("artifact"))
+    k = F.col("doc_id")
+    named = lambda kind, name="id", p="d": F.concat(F.lit(f"fa:{kind}:{p}"), k.cast("string")).alias(name)
+    art = F.col("artifact")
+    third, fifth, seventh = docs.where(k % 3 == 0), docs.where(k % 5 == 0), docs.where(k % 7 == 0)
+    both = expectations.all_of
+    inputs = lambda rows, p, source: rows.select(named("derivation", "derivation_id", p), source.alias("input_id"), F.lit(0).alias("ordinal"))
+    outputs = lambda rows, p, q, n=0: rows.select(named("derivation", "derivation_id", p), named("representation", "output_id", q), F.lit(n).alias("ordinal"))
+    capture = named("capture")
+    rights_of = docs.select(named("rights", p="r"), named("representation", "subject"), art.alias("evidence"), F.lit("accepted").alias("review_state"))
+    held = catalogue.Frames(
+        spark,
+        resource=both(docs.select(named("representation")), docs.select(art.alias("id")), docs.where(k % 11 != 0).select(named("rights", p="r"))).select("id", F.lit("any").alias("kind")),
+        artifact=both(docs.select(art.alias("id")).distinct(), third.select(named("artifact", p="t"))),
+        source_item=docs.select(named("source-item"), "archive_id", k.cast("string").alias("native_id")),
+        capture=docs.select(capture, named("source-item", "source_item_id"), art.alias("artifact_id")),
+        document=docs.select(named("document"), named("edition", "edition_id")), witness=docs.select(named("witness"), named("document", "document_id")),
+        representation=both(docs.select(named("representation"), named("witness", "witness_id"), art.alias("artifact_id"), F.lit("source").alias("kind")), third.select(named("representation", p="t"), named("witness", "witness_id"), named("artifact", "artifact_id", "t"), F.lit("translation").alias("kind"))),
+        passage=docs.select(named("passage"), named("witness", "witness_id")), passage_representation=docs.select(named("passage", "passage_id"), named("representation", "representation_id")),
+        derivation=both(*[rows.select(named("derivation", p=p)) for rows, p in ((docs, "d"), (third, "t"), (fifth, "x"), (seventh, "y"))]),
+        derivation_input=both(inputs(docs, "d", capture), inputs(third, "t", art), inputs(fifth, "x", capture), inputs(seventh, "y", capture)),
+        derivation_output=both(outputs(docs, "d", "d"), outputs(third, "t", "t"), outputs(fifth, "x", "v"), outputs(seventh, "y", "d"), outputs(seventh, "y", "u", 1)),
+        rights_assessment=rights_of,
+    )
+    found = closure.released(held, {"en": ["source"], "de": ["source", "translation"]})
+    parts = {"representation": "representation", "rights": "rights_assessment", "capture": "capture", "source-item": "source_item", "artifact": "artifact", "derivation": "derivation"}
+    shown = [found.table(t).select(F.lit(kind).alias("kind"), "id") for kind, t in parts.items()]
+    shown.append(found.table("derivation_output").select(F.lit("output").alias("kind"), F.col("output_id").alias("id")).distinct())
+    shown.append(closure.evidence_captures(found).select(F.lit("evidence").alias("kind"), F.col("capture_id").alias("id")))
+    shown.append(closure.archive_artifacts(held, "fr", "4").select(F.lit("seed").alias("kind"), "id"))
+    return both(*shown)
+
+
+@query(_PASSAGES_CTE + rf""", sp AS (SELECT doc_id, ordinal, s, CASE WHEN ordinal % 7 = 0 THEN e + 3 ELSE e END AS e FROM passage WHERE ordinal % 5 <> 0),
+sw AS (SELECT *, coalesce(max(e) OVER (PARTITION BY doc_id ORDER BY s, e, ordinal ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS upto FROM sp),
+r AS (SELECT sw.*, d.text, length(d.text) AS n FROM sw JOIN documents d USING (doc_id)),
+ends AS (SELECT d.doc_id, coalesce(d.text, '') AS text, coalesce(max(e), 0) AS z FROM documents d LEFT JOIN sp USING (doc_id) GROUP BY d.doc_id, d.text)
+SELECT 'span-outside' AS "check", doc_id || ':' || ordinal AS key, s || '-' || e AS detail FROM r WHERE e > n
+UNION ALL SELECT 'span-overlap', doc_id || ':' || ordinal, s || '-' || upto FROM r WHERE s < upto
+UNION ALL SELECT 'span-gap', doc_id || ':' || ordinal, upto || '-' || s FROM r WHERE s > upto AND regexp_replace(substr(text, upto + 1, s - upto), '{WS}+', '', 'g') <> ''
+UNION ALL SELECT 'span-rest', CAST(doc_id AS VARCHAR), z || '-' || length(text) FROM ends WHERE length(text) > z AND regexp_replace(substr(text, z + 1, length(text) - z), '{WS}+', '', 'g') <> ''""")
+def span_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """GATE-09, SCF-08: passages of all documents with seeded faults, every fifth one missing and every seventh one too long, swept in order."""
+    docs = _t(spark, sf_dir, "documents")
+    cut = passages(docs).where("ordinal % 5 <> 0").select(F.col("doc_id").alias("owner"), F.concat_ws(":", F.col("doc_id").cast("string"), F.col("ordinal").cast("string")).alias("key"), "start", (F.col("end") + F.when(F.col("ordinal") % 7 == 0, 3).otherwise(0)).alias("end"))
+    return expectations.sweep(cut, docs.select(F.col("doc_id").alias("owner"), "text"))
+
+
 #: Ids in one volume.
 VOLUME_IDS = 2000
 

@@ -6,6 +6,7 @@ import atexit
 import os
 import shutil
 import tempfile
+import uuid
 import zipfile
 from pathlib import Path
 
@@ -54,3 +55,11 @@ def shared_dir(spark: SparkSession) -> str:
             raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         base = f"file://{tempfile.gettempdir()}/corvane-checkpoints"
     return base.rstrip("/")
+
+
+def kept(rows: DataFrame, name: str) -> DataFrame:
+    """The rows, written once to the shared folder and read from there by all that follows. The lineage ends here, so a lost executor
+    costs a reread."""
+    path = f"{shared_dir(rows.sparkSession)}/kept/{name}-{uuid.uuid4().hex}"
+    rows.write.option("compression", "zstd").parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
