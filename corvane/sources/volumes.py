@@ -8,13 +8,18 @@ in the file come from counts for each range: no item is moved to number it.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators import expectations
+from ..session import kept
 from .xml import ITEM
 
+#: Byte ranges that are broadcast at most; a row of them takes some hundred bytes.
+MOST_BROADCAST = 100_000
+
 
 class MalformedVolume(ValueError):
     """A volume breaks a rule; nothing of it is read."""
@@ -39,21 +44,29 @@ class Volumes:
     def _opening(self) -> str:
         return rf"<{self.tag}(?=[\s/>])"
 
-    def pieces(self) -> DataFrame:
-        """What stands up to each end tag, and after the last: (file, ordinal from 1, last, ended, size, lead, xml). lead is the text in
-        front of the item and xml the item; ended is false for what follows the last end tag."""
+    def _rows(self) -> DataFrame:
         if self.range_bytes:
             self.spark.conf.set("spark.sql.files.maxPartitionBytes", str(self.range_bytes))
         rows = self.spark.read.option("lineSep", self._end).option("recursiveFileLookup", "true").text(self.path)
         at = F.col("_metadata")
-        rows = rows.select(at["file_path"].alias("file"), at["file_size"].alias("size"), at["file_block_start"].alias("block"), F.monotonically_increasing_id().alias("at"), "value")
-        ranges = rows.groupBy("file", "size", "block").agg(F.min("at").alias("first"), F.count("*").alias("n"), F.sum(F.octet_length("value")).alias("bytes"))
+        return rows.select(at["file_path"].alias("file"), at["file_size"].alias("size"), at["file_block_start"].alias("block"), F.monotonically_increasing_id().alias("at"), "value")
+
+    @cached_property
+    def _ranges(self) -> DataFrame:
+        """For each byte range that pieces begin in the first row number, the pieces of the file before it and in all, and whether the last
+        of the file has its end tag. Counted once; broadcast while there are few, which they are unless a hundred thousand tasks read."""
+        ranges = self._rows().groupBy("file", "size", "block").agg(F.min("at").alias("first"), F.count("*").alias("n"), F.sum(F.octet_length("value")).alias("bytes"))
         before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
         whole = Window.partitionBy("file")
         # with an end tag after every piece, the pieces make up the file; a mark of byte order in front is not part of a piece
         rest = F.col("size") - F.sum("bytes").over(whole) - len(self._end) * F.sum("n").over(whole)
-        placed = ranges.select("file", "block", "first", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"), F.sum("n").over(whole).alias("total"), rest.isin(0, 3).alias("closed"))
-        found = rows.drop("size").join(placed, ["file", "block"])
+        placed = kept(ranges.select("file", "block", "first", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"), F.sum("n").over(whole).alias("total"), rest.isin(0, 3).alias("closed")), "ranges")
+        return F.broadcast(placed) if placed.count() <= MOST_BROADCAST else placed
+
+    def pieces(self) -> DataFrame:
+        """What stands up to each end tag, and after the last: (file, ordinal from 1, last, ended, lead, xml). lead is the text in front
+        of the item and xml the item; ended is false for what follows the last end tag."""
+        found = self._rows().drop("size").join(self._ranges, ["file", "block"])
         ordinal = F.col("before") + F.col("at") - F.col("first") + 1
         opens = F.regexp_instr("value", F.lit(self._opening()))
         return found.select(
@@ -68,19 +81,22 @@ class Volumes:
 
     def faults(self) -> DataFrame:
         """(check, key, detail) of what is wrong with the volumes; key is the file, detail the item's number."""
-        pieces = self._parsed(self.pieces())
-        place = F.col("ordinal").cast("string")
-        shown = lambda rows, check, detail: rows.select(F.lit(check).alias("check"), F.col("file").alias("key"), detail.alias("detail"))
+        pieces = self.pieces()
+        parsed = self._parsed(pieces)
         blank = lambda c: F.trim(F.regexp_replace(c, r"<!--(?s:.*?)-->|\s", "")) == ""
-        ended = pieces.where("ended")
-        checks = [
-            shown(ended.where("xml IS NULL"), "end-without-item", place),
-            shown(pieces.where("NOT ended AND xml IS NOT NULL"), "item-without-end", place),
-            shown(ended.where(F.regexp_count("xml", F.lit(self._opening())) > 1), "item-in-item", place),
-            shown(ended.where(F.col("item._bad").isNotNull()), "malformed-item", place),
-            shown(ended.where(F.coalesce(F.trim(F.col(f"item.{self.id_field}")), F.lit("")) == ""), "no-id", place),
-            shown(ended.where((F.col("ordinal") > 1) & ~blank(F.col("lead"))), "text-between-items", place),
-        ]
+        ended, some = F.col("ended"), F.col("xml").isNotNull()
+        rules = {
+            "end-without-item": ended & ~some,
+            "item-without-end": ~ended & some,
+            "item-in-item": ended & (F.regexp_count("xml", F.lit(self._opening())) > 1),
+            "malformed-item": ended & F.col("item._bad").isNotNull(),
+            "no-id": ended & (F.coalesce(F.trim(F.col(f"item.{self.id_field}")), F.lit("")) == ""),
+            "text-between-items": ended & (F.col("ordinal") > 1) & ~blank(F.col("lead")),
+        }
+        broken = F.array_compact(F.array(*[F.when(rule, F.lit(check)) for check, rule in rules.items()]))
+        items = parsed.select("file", F.col("ordinal").cast("string").alias("detail"), broken.alias("broken")).where(F.size("broken") > 0)
+        shown = lambda rows, check, detail: rows.select(F.lit(check).alias("check"), F.col("file").alias("key"), detail.alias("detail"))
+        checks = [items.select(F.explode("broken").alias("check"), F.col("file").alias("key"), "detail")]
         # the root: what stands before the first item and after the last, parsed together
         ends = pieces.where("ordinal = 1 OR last").groupBy("file").agg(
             F.max(F.when((F.col("ordinal") == 1) & F.col("ended"), F.col("lead"))).alias("head"),
@@ -89,9 +105,9 @@ class Volumes:
         )
         root = F.concat(F.coalesce("head", F.lit("")), F.coalesce("tail", F.lit("")))
         open_ = F.regexp_extract(root, r"<([A-Za-z_][^\s/>]*)", 1)
-        parsed = F.from_xml(root, "_bad string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"})
+        whole = F.from_xml(root, "_bad string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"})
         checks.append(shown(ends.where("none"), "no-items", F.lit(None).cast("string")))
-        checks.append(shown(ends.where(F.col("none").isNull() & ((open_ == "") | ~F.rtrim(root, F.lit(" \t\r\n")).endswith(F.concat(F.lit("</"), open_, F.lit(">"))) | parsed["_bad"].isNotNull())), "malformed-root", F.lit(None).cast("string")))
+        checks.append(shown(ends.where(F.col("none").isNull() & ((open_ == "") | ~F.rtrim(root, F.lit(" \t\r\n")).endswith(F.concat(F.lit("</"), open_, F.lit(">"))) | whole["_bad"].isNotNull())), "malformed-root", F.lit(None).cast("string")))
         return expectations.all_of(*checks)
 
     def items(self) -> DataFrame:
