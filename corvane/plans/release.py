@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
-from collections.abc import Mapping
+import re
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 from pathlib import Path
 from typing import Any
 
@@ -13,12 +16,15 @@ from pyspark.sql import functions as F
 
 from ..functions.scalar import canonical_json, is_iso_date
 from ..operators import expectations, rights, translation
+from ..session import kept
 from ..sources.files import RECORDS, read_jsonl
 from ..sources.sinks import ReleaseError, build_manifest, check_manifest, write_jsonl_file
 from .catalogue import Catalogue, Frames
 
 SCHEMA_VERSION = "corpus-release-v3"
 KINDS = ("captures", "editions", "source-items", "documents", "witnesses", "passages", "lineage", "representations", "derivations", "translations", "rights")
+#: Fixed value: what a passage says of a recording that nobody has transcribed.
+NO_TRANSCRIPT = "metadata-only-no-transcript"
 #: Orders of files whose records have no id of their own.
 ORDER = {"lineage": ("outputId", "outputKind", "inputIds", "method", "methodVersion")}
 
@@ -34,14 +40,18 @@ def wide_rows(catalogue: Catalogue | Frames, kinds: list[str] | None = None) ->
     return rows.join(a.select(F.col("id").alias("artifact_id"), F.col("sha256").alias("artifact_sha256"), "byte_length", "media_type", "storage_key"), "artifact_id")
 
 
-def publish_derivations(catalogue: Catalogue | Frames, capture_ids: DataFrame | None = None) -> DataFrame:
-    """Derivation records with sorted ids and an id from their content; capture_ids (old, new) replaces run-bound ids."""
+def publish_derivations(catalogue: Catalogue | Frames, capture_ids: DataFrame | None = None, outputs: DataFrame | None = None) -> DataFrame:
+    """Derivation records with sorted ids and an id from their content; capture_ids (old, new) replaces run-bound ids. Only
+    derivations with a released output are published, and these with all their outputs; outputs: the released ids, by
+    default those of all representations that the catalogue, or the part of it that is given, holds."""
+    outputs = catalogue.table("representation").select("id") if outputs is None else outputs
+    chosen = catalogue.table("derivation_output").join(outputs.select(F.col("id").alias("output_id")), "output_id", "left_semi").select("derivation_id").distinct()
     inputs = catalogue.table("derivation_input").select("derivation_id", F.col("input_id").alias("old"))
     if capture_ids is not None:
         inputs = inputs.join(capture_ids, "old", "left").select("derivation_id", F.coalesce("new", "old").alias("old"))
     ins = inputs.groupBy("derivation_id").agg(F.sort_array(F.collect_set("old")).alias("inputIds"))
     outs = catalogue.table("derivation_output").groupBy("derivation_id").agg(F.sort_array(F.collect_set("output_id")).alias("outputIds"))
-    rows = catalogue.table("derivation").withColumnRenamed("id", "derivation_id").join(ins, "derivation_id").join(outs, "derivation_id")
+    rows = catalogue.table("derivation").withColumnRenamed("id", "derivation_id").join(chosen, "derivation_id", "left_semi").join(ins, "derivation_id").join(outs, "derivation_id")
     body = canonical_json({"deterministic": F.col("deterministic"), "inputIds": F.col("inputIds"), "method": F.col("method"), "methodVersion": F.col("method_version"), "outputIds": F.col("outputIds"), "type": F.col("type")})
     rows = rows.select(F.lit(SCHEMA_VERSION).alias("schemaVersion"), F.concat(F.lit("fa:derivation:sha256-"), F.sha2(body, 256)).alias("id"), "type", "method", F.col("method_version").alias("methodVersion"), "deterministic", "inputIds", "outputIds")
     return rows.dropDuplicates(["id"]).orderBy("id")
@@ -129,7 +139,7 @@ def project_evidence(catalogue: Catalogue | Frames, spec: ReleaseSpec, kinds: li
     v = F.lit(SCHEMA_VERSION).alias("schemaVersion")
     captures = capture_rows(catalogue, spec)
     editions = catalogue.table("edition").select(F.col("id").alias("edition_id"), F.col("title").alias("edition_title"), F.col("language").alias("edition_language"))
-    rows = wide_rows(catalogue, kinds).join(evidence_rows(catalogue, captures), "representation_id").join(editions, "edition_id", "left")
+    rows = kept(wide_rows(catalogue, kinds).join(evidence_rows(catalogue, captures), "representation_id").join(editions, "edition_id", "left"), "evidence")
     language = F.coalesce("edition_language", "passage_language", "representation_language", F.lit("und"))
     published = rows.groupBy(F.col("release_id").alias("id")).agg(F.min(F.struct("landing_uri", "source_id", "archive_id", "retrieval_uri", "capture_key", "capture_sha256", "capture_bytes")).alias("_c")).select("id", "_c.*")
     outputs = F.explode(F.array(*[F.struct(F.col(f"{k}_id").alias("outputId"), F.lit(k).alias("outputKind")) for k in ("document", "witness", "passage")])).alias("_o")
@@ -141,13 +151,14 @@ def project_evidence(catalogue: Catalogue | Frames, spec: ReleaseSpec, kinds: li
         "source-items": rows.select(v, F.col("source_item_id").alias("id"), F.col("archive_id").alias("archiveId"), F.col("native_id").alias("nativeId"), F.col("landing_uri").alias("landingUri")).distinct(),
         "lineage": lineage.distinct(),
         "translations": publish_translations(catalogue),
-        "derivations": publish_derivations(catalogue, renamed),
+        "derivations": publish_derivations(catalogue, renamed, rows.select(F.col("representation_id").alias("id"))),
     }
 
 
 def project(catalogue: Catalogue | Frames, kinds: list[str] | None = None) -> dict[str, DataFrame]:
-    """Record frames by kind, all from one wide join."""
-    wide = wide_rows(catalogue, kinds)
+    """Record frames by kind, all from one wide join, which is written once. A passage without a transcript has its document's title
+    for a text, says so, and keeps where in the recording it is."""
+    wide = kept(wide_rows(catalogue, kinds), "wide")
     v = F.lit(SCHEMA_VERSION).alias("schemaVersion")
     language = F.coalesce("passage_language", "representation_language", F.lit("und"))
     text = F.coalesce("quoted_text", F.concat("title", F.lit(" (no transcript)")))
@@ -157,9 +168,9 @@ def project(catalogue: Catalogue | Frames, kinds: list[str] | None = None) -> di
     return {
         "documents": documents.select(v, "id", "editionId", "title", "language", "witnessIds"),
         "witnesses": witness.select(v, "id", "documentId", "language", "text", "rawPath", "rawSha256"),
-        "passages": wide.groupBy(F.col("passage_id").alias("id"), F.col("document_id").alias("documentId"), F.col("witness_id").alias("witnessId"), "ordinal").agg(F.min(text).alias("text")).select(v, "id", "documentId", "witnessId", "ordinal", "text"),
+        "passages": wide.groupBy(F.col("passage_id").alias("id"), F.col("document_id").alias("documentId"), F.col("witness_id").alias("witnessId"), "ordinal").agg(F.min(text).alias("text"), F.min(F.when(F.col("quoted_text").isNull(), NO_TRANSCRIPT)).alias("contentStatus"), F.min(F.when(F.col("quoted_text").isNull(), F.struct("selector.type", F.col("selector.start").alias("startSeconds"), F.col("selector.end").alias("endSeconds")))).alias("selector")).select(v, "id", "documentId", "witnessId", "ordinal", "text", "contentStatus", "selector"),
         "representations": wide.select(v, F.col("representation_id").alias("id"), F.col("witness_id").alias("witnessId"), F.col("representation_kind").alias("kind"), F.col("representation_language").alias("language"), F.col("artifact_id").alias("artifactId"), F.concat(F.lit("artifacts/"), "storage_key").alias("artifactPath"), F.col("artifact_sha256").alias("artifactSha256"), F.col("byte_length").alias("byteLength"), F.col("media_type").alias("mediaType")).distinct(),
-        "derivations": publish_derivations(catalogue),
+        "derivations": publish_derivations(catalogue, outputs=wide.select(F.col("representation_id").alias("id"))),
         "rights": assessments.select(v, "id", F.col("subject").alias("subjectId"), F.col("evidence").alias("evidenceArtifactId"), F.col("review_state").alias("reviewState"), *[F.col(c).alias(field) for _, _, field, c in rights.USES], F.col("rights_source").alias("source"), F.col("attribution_text").alias("attribution"), "jurisdiction", F.col("reviewed_on").alias("reviewedOn"), F.col("statement_uri").alias("statementUri"), F.col("controlled_status").alias("controlledStatus")),
     }
 
@@ -169,31 +180,65 @@ def prospective_gaps(catalogue: Catalogue | Frames, members: DataFrame) -> DataF
     return rights.catalogue_gaps(members, catalogue.table("resource"), catalogue.table("rights_assessment"))
 
 
-def gate_report(records: dict[str, DataFrame], gaps: DataFrame) -> dict[str, Any]:
-    """Counts of records and of rights gaps for each use; small numbers only."""
-    return {"counts": {k: df.count() for k, df in sorted(records.items())}, "gaps": {r["use_case"]: r["n"] for r in rights.gap_counts(gaps).collect()}}
+def file_gates(records: Mapping[str, DataFrame]) -> dict[str, Any]:
+    """What the gates say of release records alone: gaps in rights by use, and translations by what they may be used for. Small
+    numbers only; a validator derives them again from the files."""
+    spark = records["representations"].sparkSession
+    captures = records["captures"] if "captures" in records else spark.createDataFrame([], "rawSha256 string")
+    gaps = rights.gap_counts(rights.release_gaps(captures, records["representations"], records["rights"]))
+    out: dict[str, Any] = {"rights": {r["use_case"]: r["n"] for r in gaps.collect()}}
+    if "translations" in records:
+        t = records["translations"]
+        machine = t["producerClass"].startswith("machine") & t["reviewStatus"].eqNullSafe(F.lit("unreviewed"))
+        row = t.agg(F.count("*").alias("total"), F.count_if(F.coalesce(machine, F.lit(False))).alias("unreviewedMachine"), F.count_if(~translation.reviewed(t["reviewStatus"])).alias("languageSensitiveGaps")).first()
+        out["translations"] = row.asDict()
+    return out
+
+
+def gate_report(records: dict[str, DataFrame], gaps: DataFrame, counts: Mapping[str, int] | None = None) -> dict[str, Any]:
+    """Counts of records, rights gaps of the catalogue's members, and the gates of the records; small numbers only. counts: the records' numbers where they are known."""
+    return {"counts": dict(counts) if counts is not None else {k: df.count() for k, df in sorted(records.items())}, "gaps": {r["use_case"]: r["n"] for r in rights.gap_counts(gaps).collect()}, "files": file_gates(records)}
 
 
-def write_release(records: dict[str, DataFrame], root: str | Path, version: str, gaps: DataFrame) -> dict[str, Any]:
-    """Ordered JSONL files, the gate report, and the manifest last. The folder must not exist; gaps in evidence use stop it."""
+def write_release(records: dict[str, DataFrame], root: str | Path, version: str, gaps: DataFrame, apart: Sequence[str | Path] = ()) -> dict[str, Any]:
+    """Ordered JSONL files, the gate report, and the manifest last. The folder must not exist, nor overlap this package's own folder
+    or one of `apart` (the catalogue's, a repository's); gaps in evidence use stop it."""
     root = Path(root)
+    require_apart(root, Path(__file__).resolve().parents[2], *apart)
     if root.exists():
         raise ReleaseError(f"{root} exists")
     rights.require_publishable(gaps)
-    for kind, df in records.items():
-        write_jsonl_file(df, root / f"{kind}.jsonl", *ORDER.get(kind, ("id",)))
-    report = gate_report(records, gaps)
+    counts = {kind: write_jsonl_file(df, root / f"{kind}.jsonl", *ORDER.get(kind, ("id",))) for kind, df in records.items()}
+    report = gate_report(records, gaps, counts)
     (root / "gates.json").write_text(json.dumps(report, indent=2, sort_keys=True) + "\n", encoding="utf-8")
-    return build_manifest(root, version, counts=report["counts"])
+    return build_manifest(root, version, counts=counts)
+
+
+def slice_faults(passages: DataFrame, expected: Mapping[str, int], recordings: Sequence[str] = ()) -> DataFrame:
+    """(check, key, detail): collections, told by the beginning of passage ids, that have another number of passages than expected, and
+    passages of recordings that claim a text, or don't say from where to where they are heard (from 0 on)."""
+    spark = passages.sparkSession
+    told = spark.createDataFrame(list(expected.items()) or [("", 0)], "kind string, n long").where("kind <> ''")
+    kind = F.coalesce(*[F.when(F.startswith("id", F.lit(p)), F.lit(p)) for p in expected], F.lit(None).cast("string"))
+    counted = passages.select(kind.alias("kind")).where("kind IS NOT NULL").groupBy("kind").agg(F.count("*").alias("n"))
+    checks = [expectations.declared_counts(told, counted, "slice-count")]
+    if recordings:
+        heard = passages.where(F.col("id").rlike("^(?:" + "|".join(map(re.escape, recordings)) + ")"))
+        span = F.col("selector")
+        good = F.col("contentStatus").eqNullSafe(F.lit(NO_TRANSCRIPT)) & span["type"].eqNullSafe(F.lit("AudioTimeSelector")) & F.coalesce((span["startSeconds"] == 0) & (span["endSeconds"] > 0), F.lit(False))
+        checks.append(expectations.holds(heard, "recording-text", good, "id"))
+    return expectations.all_of(*checks)
 
 
-def validate_release(spark: SparkSession, root: str | Path) -> DataFrame:
-    """Everything derived again from the files alone: violations as (check, key, detail)."""
+def validate_release(spark: SparkSession, root: str | Path, expected: Mapping[str, int] | None = None, recordings: Sequence[str] = ()) -> DataFrame:
+    """Everything derived again from the files alone: violations as (check, key, detail). expected, recordings: see slice_faults."""
     root = Path(root)
     manifest = check_manifest((root / "manifest.json").read_bytes())
     checks: list[DataFrame] = []
     listed = spark.createDataFrame([(a["path"], a["byteLength"], a["sha256"]) for a in manifest["artifacts"]], "path string, n long, sha256 string")
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(f"file://{root.resolve()}").select(F.expr(f"substring(regexp_replace(path, '^file:/*', '/'), {len(str(root.resolve())) + 2})").alias("p"), F.length("content").cast("long").alias("m"), F.sha2("content", 256).alias("s")).where("p <> 'manifest.json'")
+    empty = [(p.relative_to(root).as_posix(), 0, hashlib.sha256().hexdigest()) for p in root.rglob("*") if p.is_file() and not p.stat().st_size]  # which Spark's scan leaves out
+    files = files.where("m > 0").unionAll(spark.createDataFrame(empty, files.schema))
     differ = listed.join(files, listed.path == files.p, "full").where("path IS NULL OR p IS NULL OR n <> m OR sha256 <> s")
     checks.append(differ.select(F.lit("file").alias("check"), F.coalesce("path", "p").alias("key"), F.lit("missing, unlisted or changed").alias("detail")))
     t = {k: read_jsonl(spark, f"file://{root.resolve()}/{k}.jsonl", RECORDS[k]) for k in KINDS if (root / f"{k}.jsonl").exists()}
@@ -217,6 +262,29 @@ def validate_release(spark: SparkSession, root: str | Path) -> DataFrame:
     checks.append(expectations.references(t["rights"], "rights-subject", ["subjectId"], known, ["id"], "id"))
     dated = t["rights"].where("reviewedOn IS NOT NULL")
     checks.append(expectations.holds(dated, "rights-date", is_iso_date(F.col("reviewedOn")), "id"))
+    passages = t["passages"]
+    checks.append(slice_faults(passages, expected or {}, recordings))
+    # where passages say where they stand, they must cover their witness in order, with the text that stands there
+    spans = passages.where("characterStart IS NOT NULL").select(F.col("witnessId").alias("owner"), F.col("id").alias("key"), F.col("characterStart").alias("start"), F.col("characterEnd").alias("end"), F.col("text").alias("said"))
+    texts = t["witnesses"].select(F.col("id").alias("owner"), "text").join(spans.select("owner").distinct(), "owner", "left_semi")
+    checks.append(expectations.sweep(spans, texts))
+    quoted = spans.join(texts, "owner").where("NOT (said <=> substring(text, start + 1, end - start))")
+    checks.append(quoted.select(F.lit("span-text").alias("check"), "key", F.concat_ws("-", "start", "end").alias("detail")))
+    held = t["representations"].where("artifactId LIKE 'fa:artifact:sha256-%' AND artifactId <> concat('fa:artifact:sha256-', artifactSha256)")
+    checks.append(held.select(F.lit("representation-bytes").alias("check"), F.col("id").alias("key"), F.col("artifactSha256").alias("detail")))
+    sources = [t[k].select("id") for k in ("captures", "source-items", "representations") if k in t] + [t["representations"].select("artifactId"), t["rights"].select("evidenceArtifactId")]
+    if "captures" in t:
+        sources.append(t["captures"].select(F.concat(F.lit("fa:artifact:sha256-"), "rawSha256").alias("id")))
+        checks.append(expectations.references(t["derivations"].select("id", F.explode("inputIds").alias("i")), "derivation-input", ["i"], reduce(DataFrame.unionAll, sources), [sources[0].columns[0]], "id"))
+    checks.append(expectations.holds(t["derivations"], "derivation-ends", (F.size("inputIds") > 0) & (F.size("outputIds") > 0), "id"))
+    report = json.loads((root / "gates.json").read_text(encoding="utf-8")) if (root / "gates.json").exists() else {}
+    found = {f"{part}.{k}": n for part, own in file_gates(t).items() for k, n in own.items()}
+    said = {f"{part}.{k}": n for part, own in report.get("files", {}).items() for k, n in own.items()}
+    differ = [("gate-report", k, f"{said.get(k)}/{found.get(k)}") for k in sorted(found.keys() | said.keys()) if said.get(k) != found.get(k)]
+    differ += [("gate-report", f"counts.{k}", f"{report.get('counts', {}).get(k)}/{n}") for k, n in manifest.get("counts", {}).items() if report.get("counts", {}).get(k) != n]
+    checks.append(spark.createDataFrame(differ, "check string, key string, detail string"))
+    blocked = found.get(f"rights.{rights.BLOCKING}", 0)
+    checks.append(spark.createDataFrame([("publication", rights.BLOCKING, str(blocked))] * bool(blocked), "check string, key string, detail string"))
     if "captures" in t:
         checks.append(expectations.references(t["editions"], "edition-capture", ["captureId"], t["captures"], ["id"], "id"))
         checks.append(expectations.references(t["documents"], "document-edition", ["editionId"], t["editions"], ["id"], "id"))
@@ -231,4 +299,4 @@ def validate_release(spark: SparkSession, root: str | Path) -> DataFrame:
     return expectations.all_of(*checks)
 
 
-__all__ = ["ReleaseSpec", "artifact_conflicts", "capture_rows", "evidence_rows", "gate_report", "project", "project_evidence", "prospective_gaps", "publish_derivations", "publish_translations", "release_capture_id", "require_apart", "rewrite_raw_paths", "translation", "validate_release", "wide_rows", "write_release"]
+__all__ = ["ReleaseSpec", "artifact_conflicts", "capture_rows", "evidence_rows", "file_gates", "gate_report", "project", "project_evidence", "prospective_gaps", "publish_derivations", "publish_translations", "release_capture_id", "require_apart", "rewrite_raw_paths", "slice_faults", "translation", "validate_release", "wide_rows", "write_release"]

@@ -15,7 +15,7 @@ RECORDS: dict[str, str] = {
     "editions": "schemaVersion string, id string, captureId string, title string, language string, author string, editor string",
     "documents": "schemaVersion string, id string, editionId string, title string, language string, captureId string, sourceOrdinal int, witnessIds array<string>",
     "witnesses": "schemaVersion string, id string, documentId string, language string, text string, rawPath string, rawSha256 string",
-    "passages": "schemaVersion string, id string, documentId string, witnessId string, ordinal int, text string, characterStart int, characterEnd int",
+    "passages": "schemaVersion string, id string, documentId string, witnessId string, ordinal int, text string, characterStart int, characterEnd int, contentStatus string, selector struct<type: string, startSeconds: double, endSeconds: double>",
     "lineage": "schemaVersion string, outputId string, outputKind string, inputIds array<string>, method string, methodVersion string, rawSha256 string",
     "splits": "schemaVersion string, splitId string, documentId string, groupId string, split string",
     "aliases": "schemaVersion string, kind string, alias string, targetId string, reason string",
