@@ -103,11 +103,19 @@ def with_slices(rows: DataFrame, text: str, name: str, most: int = MOST_WORDS, l
     def paragraphs(tiles: Column, starts: Column) -> Column:
         found = F.transform(tiles, lambda t, i: F.struct((F.get(starts, i) + F.length(t) - F.length(F.ltrim(t, F.lit(WS_SET)))).cast("int").alias("start"), trim_ws(t).alias("body"), t.rlike(NO_PARAGRAPH).alias("none")))
         kept = F.filter(found, lambda p: (p["body"] != "") & ~p["none"])
-        return F.transform(kept, lambda p: F.struct(p["start"], p["body"], (_gaps(p["body"]) + 1).alias("words")))
+        return F.transform(kept, lambda p: F.struct(p["start"], p["body"]))
 
     def pieces(ps: Column) -> Column:
-        cut = lambda p, k: F.transform(F.regexp_extract_all(p["body"], F.lit(SENTENCE), 0), lambda t: _measure(t, k, t.rlike("^[.!?]")))
-        return F.flatten(F.transform(ps, lambda p, k: F.when(p["words"] <= most, F.array(_measure(p["body"], k, F.lit(False)))).otherwise(cut(p, k))))
+        """Sentences; a paragraph within the limit is one piece, whatever it holds."""
+
+        def cut(p: Column, k: Column) -> Column:
+            tiles = F.transform(F.regexp_extract_all(p["body"], F.lit(SENTENCE), 0), lambda t: _measure(t, k, t.rlike("^[.!?]")))
+            size, zero = F.length(p["body"]), F.lit(0)
+            whole = lambda gaps: F.array(F.struct(k.alias("k"), size.alias("n"), zero.alias("lead"), size.alias("size"), gaps.alias("gaps"), zero.alias("open"), F.lit(False).alias("none")))
+            total = lambda ts: F.aggregate(ts, zero, lambda a, t: a + t["gaps"])
+            return bind(tiles, lambda ts: F.when(total(ts) < most, whole(total(ts))).otherwise(ts))
+
+        return F.flatten(F.transform(ps, cut))
 
     def sentences(ps: Column, ts: Column, at: Column, gaps: Column, bodies: Column) -> Column:
         def one(t: Column, i: Column) -> Column:
