@@ -13,10 +13,10 @@ from ..functions.vocabulary import CONCEPTS
 from ..operators import audit, expectations, lineage, rights, segmentation, setops, translation
 from ..operators.passages import passages
 from ..session import shared_dir
-from ..sources import volumes
+from ..sources import ordered, volumes
 from ..streaming import collection, ingest
 from ..streaming.ingest import ingest_files
-from . import catalogue, closure, release, snapshots
+from . import catalogue, closure, rebuild, release, snapshots
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -461,22 +461,45 @@ def collection_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return catalogue.counts(held).where("n > 0 AND kind <> 'resource'")
 
 
-@query("""SELECT 1 AS change, 'orders' AS name, count(*) AS n, CAST(sum(o_orderkey) AS BIGINT) AS keys FROM orders WHERE o_orderstatus = 'F' UNION ALL SELECT 2, 'orders', count(*), CAST(sum(o_orderkey) AS BIGINT) FROM orders WHERE o_orderstatus IN ('F', 'O')
-UNION ALL SELECT 3, 'orders', count(*), CAST(sum(o_orderkey) AS BIGINT) FROM orders
-UNION ALL SELECT 1, 'lines', count(*), CAST(sum(l_orderkey) AS BIGINT) FROM (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem WHERE l_returnflag = 'A')
-UNION ALL SELECT 2, 'lines', count(*), CAST(sum(l_orderkey) AS BIGINT) FROM (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem WHERE l_returnflag IN ('A', 'R'))
-UNION ALL SELECT 3, 'lines', count(*), CAST(sum(l_orderkey) AS BIGINT) FROM (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem)""")
+@query("""WITH t AS (SELECT 'documents' AS name, doc_id AS k, CASE lang WHEN 'en' THEN 1 WHEN 'de' THEN 2 ELSE 3 END AS c FROM documents WHERE doc_id IS NOT NULL
+UNION ALL SELECT 'turns', conv_id, CASE role WHEN 'user' THEN 1 WHEN 'assistant' THEN 2 ELSE 3 END FROM (SELECT DISTINCT conv_id, turn, role FROM conversations WHERE conv_id IS NOT NULL AND turn IS NOT NULL))
+SELECT v AS change, name, count(*) AS n, CAST(sum(k) AS BIGINT) AS keys FROM t, unnest([1, 2, 3]) AS u(v) WHERE c <= v GROUP BY v, name""")
 def snapshot_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """SNK-05 to SNK-07, JN-09: orders and their lines in three changes, each with all rows of the one before; what each version holds."""
-    tables = {"orders": ("o_orderkey long, o_custkey long", ("o_orderkey",), ("o_custkey",)), "lines": ("l_orderkey long, l_linenumber long", ("l_orderkey", "l_linenumber"), ())}
+    """SNK-05 to SNK-07, JN-09: documents and turns in three changes, each with all rows of the one before; what each version holds."""
+    tables = {"documents": ("doc_id long, lang string, text_sha256 string", ("doc_id",), ("lang", "text_sha256")), "turns": ("conv_id long, turn long, role string", ("conv_id", "turn", "role"), ())}
     held = snapshots.KeyedTables(spark, f"{shared_dir(spark)}/changes-{uuid.uuid4().hex}", tables)
-    orders, lines = _t(spark, sf_dir, "orders"), _t(spark, sf_dir, "lineitem")
-    for status, flag in (("o_orderstatus = 'F'", "l_returnflag = 'A'"), ("o_orderstatus IN ('F', 'O')", "l_returnflag IN ('A', 'R')"), ("true", "true")):
-        held.append_all({"orders": [orders.where(status)], "lines": [lines.where(flag)]})
-    states = [held.table(name, v).agg(F.count("*").alias("n"), F.sum(key).alias("keys")).select(F.lit(v).alias("change"), F.lit(name).alias("name"), "n", "keys") for name, key in (("orders", "o_orderkey"), ("lines", "l_orderkey")) for v in (1, 2, 3)]
+    docs, turns = _t(spark, sf_dir, "documents").where("doc_id IS NOT NULL").withColumn("text_sha256", F.sha2("text", 256)), _t(spark, sf_dir, "conversations").where("conv_id IS NOT NULL AND turn IS NOT NULL AND role IS NOT NULL")
+    for lang, role in (("lang = 'en'", "role = 'user'"), ("lang IN ('en', 'de')", "role IN ('user', 'assistant')"), ("true", "true")):
+        held.append_all({"documents": [docs.where(lang)], "turns": [turns.where(role)]})
+    states = [held.table(name, v).agg(F.count("*").alias("n"), F.sum(key).alias("keys")).select(F.lit(v).alias("change"), F.lit(name).alias("name"), "n", "keys") for name, key in (("documents", "doc_id"), ("turns", "conv_id")) for v in (1, 2, 3)]
     return expectations.all_of(*states)
 
 
+@query("""SELECT 'documents' AS kind, doc_id, CASE WHEN doc_id % 17 = 0 THEN 'removed' ELSE 'changed' END AS change FROM documents WHERE doc_id % 17 = 0 OR doc_id % 13 = 0
+UNION ALL SELECT 'documents', doc_id + 1000000000000, 'added' FROM documents WHERE doc_id % 19 = 0
+UNION ALL SELECT 'turns', conv_id, 'changed' FROM (SELECT conv_id, count(*) FILTER (turn % 2 = 0) AS n FROM conversations WHERE conv_id % 23 = 0 GROUP BY conv_id) WHERE n > 0""")
+def rebuild_differences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """GATE-10: two builds of documents and conversations, of which the second lacks some records, has others, and has changed ones; what differs, by their trees of digests."""
+    docs, turns = _t(spark, sf_dir, "documents").where("doc_id IS NOT NULL"), _t(spark, sf_dir, "conversations").where("conv_id IS NOT NULL")
+    again = docs.where("doc_id % 17 <> 0").withColumn("text", F.when(F.col("doc_id") % 13 == 0, F.concat(F.coalesce("text", F.lit("")), F.lit("."))).otherwise(F.col("text")))
+    again = again.unionAll(docs.where("doc_id % 19 = 0").withColumn("doc_id", F.col("doc_id") + 1000000000000))
+    said = turns.withColumn("text", F.when((F.col("conv_id") % 23 == 0) & (F.col("turn") % 2 == 0), F.concat(F.coalesce("text", F.lit("")), F.lit("."))).otherwise(F.col("text")))
+    keys = {"documents": ("doc_id",), "turns": ("conv_id",)}
+    bits = rebuild.block_bits({"documents": docs, "turns": turns})
+    one, two = rebuild.Tree({"documents": docs, "turns": turns}, bits, keys), rebuild.Tree({"documents": again, "turns": said}, bits, keys)
+    key = lambda c: F.get_json_object("key", f"$.{c}").cast("long")
+    return rebuild.differences(one, two).select("kind", F.coalesce(key("doc_id"), key("conv_id")).alias("doc_id"), "change")
+
+
+@query("""WITH l AS (SELECT source, doc_id, '{"doc_id":' || doc_id || CASE WHEN lang IS NULL THEN '' ELSE ',"lang":"' || lang || '"' END || CASE WHEN source IS NULL THEN '' ELSE ',"source":"' || source || '"' END || '}' AS line FROM documents WHERE doc_id IS NOT NULL)
+SELECT doc_id, CAST(coalesce(sum(strlen(line) + 1) OVER (ORDER BY source NULLS FIRST, doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS at, sha256(line) AS line_sha256 FROM l""")
+def ordered_places(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK-01, SRT-01, SRT-03: documents as ordered lines, and the byte of the one file at which each begins."""
+    docs = _t(spark, sf_dir, "documents").where("doc_id IS NOT NULL").select("doc_id", "lang", "source")
+    placed, _, _ = ordered.placed_lines(ordered.ordered_lines(docs, "source", "doc_id"))
+    return placed.select(F.get_json_object("line", "$.doc_id").cast("long").alias("doc_id"), "at", F.sha2("line", 256).alias("line_sha256"))
+
+
 @query("""WITH d AS (SELECT doc_id AS k, CAST(doc_id AS VARCHAR) AS s, coalesce(lang, 'und') AS a, 'fa:artifact:sha256-' || sha256(coalesce(text, '')) AS art FROM documents WHERE doc_id IS NOT NULL),
 reps AS (SELECT 'fa:representation:d' || s AS id, k, art FROM d WHERE a IN ('en', 'de') UNION ALL SELECT 'fa:representation:t' || s, k, 'fa:artifact:t' || s FROM d WHERE a = 'de' AND k % 3 = 0),
 rights AS (SELECT 'fa:rights:r' || d.s AS id, d.art FROM d JOIN reps ON reps.id = 'fa:representation:d' || d.s WHERE d.k % 11 <> 0),

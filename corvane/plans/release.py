@@ -18,11 +18,14 @@ from ..functions.scalar import canonical_json, is_iso_date
 from ..operators import expectations, rights, translation
 from ..session import kept
 from ..sources.files import RECORDS, read_jsonl
-from ..sources.sinks import ReleaseError, build_manifest, check_manifest, write_jsonl_file
+from ..sources.ordered import write_file
+from ..sources.sinks import ReleaseError, build_manifest, check_manifest
 from .catalogue import Catalogue, Frames
 
 SCHEMA_VERSION = "corpus-release-v3"
 KINDS = ("captures", "editions", "source-items", "documents", "witnesses", "passages", "lineage", "representations", "derivations", "translations", "rights")
+#: Files whose records stand in the order of the Unicode collation; the others are in the order of their bytes.
+COLLATED = ("derivations", "translations")
 #: Fixed value: what a passage says of a recording that nobody has transcribed.
 NO_TRANSCRIPT = "metadata-only-no-transcript"
 #: Orders of files whose records have no id of their own.
@@ -201,14 +204,14 @@ def gate_report(records: dict[str, DataFrame], gaps: DataFrame, counts: Mapping[
 
 
 def write_release(records: dict[str, DataFrame], root: str | Path, version: str, gaps: DataFrame, apart: Sequence[str | Path] = ()) -> dict[str, Any]:
-    """Ordered JSONL files, the gate report, and the manifest last. The folder must not exist, nor overlap this package's own folder
+    """Ordered JSONL files (the folder must be one that executors share), the gate report, and the manifest last. The folder must not exist, nor overlap this package's own folder
     or one of `apart` (the catalogue's, a repository's); gaps in evidence use stop it."""
     root = Path(root)
     require_apart(root, Path(__file__).resolve().parents[2], *apart)
     if root.exists():
         raise ReleaseError(f"{root} exists")
     rights.require_publishable(gaps)
-    counts = {kind: write_jsonl_file(df, root / f"{kind}.jsonl", *ORDER.get(kind, ("id",))) for kind, df in records.items()}
+    counts = {kind: write_file(df, root / f"{kind}.jsonl", *ORDER.get(kind, ("id",)), collated=kind in COLLATED) for kind, df in records.items()}
     report = gate_report(records, gaps, counts)
     (root / "gates.json").write_text(json.dumps(report, indent=2, sort_keys=True) + "\n", encoding="utf-8")
     return build_manifest(root, version, counts=counts)

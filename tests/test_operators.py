@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from corvane.operators import expectations, lineage, rights, setops, translation
-from corvane.sources import files, paths, sinks, xml
+from corvane.sources import files, ordered, paths, sinks, xml
 from corvane.streaming import ingest
 
 
@@ -121,7 +121,7 @@ def test_artifacts(spark, tmp_path):
 
 def test_archive_round_trip(spark, tmp_path):
     root = tmp_path / "release"
-    sinks.write_jsonl_file(spark.range(5).withColumn("text", F.lit("é")), root / "data" / "rows.jsonl", "id")
+    ordered.write_file(spark.range(5).withColumn("text", F.lit("é")), root / "data" / "rows.jsonl", "id")
     (root / "notes.txt").write_text(sinks.rights_note())
     sinks.build_manifest(root, "0.1.0", counts={"rows": 5})
     one, two = (sinks.pack_release(root, tmp_path / k) for k in ("a", "b"))
