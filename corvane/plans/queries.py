@@ -12,7 +12,7 @@ from ..functions import scalar, text
 from ..functions.vocabulary import CONCEPTS
 from ..operators import audit, expectations, lineage, rights, segmentation, setops, translation
 from ..operators.passages import passages
-from ..session import shared_dir
+from ..session import kept, shared_dir
 from ..sources import ordered, volumes
 from ..streaming import collection, ingest
 from ..streaming.ingest import ingest_files
@@ -515,6 +515,7 @@ def release_closure(spark: SparkSession, sf_dir: str) -> DataFrame:
     """JN-01, JN-04, JN-05, JN-07, FLT-04: documents as a catalogue in which much is not released: two languages of four, translations of
     one, derivations of things that nobody holds, rights without a record. What the closure of a release keeps."""
     docs = _t(spark, sf_dir, "documents").where("doc_id IS NOT NULL").select("doc_id", F.coalesce("lang", F.lit("und")).alias("archive_id"), F.concat(F.lit("fa:artifact:sha256-"), F.sha2(F.coalesce("text", F.lit("")), 256)).alias("artifact"))
+    docs = kept(docs, "documents")  # a score of frames are made from it, none of which needs the texts
     k = F.col("doc_id")
     named = lambda kind, name="id", p="d": F.concat(F.lit(f"fa:{kind}:{p}"), k.cast("string")).alias(name)
     art = F.col("artifact")
