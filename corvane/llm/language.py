@@ -147,7 +147,7 @@ def identify_languages(docs: DataFrame, model: LanguageModel, *, id_col: str = "
                 order = np.argsort(-shares, axis=1, kind="stable")
                 pred, score, chosen = [], [], []
                 for r, has in enumerate(letters):
-                    top = [c for c in order[r] if shares[r, c] >= 0.01] if has else []
+                    top = [c for c in order[r] if shares[r, c] > 0] if has else []
                     if has and m.languages and not top:
                         top = [0]
                     pred.append(m.languages[top[0]] if top else "und")

@@ -395,6 +395,17 @@ def test_language_sets_of_any_size():
         assert (share[:k] > 0.9 / k).all() and (share[k:] == 0).all()
 
 
+def test_a_small_share_stays_in_the_set(spark):
+    """Languages that the penalised likelihood chooses are returned however small their share; one that it doesn't choose is not."""
+    rng = random.Random(9)
+    said = {lang: ["".join(rng.choice(letters) for _ in range(rng.randrange(3, 9))) for _ in range(400)] for lang, letters in (("aa", "abcdefg"), ("bb", "mnopqrs"), ("cc", "tuvwxyz"))}
+    text = lambda **n: " ".join(w for lang, k in n.items() for w in rng.choices(said[lang], k=k))
+    model = language.learn_languages(spark.createDataFrame([(lang, text(**{lang: 3000})) for lang in said], "lang string, text string"))
+    docs = spark.createDataFrame([(1, text(aa=19_850, bb=150)), (2, text(aa=20_000)), (3, text(aa=500, bb=300, cc=200))], "doc_id long, text string")
+    got = {r["doc_id"]: r["lang_set"] for r in language.identify_languages(docs, model).collect()}
+    assert got == {1: "aa,bb", 2: "aa", 3: "aa,bb,cc"}
+
+
 def test_word_hashes():
     import pyarrow as pa
 
