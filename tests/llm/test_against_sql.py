@@ -20,7 +20,7 @@ def plain(v):
 @pytest.mark.parametrize("name", sorted(registry.oracle_sql()))
 def test_against_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "embeddings", "labels"):
+    for t in ("documents", "embeddings", "labels", "benchmark", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{DATA}/{t}.parquet')")
     got = registry.queries()[name](spark, DATA)
     cols = sorted(got.columns)
