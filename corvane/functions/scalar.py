@@ -120,6 +120,16 @@ def is_language_tag(x: Column) -> Column:
     return F.coalesce(x.rlike(LANGUAGE_SHAPE), F.lit(True))
 
 
+def is_canonical_tag(x: Column) -> Column:
+    """A language tag of the right shape whose parts are written as they should be: language and variants small, a script (four letters)
+    with one capital, a region (two letters) in capitals, all small from an extension on; no variant twice. Null passes."""
+    parts = F.split(x, "-")
+    extension = F.array_position(F.transform(parts, lambda p, i: (F.length(p) == 1) & (i > 0)), F.lit(True))
+    plain = lambda i: (i > 0) & ((extension == 0) | (i + 1 < extension))
+    written = F.transform(parts, lambda p, i: F.when(plain(i) & p.rlike("^[A-Za-z]{4}$"), F.initcap(F.lower(p))).when(plain(i) & p.rlike("^[A-Za-z]{2}$"), F.upper(p)).otherwise(F.lower(p)))
+    return F.coalesce(is_language_tag(x) & (F.array_join(written, "-") == x) & (F.size(F.array_distinct(parts)) == F.size(parts)), F.lit(True))
+
+
 def is_safe_path(x: Column) -> Column:
     """Relative, with plain segments only."""
     return F.coalesce((x != "") & ~x.startswith("/") & ~x.contains("\\") & ~F.exists(F.split(x, "/"), lambda s: s.isin("", ".", "..")), F.lit(False))

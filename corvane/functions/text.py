@@ -68,8 +68,24 @@ def kebab(x: Column) -> Column:
     return F.lower(F.regexp_replace(x, "([A-Z])", "-$1"))
 
 
+#: A numeric character reference, decimal or hexadecimal.
+NUMERIC = r"&#(?:[0-9]{1,7}|[xX][0-9A-Fa-f]{1,6});"
+
+
+def _character(entity: Column) -> Column:
+    """What a numeric reference stands for; itself where that is no character."""
+    hexadecimal = F.lower(F.substring(entity, 3, 1)) == "x"
+    digits = F.when(hexadecimal, F.regexp_extract(entity, "[xX]([0-9A-Fa-f]+);", 1)).otherwise(F.regexp_extract(entity, "#([0-9]+);", 1))
+    code = F.when(hexadecimal, F.conv(digits, 16, 10)).otherwise(digits).cast("long")
+    valid = code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF)
+    return F.when(valid, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")).otherwise(entity)
+
+
 def clean_text(x: Column) -> Column:
-    """Named entities that an XML parser left behind (the ampersand last), white space collapsed and trimmed."""
+    """Numeric and named entities that an XML parser left behind (the ampersand last), white space collapsed and trimmed."""
+    pieces = F.split(x, NUMERIC, -1)
+    entities = F.concat(F.transform(F.regexp_extract_all(x, F.lit(NUMERIC), 0), _character), F.array(F.lit("")))
+    x = F.when(F.contains(x, F.lit("&#")), F.array_join(F.flatten(F.zip_with(pieces, entities, lambda p, e: F.array(p, e))), "")).otherwise(x)
     for name, char in (("lt", "<"), ("gt", ">"), ("quot", '"'), ("apos", "'"), ("amp", "&")):
         x = F.replace(x, F.lit(f"&{name};"), F.lit(char))
     return trim_ws(collapse_ws(x))

@@ -117,3 +117,15 @@ def test_days_orders_and_digests(spark):
     with pytest.raises(Exception, match="no ISO date"):
         days.select(scalar.reviewed_on(F.col("bad"), "string")).collect()
     assert days.select(scalar.digest_bytes(F.lit("xyz")).alias("v")).first()["v"] is None
+
+
+def test_numeric_entities(spark):
+    cases = {"a&#228;b": "aäb", "&#xE4;&#xe4;&#228;": "äää", "&#128512;!": "😀!", "x &#65; &amp; &lt;b&gt;": "x A & <b>", "&amp;#65;": "&#65;", "&#0;&#55296;&#x110000;": "&#0;&#55296;&#x110000;", "no & none;": "no & none;", "": "", "&#;": "&#;", "  &#32; a": "a"}
+    rows = spark.createDataFrame([(k,) for k in [*cases, None]], "x string").select("x", text.clean_text(F.col("x")).alias("y")).collect()
+    assert {r["x"]: r["y"] for r in rows} == cases | {None: None}
+
+
+def test_canonical_tags(spark):
+    cases = {"fi": True, "FI": False, "en-US": True, "en-us": False, "zh-Hant-TW": True, "zh-hant-TW": False, "sl-rozaj": True, "sl-ROZAJ": False, "krl": True, "not a tag": False, None: True}
+    rows = spark.createDataFrame([(k,) for k in cases], "x string").select("x", scalar.is_canonical_tag(F.col("x")).alias("y")).collect()
+    assert {r["x"]: r["y"] for r in rows} == cases
