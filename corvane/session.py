@@ -11,6 +11,8 @@ import zipfile
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 _shipped: set[str] = set()
 
@@ -63,3 +65,8 @@ def kept(rows: DataFrame, name: str) -> DataFrame:
     path = f"{shared_dir(rows.sparkSession)}/kept/{name}-{uuid.uuid4().hex}"
     rows.write.option("compression", "zstd").parquet(path)
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
+def empty(spark: SparkSession, schema: str) -> DataFrame:
+    """No rows of a schema. The optimizer knows that there are none and leaves them out of unions; createDataFrame would start Python workers for them."""
+    return spark.range(1).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in StructType.fromDDL(schema)]).where(F.lit(False))
