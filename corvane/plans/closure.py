@@ -31,15 +31,23 @@ def _among(rows: DataFrame, col: str, ids: DataFrame) -> DataFrame:
 
 
 def chosen_representations(catalogue: Catalogue | Frames, rules: Rules) -> DataFrame:
-    """Representations of the kinds that the rules release for their archive: the archive of a capture that a derivation of the
-    representation takes in, as the capture itself or as its artifact."""
+    """Representations of the kinds that the rules release for their archive: that of the source item which their document's edition
+    was captured from. Equal bytes are one artifact, whichever archives hold them, so the artifacts that a derivation takes in
+    say nothing about the archive of its outputs. Only where the catalogue records no captured edition does the archive of
+    a capture count that a derivation of the representation takes in, as the capture itself or as its artifact."""
     captures = catalogue.table("capture").join(catalogue.table("source_item").select(F.col("id").alias("source_item_id"), "archive_id"), "source_item_id")
+    of_editions = catalogue.table("edition").select(F.col("id").alias("edition_id"), F.col("capture_id")).join(captures.select(F.col("id").alias("capture_id"), "archive_id"), "capture_id")
+    of_documents = catalogue.table("document").select(F.col("id").alias("document_id"), "edition_id").join(of_editions, "edition_id").select("document_id", "archive_id")
+    of_witnesses = catalogue.table("witness").select(F.col("id").alias("witness_id"), "document_id").join(of_documents, "document_id").select("witness_id", "archive_id")
     sources = captures.select(F.col("id").alias("input_id"), "archive_id").unionAll(captures.select(F.col("artifact_id").alias("input_id"), "archive_id")).distinct()
     outputs = catalogue.table("derivation_output").select("derivation_id", F.col("output_id").alias("id"))
     made = outputs.join(catalogue.table("derivation_input").select("derivation_id", "input_id"), "derivation_id").join(sources, "input_id").select("id", "archive_id")
     allowed = reduce(lambda a, b: a | b, ((F.col("archive_id") == archive) & F.col("kind").isin(*kinds) for archive, kinds in rules.items()), F.lit(False))
     found = catalogue.table("representation")
-    return found.join(made, "id").where(allowed).select(*found.columns).distinct()
+    placed = found.join(of_witnesses, "witness_id", "left").select(*found.columns, "archive_id")
+    by_edition = placed.where(F.col("archive_id").isNotNull() & allowed).select(*found.columns)
+    by_capture = placed.where("archive_id IS NULL").drop("archive_id").join(made, "id").where(allowed).select(*found.columns)
+    return by_edition.unionAll(by_capture).distinct()
 
 
 def released(catalogue: Catalogue | Frames, rules: Rules) -> Frames:
