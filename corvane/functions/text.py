@@ -60,8 +60,10 @@ def pad(x: Column, width: int) -> Column:
 
 
 def word_count(x: Column) -> Column:
-    """Non-empty tokens between white space."""
-    return F.regexp_count(x, F.lit(f"[^{WS_CHARS}]+")).cast("long")
+    """Non-empty tokens between white space: one more than the runs of white space inside. Java tests a negated class character by
+    character against each of its ranges, which costs many times as much as looking for the runs."""
+    inner = trim_ws(x)
+    return (F.regexp_count(inner, F.lit(f"{WS}+")) + (inner != "").cast("int")).cast("long")
 
 
 def kebab(x: Column) -> Column:

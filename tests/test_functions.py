@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -28,6 +30,25 @@ def test_slug_title_excerpt(spark):
     assert text.list_with_and(["a", "b", "c"]) == "a, b, and c"
 
 
+def test_words_are_counted_at_the_cost_of_their_gaps(spark):
+    odd = ["", " ", "a", " a\n", "a b", "\ufeffa\u00a0\u2003b\u3000", "a\x1cb \x85 c", "\U0001f600\u2028\U0001f600", None]
+    rows = spark.createDataFrame([(k, t) for k, t in enumerate(odd)], "k int, t string")
+    got = {r["k"]: r["n"] for r in rows.select("k", text.word_count(F.col("t")).alias("n")).collect()}
+    assert got == {0: 0, 1: 0, 2: 1, 3: 1, 4: 2, 5: 2, 6: 3, 7: 2, 8: None}
+
+    long = spark.range(0, 64, 1, 4).select(F.repeat(F.concat(F.lit("words of about seven letters "), F.col("id").cast("string")), 8000).alias("t"))
+
+    def seconds(c):
+        took = []
+        for _ in range(3):
+            began = time.perf_counter()
+            long.select(c.alias("n")).agg(F.sum("n")).collect()
+            took.append(time.perf_counter() - began)
+        return min(took)
+
+    assert seconds(text.word_count(F.col("t"))) < 3 * seconds(F.regexp_count("t", F.lit(f"{text.WS}+"))) + 0.3
+
+
 def test_pad_keeps_long_values(spark):
     assert one(spark, text.pad(F.col("v"), 3), v="7") == "007"
     assert one(spark, text.pad(F.col("v"), 3), v="12345") == "12345"
