@@ -19,6 +19,7 @@ so no link between components is lost, and no step emits pairs: each gives at mo
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain as chain_of
 
 import numpy as np
 import pyarrow as pa
@@ -40,6 +41,10 @@ ALL_PAIRS, MATRIX_ROWS, SPLITS = 16, 4096, 100
 #: Rows of buckets that a task takes at once; a bucket beyond it is chained without sketches.
 BUCKET_ROWS = 100_000
 CONNECTORS = 48
+#: Shingles of all classes for each task that sorts their signatures, of which there are about half as many.
+SORTED_SHINGLES = 3_000_000
+#: Places of the bitmap of rows that may go.
+SLOTS = 1 << 22
 _LOW = np.uint64((1 << 26) - 1)
 
 
@@ -285,14 +290,54 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     classes = described.where("doc_id is not null and n > 0").groupBy("c1", "c2").agg(F.min("doc_id").alias("node"), F.first("n").alias("n"), F.count("*").alias("copies"))
     classes = scratch.write(classes, "classes")
     signed = texts.where("doc_id is not null").select("text").mapInArrow(sign, "sig long, c1 long")
-    # Buckets of more than one class; then their parts that may link, as chains.
-    along = Window.partitionBy("sig").orderBy("c1")
-    near = signed.withColumn("before", F.lag("c1").over(along)).withColumn("after", F.lead("c1").over(along)).withColumn("place", F.row_number().over(along))
-    shared = scratch.write(near.where("before <> c1 or after <> c1").select("sig", "c1", F.when(F.col("before") != F.col("c1"), F.col("before")).alias("before"), (F.col("place") % bucket_rows == 0).alias("large")), "shared")
+    # Dealt so that a task sorts a bounded number of them in memory, whatever the input: what is spilled is written again.
+    total = classes.agg(F.sum("n").alias("t")).first()["t"] or 0
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    signed = signed.repartition(max(parts, total // SORTED_SHINGLES), "sig")
+
+    def listed(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows sorted by sig and c1. Buckets of more than one class as lists of their classes. A bucket beyond bucket_rows comes in
+        pieces, of which each begins with the class that the one before ended with."""
+        sig = c1 = np.zeros(0, np.int64)
+        pieces = 0  # of the first bucket that is held, those that went out before
+        for batch in chain_of(it, [None]):
+            last = batch is None
+            if not last:
+                sig, c1 = np.concatenate([sig, batch.column(0).to_numpy()]), np.concatenate([c1, batch.column(1).to_numpy()])
+            new = np.concatenate([[True], (sig[1:] != sig[:-1]) | (c1[1:] != c1[:-1])]) if len(sig) else np.zeros(0, bool)
+            sig, c1 = sig[new], c1[new]
+            starts = np.flatnonzero(np.concatenate([[True], sig[1:] != sig[:-1]])) if len(sig) else np.zeros(0, np.int64)
+            if not len(starts):
+                continue
+            full = not last and len(sig) - starts[-1] > bucket_rows  # the last bucket is too large to be held
+            upto = len(sig) if last or full else starts[-1]
+            own = starts[starts < upto]
+            if len(own):
+                ends = np.append(own[1:], upto)
+                piece = np.zeros(len(own), np.int64)
+                piece[0] = pieces
+                big = np.flatnonzero((ends - own > 1) | (piece > 0))
+                sizes = (ends - own)[big]
+                rows = np.repeat(own[big] - np.concatenate([[0], np.cumsum(sizes)[:-1]]), sizes) + np.arange(sizes.sum())
+                lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)), pa.array(c1[rows]))
+                in_pieces = (piece > 0)[big]
+                if full:
+                    in_pieces[-1] = True
+                yield pa.RecordBatch.from_arrays([pa.array(sig[own[big]]), lists, pa.array(in_pieces)], names=["sig", "members", "large"])
+                if full:
+                    pieces = pieces + 1 if len(own) == 1 else 1
+                else:
+                    pieces = 0
+            sig, c1 = (sig[-1:], c1[-1:]) if full else (sig[upto:], c1[upto:])
+
+    ordered = signed.sortWithinPartitions("sig", "c1")
+    lists = scratch.write(ordered.mapInArrow(listed, "sig long, members array<long>, large boolean"), "lists")
     # A bucket beyond the size that a task holds is chained as it stands, member to member, which is always safe: the exact test comes later.
-    large = shared.where("large").select("sig").distinct()
-    whole = shared.join(large, "sig", "left_semi").where("before is not null").select(F.col("c1").alias("a"), F.col("before").alias("b"))
-    shared = shared.join(large, "sig", "left_anti").select("sig", "c1")
+    steps = F.explode(F.transform("members", lambda c, k: F.struct(c.alias("a"), F.get("members", k - 1).alias("b")))).alias("e")
+    whole = lists.where("large").select(steps).select("e.a", "e.b").where("b is not null")
+    # Near copies meet in hundreds of buckets that hold the same classes; one of these says all that the others do.
+    small = lists.where("not large").groupBy("members").agg(F.min("sig").alias("sig"))
+    shared = small.select("sig", F.explode("members").alias("c1"))
     drawn = described.where("n > 0").groupBy("c1").agg(F.first("sketch").alias("sketch"), F.max("n").alias("n"))
 
     def chain(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -381,17 +426,25 @@ def keep_one_of_each(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     Each id and text is a node of its own, so rows of one id only go when their texts link or are equal; of such rows the
     one with the smallest hash of id and text stays. Rows with a null id, which are in no group, stay.
     """
-    node, own, head, place = fresh(docs.columns, "node", "own", "head", "place")
+    node, own, head, place, word, bits = fresh(docs.columns, "node", "own", "head", "place", "word", "bits")
+    scratch = Scratch(docs.sparkSession, "keep")
     number = whole_id(docs, id_col)
     keyed = docs.where(F.col(f"`{id_col}`").isNotNull()).withColumn(node, F.xxhash64(number, F.col(f"`{text_col}`")))
     found = near_duplicates(keyed, id_col=node, text_col=text_col, words=words, num=num, den=den)
-    found = found.select(F.col("doc_id").alias(node), F.col("component_id").alias(head)).distinct()
+    found = scratch.write(found.groupBy(F.col("doc_id").alias(node), F.col("component_id").alias(head)).agg(F.count("*").alias("n")), "found")
     ids = keyed.select(node, number.alias(own)).distinct()
     heads = found.join(ids, node).groupBy(head).agg(F.min(F.struct(own, node)).alias(place)).select(F.col(place)[node].alias(node))
+    heads = scratch.write(heads, "heads")
+    # Most rows are alone in their group and stay where they are; a bitmap of fixed size, as rows of 64 places, tells those that may go.
+    some = found.join(heads, node, "left_anti").select(node).union(found.where("n > 1").select(node))
+    slot = F.pmod(F.xxhash64(node), F.lit(SLOTS))
+    marked = some.select(slot.alias(place)).groupBy(F.shiftright(place, 6).alias(word)).agg(F.bit_or(F.expr(f"shiftleft(1L, cast(`{place}` % 64 AS int))")).alias(bits))
+    asked = keyed.withColumn(word, F.shiftright(slot, 6)).join(F.broadcast(scratch.write(marked, "marked")), word, "left")
+    may_go = F.coalesce(F.getbit(F.col(bits), (slot % 64).cast("int")) == 1, F.lit(False))
     first = Window.partitionBy(node).orderBy(node)
-    kept = keyed.join(heads, node).withColumn(place, F.row_number().over(first)).where(F.col(place) == 1)
+    kept = asked.where(may_go).join(heads.hint("merge"), node).withColumn(place, F.row_number().over(first)).where(F.col(place) == 1)
     columns = [F.col(f"`{c}`") for c in docs.columns]
-    return kept.select(*columns).union(docs.where(F.col(f"`{id_col}`").isNull()).select(*columns))
+    return kept.select(*columns).union(asked.where(~may_go).select(*columns)).union(docs.where(F.col(f"`{id_col}`").isNull()).select(*columns))
 
 
 def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:

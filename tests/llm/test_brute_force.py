@@ -73,6 +73,19 @@ def test_rows_of_one_id_go_only_when_linked(spark):
     assert Counter(tuple(r) for r in kept.collect()) == Counter([(1, a), (5, b), (7, None), (7, c), (9, ""), (None, a)])
 
 
+def test_texts_without_a_copy_are_not_shuffled(spark):
+    """What is written for shuffles stays near the signatures: texts that are alone stay in place, and equal buckets are looked at once."""
+    rng = np.random.default_rng(3)
+    texts = [" ".join(f"{w:x}" for w in rng.integers(0, 2**60, 400)) for _ in range(300)]
+    near = [t.rsplit(" ", 4)[0] for t in texts[:100]]
+    docs = spark.createDataFrame(list(enumerate(texts + near)), "doc_id long, text string")
+    written = lambda: spark.sparkContext._jsc.sc().statusStore().executorSummary("driver").totalShuffleWrite()
+    began = written()
+    kept = sorted(r["doc_id"] for r in ngram_join.keep_one_of_each(docs).select("doc_id", "text").collect())
+    assert kept == list(range(300))
+    assert written() - began < 2 * sum(map(len, texts + near))
+
+
 def test_signatures_are_shared_by_all_linked_sets():
     rng = np.random.default_rng(5)
     for n in (6, 7, 9, 13, 20, 47, 300, 2000):
