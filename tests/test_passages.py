@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from corvane.functions.arrays import running
-from corvane.functions.text import WS_SET
+from corvane.functions.text import WS, WS_SET, word_count
 from corvane.operators.passages import follow, passages
 
 S = f"[{re.escape(WS_SET)}]"
@@ -92,3 +92,36 @@ def test_a_long_text_costs_in_proportion(spark, tmp_path):
         took.append(time.time() - began)
         assert len(found) == -(-n // 31)
     assert took[2] < 60
+
+
+def test_passages_tell_their_words(spark):
+    rng = random.Random(8)
+    parts = ["word", "é", ".", "!", '."', " ", "\u2003", "\ufeff", "\x85", "\n", "\n\n", "\n \n", "x.y ", ". . "]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randrange(120))) for _ in range(300)] + ["\nfirst here\n\nsecond", "one two. " * 900, "par here\n\n" * 300]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for most, least in ((220, 55), (4, 2)):
+        found = passages(docs, most=most, least=least).select("words", word_count(F.col("text")).alias("counted")).collect()
+        assert len(found) > 200 and all(r["words"] == r["counted"] for r in found)
+
+
+def test_passages_cost_a_few_times_what_counting_words_costs(spark):
+    sentences = "Words stand here. So do others, and more. Who? They do. Lines end\nas well. "
+    docs = spark.range(0, 1200, 1, 4).select(F.col("id").alias("doc_id"), F.concat(F.repeat(F.lit(sentences), 160), F.col("id").cast("string")).alias("text"))
+
+    def seconds(rows):
+        took = []
+        for _ in range(3):
+            began = time.perf_counter()
+            rows().collect()
+            took.append(time.perf_counter() - began)
+        return min(took)
+
+    counted = seconds(lambda: docs.agg(F.sum(F.regexp_count("text", F.lit(f"{WS}+")))))
+    assert seconds(lambda: passages(docs).agg(F.count("*"), F.sum("end"))) < 6 * counted
+
+
+def test_a_long_blank_end_costs_in_proportion(spark):
+    docs = spark.createDataFrame([(1, "x" + "\n" * 30_000), (2, "\n" * 30_000)], "doc_id long, text string")
+    began = time.time()
+    assert [tuple(r) for r in passages(docs).select("doc_id", "start", "end").collect()] == [(1, 0, 1)]
+    assert time.time() - began < 15
