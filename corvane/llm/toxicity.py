@@ -24,6 +24,8 @@ THRESHOLD = 0.7
 BITS = 21
 #: Beginnings of words, in bytes, that count as terms of their own.
 PREFIXES = (3, 4, 5, 6, 7)
+#: Rows whose terms' factors are looked up together on the driver.
+ROWS_AT_ONCE = 256
 
 
 @dataclass
@@ -79,8 +81,11 @@ def fit_fm(terms: list[np.ndarray], labels: np.ndarray, *, bits: int = BITS, lea
     model = _fit(terms, labels, bits, alone, **how)
     if not len(labels):
         return model
-    dense = [t[t > 0] for t in (model.number[x] for x in terms)]
-    logits = model.logits(np.concatenate(dense), np.cumsum([0, *map(len, dense)]))
+    logits = []
+    for k in range(0, len(terms), ROWS_AT_ONCE):  # a term's factors take eight times its own place
+        dense = [t[t > 0] for t in (model.number[x] for x in terms[k : k + ROWS_AT_ONCE])]
+        logits.append(model.logits(np.concatenate(dense), np.cumsum([0, *map(len, dense)])))
+    logits = np.concatenate(logits)
     paired = telling_in_pairs(terms, labels, _calibrated(logits.astype(np.float64), labels), bits, least_rows, least_pair_z, pair_terms)
     both = np.union1d(alone, paired)
     return model if len(both) == len(alone) else _fit(terms, labels, bits, both, **how)

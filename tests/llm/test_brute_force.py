@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -358,6 +359,38 @@ def test_sampled_rows_keep_all_terms(spark):
     assert {len(t) for t in found} <= {10, 4000} and sum(map(len, found)) <= 20_000 and 4 <= len(y) < 40
 
 
+@pytest.mark.parametrize("counted", [True, False])
+def test_the_sample_is_fetched_in_pieces(spark, monkeypatch, counted):
+    docs = spark.createDataFrame([(i, " ".join(f"w{k % (i + 1)}" for k in range(400))) for i in range(90)] + [(90, None), (91, ""), (5, "again")], "doc_id long, text string")
+    labels = docs.select("doc_id", (F.col("doc_id") % 2).cast("int").alias("toxic"))
+    how = {"id_col": "doc_id", "text_col": "text", "label_col": "toxic", "learn": F.lit(True), "counted": counted}
+    whole, fetched, fetch = labelled_terms(docs, labels, **how), [], type(docs).toArrow
+    monkeypatch.setattr(type(docs), "toArrow", lambda df: fetched.append(fetch(df)) or fetched[-1])
+    parts = labelled_terms(docs, labels, fetch_terms=500, **how)
+    pieces = [t for t in fetched if "terms" in t.column_names]
+    assert len(pieces) > 5 and all(sum(t["n"].to_pylist()) <= 500 for t in pieces) and sum(t.num_rows for t in pieces) == 93
+    assert parts[2].tolist() == whole[2].tolist()
+    for a, b in zip(parts[:2], whole[:2], strict=True):
+        assert [x.tolist() for x in a] == [x.tolist() for x in b]
+    keys = [(t.tobytes(), y) for t, y in zip(parts[0], parts[2].tolist(), strict=True)]
+    assert keys == sorted(keys)
+    none = labelled_terms(docs.limit(0), labels, **how)
+    assert [len(x) for x in none] == [0, 0, 0]
+
+
+def test_learning_holds_little_beside_the_sample():
+    rng = np.random.default_rng(0)
+    terms = [np.unique((rng.random(500) ** 4 * (1 << 21)).astype(np.int32)) for _ in range(3000)]
+    y = (rng.random(3000) < 0.1).astype(np.int64)
+    tracemalloc.start()
+    try:
+        toxicity.fit_fm(terms, y, epochs=1)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 60e6, peak
+
+
 def test_toxicity_held_out(spark):
     sf = DATA.replace("0.001", "0.1")
     found = registry.queries()["op2_toxicity"](spark, sf).join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id").where("held_out")
