@@ -7,7 +7,10 @@ so that a group holds at most one difference, and each group into two parts; one
 of each part (the subsets of one out of two) are signatures. A signature over a single shingle brings unrelated texts
 together; a few spare groups make those needless, and only a set with more weak groups than that has them signed too.
 
-Exact copies are one class throughout: signatures carry the hash of the set, copies fall together before the shuffle.
+Exact copies are one class throughout: signatures carry the hash of the set, and only a class's first document is signed.
+Most signatures belong to one class and tell nothing. So they are looked for twice: first only some bits of each are
+dealt out, sorted and packed to two or three bytes, and a bitmap tells which were seen again; then those signatures
+alone are dealt out, with their classes.
 Sets that share a signature are not paired: a bucket falls apart where sketches prove that its members can't link, and
 each part of m sets is chained by m - 1 edges. The components of these edges are families,
 and the exact test runs inside a family, in blocks of bounded size, as products of incidence matrices. A family of
@@ -23,7 +26,7 @@ from itertools import chain as chain_of
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import Scratch, fresh, join_counted, table, whole_id
@@ -43,6 +46,10 @@ BUCKET_ROWS = 100_000
 CONNECTORS = 48
 #: Shingles of all classes for each task that sorts their signatures, of which there are about half as many.
 SORTED_SHINGLES = 3_000_000
+#: Signatures that a task packs at once, shingles for each part of the packed ones, most places (as a power of 2) of a bitmap that tells of signatures.
+PACKED, PART_SHINGLES, SEEN_BITS = 1 << 21, 1 << 20, 28
+#: Bits of a packed signature beyond those that would number all of them: of the single ones, one in so many powers of 2 looks repeated.
+SPARE_BITS = 6
 #: Places of the bitmap of rows that may go.
 SLOTS = 1 << 22
 _LOW = np.uint64((1 << 26) - 1)
@@ -104,6 +111,33 @@ def signatures(rows: np.ndarray, values: np.ndarray, size: np.ndarray, num: int,
     return np.concatenate(out_rows), np.concatenate(out)
 
 
+def packed(values: np.ndarray) -> bytes:
+    """Sorted whole numbers as the differences between them: all lowest bytes, then all next ones, as far as any is used."""
+    gaps = np.diff(values.astype("<u8"), prepend=np.uint64(0))
+    width = max(1, (int(gaps.max(initial=0)).bit_length() + 7) // 8)
+    return gaps.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T.tobytes()
+
+
+def unpacked(data: bytes, n: int) -> np.ndarray:
+    planes = np.frombuffer(data, np.uint8).reshape(-1, n)
+    gaps = np.zeros((n, 8), np.uint8)
+    gaps[:, : len(planes)] = planes.T
+    return np.cumsum(gaps.view("<u8").ravel(), dtype=np.uint64)
+
+
+def power(n: int) -> int:
+    """The least power of 2, as its exponent, that is n or more."""
+    return max(0, int(n) - 1).bit_length()
+
+
+def bitmap(rows: DataFrame, place: Column, bits: int) -> np.ndarray:
+    """2 ** bits places, set where a row has one, as words of 64; no more than these words reach the driver."""
+    words = rows.select(place.alias("place")).groupBy(F.shiftright("place", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(place % 64 AS int))")).alias("bits")).toArrow()
+    out = np.zeros(max(1, 1 << bits >> 6), np.int64)
+    out[words["word"].to_numpy()] = words["bits"].to_numpy()
+    return out
+
+
 def sketch(values: np.ndarray) -> bytes:
     """Elements of a set in bins, cut off at 255; large sets have more bins. The sum of absolute differences of two
     sketches, summed up to equal numbers of bins, never exceeds the number of differences between the sets."""
@@ -270,28 +304,86 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
                 drawn = pa.array([sketch(values[x:y]) for x, y in zip(ends[:-1], ends[1:], strict=True)], pa.binary())
                 yield pa.RecordBatch.from_arrays([ids.slice(a, b - a), pa.array(size), pa.array(one), pa.array(two), drawn], names=["doc_id", "n", "c1", "c2", "sketch"])
 
-    def sign(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        done: set[int] = set()  # a copy of a set that the task has signed is not signed again: a signature gets at most a row a task and class
+    described = scratch.write(texts.mapInArrow(describe, "doc_id long, n long, c1 long, c2 long, sketch binary"), "described")
+    classes = described.where("doc_id is not null and n > 0").groupBy("c1", "c2").agg(F.min("doc_id").alias("node"), F.first("n").alias("n"), F.count("*").alias("copies"))
+    classes = scratch.write(classes, "classes")
+    total, n_classes = classes.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
+    first_bits = min(26, power(4 * n_classes))
+    firsts = spark.sparkContext.broadcast(bitmap(classes, F.expr(f"(c1 ^ node) & {(1 << first_bits) - 1}L"), first_bits))
+
+    def sign(it: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Signatures and classes of the first documents of classes, each pair once."""
+        done: set[int] = set()  # nor is a copy signed that the bitmap lets through, if it is in the same task
         for batch in it:
-            for a, b, rows, values in _sets(batch.column(0), words):
+            ids = batch.column(0).to_numpy()
+            for a, b, rows, values in _sets(batch.column(1), words):
                 size, one, _ = set_hashes(rows, values, b - a)
-                new = np.zeros(b - a, bool)
-                for k, c in enumerate(one.tolist()):
-                    if size[k] and c not in done:
-                        done.add(c)
-                        new[k] = True
+                place = (one ^ ids[a:b]) & ((1 << first_bits) - 1)
+                new = (firsts.value[place >> 6] >> (place & 63) & 1 > 0) & (size > 0)
+                for k in np.flatnonzero(new).tolist():
+                    c = int(one[k])
+                    new[k] = c not in done
+                    done.add(c)
                 keep = new[rows]
-                rows, values, size = rows[keep], values[keep], np.where(new, size, 0)
-                owner, signature = signatures(rows, values, size, num, den)
-                signed = np.unique(np.stack([signature.view(np.int64), one[owner]]), axis=1)
-                yield pa.RecordBatch.from_arrays([pa.array(signed[0]), pa.array(signed[1])], names=["sig", "c1"])
+                owner, signature = signatures(rows[keep], values[keep], np.where(new, size, 0), num, den)
+                both = np.unique(np.stack([signature.view(np.int64), one[owner]]), axis=1)
+                yield both[0].view(np.uint64), both[1]
+
+    # Which signatures were seen more than once, by their first bits: a part of all these is one task's, which gives its piece of the bitmap.
+    part_bits = power(-(-total // PART_SHINGLES))
+    bits = max(power(total) + SPARE_BITS, part_bits + 8)
+    seen_bits = max(min(SEEN_BITS, power(total) - 1), part_bits + 3)
+    low = np.uint64(bits - part_bits)
+
+    def pack(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n = [], 0
+        for signature in chain_of((x for x, _ in sign(it)), [None]):
+            if signature is not None:
+                held.append(signature >> np.uint64(64 - bits))
+                n += len(signature)
+            if held and (signature is None or n >= PACKED):
+                every = np.sort(np.concatenate(held))
+                ends = np.searchsorted(every, np.arange(1, 1 << part_bits, dtype=np.uint64) << low)
+                pieces = np.split(every & ((np.uint64(1) << low) - np.uint64(1)), ends)
+                own = [k for k, piece in enumerate(pieces) if len(piece)]
+                yield pa.RecordBatch.from_arrays([pa.array(own, pa.int32()), pa.array([len(pieces[k]) for k in own], pa.int32()), pa.array([packed(pieces[k]) for k in own], pa.binary())], names=["part", "n", "gaps"])
+                held, n = [], 0
+
+    def again(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def piece(part: int, held: list[np.ndarray]) -> pa.RecordBatch:
+            every = np.sort(np.concatenate(held))
+            places = np.zeros(1 << (seen_bits - part_bits), bool)
+            places[every[1:][every[1:] == every[:-1]] >> np.uint64(bits - seen_bits)] = True
+            return pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([np.packbits(places, bitorder="little").tobytes()], pa.binary())], names=["part", "places"])
 
-    described = scratch.write(texts.mapInArrow(describe, "doc_id long, n long, c1 long, c2 long, sketch binary"), "described")
-    classes = described.where("doc_id is not null and n > 0").groupBy("c1", "c2").agg(F.min("doc_id").alias("node"), F.first("n").alias("n"), F.count("*").alias("copies"))
-    classes = scratch.write(classes, "classes")
-    signed = texts.where("doc_id is not null").select("text").mapInArrow(sign, "sig long, c1 long")
+        held, now = [], None
+        for batch in it:
+            for part, n, gaps in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if part != now and held:
+                    yield piece(now, held)
+                    held = []
+                now = part
+                held.append(unpacked(gaps, n))
+        if held:
+            yield piece(now, held)
+
+    known = texts.where("doc_id is not null")
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1 << part_bits)
+    pieces = known.mapInArrow(pack, "part int, n int, gaps binary").repartition(tasks, "part").sortWithinPartitions("part").mapInArrow(again, "part int, places binary").toArrow()
+    seen = np.zeros((1 << part_bits, 1 << (seen_bits - part_bits - 3)), np.uint8)
+    for part, places in zip(pieces["part"].to_pylist(), pieces["places"], strict=True):
+        seen[part] = np.frombuffer(places.as_buffer(), np.uint8)
+    del pieces
+    met = spark.sparkContext.broadcast(seen.ravel())
+
+    def sign_met(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for signature, c1 in sign(it):
+            place = (signature >> np.uint64(64 - seen_bits)).astype(np.int64)
+            keep = met.value[place >> 3] >> (place & 7).astype(np.uint8) & 1 > 0
+            yield pa.RecordBatch.from_arrays([pa.array(signature[keep].view(np.int64)), pa.array(c1[keep])], names=["sig", "c1"])
+
+    signed = known.mapInArrow(sign_met, "sig long, c1 long")
     # Dealt so that a task sorts a bounded number of them in memory, whatever the input: what is spilled is written again.
-    total = classes.agg(F.sum("n").alias("t")).first()["t"] or 0
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     signed = signed.repartition(max(parts, total // SORTED_SHINGLES), "sig")
 

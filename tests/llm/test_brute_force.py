@@ -87,6 +87,37 @@ def test_texts_without_a_copy_are_not_shuffled(spark):
     assert written() - began < 2 * sum(map(len, texts + near))
 
 
+def test_packed_numbers():
+    rng = np.random.default_rng(4)
+    for top in (1, 200, 1 << 17, 1 << 40, 1 << 63):
+        values = np.sort(rng.integers(0, top, 500, dtype=np.uint64))
+        data = ngram_join.packed(values)
+        assert (ngram_join.unpacked(data, 500) == values).all()
+    assert len(ngram_join.packed(np.arange(500, dtype=np.uint64) * np.uint64(200))) == 500
+
+
+def shuffled(spark):
+    """Records that each stage so far has written for a shuffle."""
+    context = spark.sparkContext
+    stages = context._jsc.sc().statusStore().stageList(None, False, False, context._gateway.new_array(context._jvm.double, 0), None)
+    return {stages.apply(k).stageId(): stages.apply(k).shuffleWriteRecords() for k in range(stages.size())}
+
+
+@pytest.mark.parametrize("part", [1 << 20, 500])
+def test_signatures_of_one_class_are_not_shuffled(spark, monkeypatch, part):
+    monkeypatch.setattr(ngram_join, "PART_SHINGLES", part)
+    monkeypatch.setattr(ngram_join, "PACKED", 2000)
+    rng = random.Random(6)
+    texts = [" ".join(f"w{rng.randrange(10**6)}" for _ in range(120)) for _ in range(200)]
+    near = [t.rsplit(" ", 3)[0] for t in texts[:20]]
+    docs = spark.createDataFrame(list(enumerate([*texts, *near, *texts[20:60], *texts[20:60]])), "doc_id long, text string").repartition(6)
+    before = shuffled(spark)
+    got = {r["doc_id"]: r["component_id"] for r in ngram_join.near_duplicates(docs).collect()}
+    assert got == {i: i - 200 if 200 <= i < 220 else i - 200 if 220 <= i < 260 else i - 240 if i >= 260 else i for i in range(300)}
+    made = sum(n for k, n in shuffled(spark).items() if k not in before)
+    assert made < 200 * 60  # each of these texts has over 100 signatures
+
+
 def test_signatures_are_shared_by_all_linked_sets():
     rng = np.random.default_rng(5)
     for n in (6, 7, 9, 13, 20, 47, 300, 2000):
