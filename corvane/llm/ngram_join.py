@@ -21,6 +21,7 @@ so no link between components is lost, and no step emits pairs: each gives at mo
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from itertools import chain as chain_of
 
@@ -146,6 +147,12 @@ def sketch(values: np.ndarray) -> bytes:
     return np.minimum(counts, 255).astype(np.uint8).tobytes()
 
 
+def squeezed(drawn: bytes) -> bytes:
+    """A sketch as it travels: its counts are small, and it goes along with each bucket that its class is in."""
+    pack = zlib.compressobj(6, zlib.DEFLATED, -15, strategy=zlib.Z_RLE)
+    return pack.compress(drawn) + pack.flush()
+
+
 def _folded(sketches: list[bytes], rows: np.ndarray) -> np.ndarray:
     """The sketches of these rows with as many bins as the smallest has."""
     found = [np.frombuffer(sketches[r], np.uint8) for r in rows]
@@ -301,7 +308,7 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
             for a, b, rows, values in _sets(batch.column(1), words):
                 size, one, two = set_hashes(rows, values, b - a)
                 ends = np.searchsorted(rows, np.arange(b - a + 1))
-                drawn = pa.array([sketch(values[x:y]) for x, y in zip(ends[:-1], ends[1:], strict=True)], pa.binary())
+                drawn = pa.array([squeezed(sketch(values[x:y])) for x, y in zip(ends[:-1], ends[1:], strict=True)], pa.binary())
                 yield pa.RecordBatch.from_arrays([ids.slice(a, b - a), pa.array(size), pa.array(one), pa.array(two), drawn], names=["doc_id", "n", "c1", "c2", "sketch"])
 
     described = scratch.write(texts.mapInArrow(describe, "doc_id long, n long, c1 long, c2 long, sketch binary"), "described")
@@ -435,7 +442,7 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     def chain(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def edges(held: list[pa.RecordBatch]) -> pa.RecordBatch:
             t = pa.Table.from_batches(held)
-            drawing = t["sketch"].to_pylist()
+            drawing = [zlib.decompress(d, -15) for d in t["sketch"].to_pylist()]
             c1 = t["c1"].to_numpy()
             i, j = split_buckets(t["sig"].to_numpy(), drawing, t["n"].to_numpy(), num, den)
             node, label = union_find(c1[i], c1[j])  # at most one edge for each class

@@ -5,7 +5,8 @@ from __future__ import annotations
 import hashlib
 import random
 import re
-import tracemalloc
+import zlib
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -96,6 +97,14 @@ def test_packed_numbers():
     assert len(ngram_join.packed(np.arange(500, dtype=np.uint64) * np.uint64(200))) == 500
 
 
+def test_squeezed_sketches():
+    rng = np.random.default_rng(8)
+    for n in (1, 100, 300, 1000, 3000, 9000):
+        drawn = ngram_join.sketch(rng.integers(0, 1 << 63, n, dtype=np.uint64))
+        assert zlib.decompress(ngram_join.squeezed(drawn), -15) == drawn
+        assert len(ngram_join.squeezed(drawn)) < 0.7 * len(drawn)
+
+
 def shuffled(spark):
     """Records that each stage so far has written for a shuffle."""
     context = spark.sparkContext
