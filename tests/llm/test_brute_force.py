@@ -5,7 +5,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
-import zlib
+import tracemalloc
 import zlib
 from collections import Counter
 
